@@ -80,11 +80,17 @@ def per_second(rows: DataFrame, keys: list[str], bound) -> DataFrame:
 def direct_features(seconds: DataFrame, keys: list[str], bound) -> DataFrame:
     """Features per (key, second) by one window per key, for keys known to be small."""
     window = Window.partitionBy(*keys).orderBy(_SEC)
-    columns = []
-    for f in bound.features:
-        frame = window.rangeBetween(-f.seconds, bound.block.last_offset)
-        columns.append(bound.finish(f, {s.state: _merge(s, F.col(s.name)).over(frame) for s in bound.states_of(f)}))
-    return seconds.select(*keys, _SEC, _KEEP, *columns).where(_KEEP).drop(_KEEP)
+    end = bound.block.last_offset
+    frames = {
+        _name(s, f.seconds): _merge(s, F.col(s.name)).over(window.rangeBetween(-f.seconds, end))
+        for f in bound.features
+        for s in bound.states_of(f)
+    }
+    outputs = [
+        bound.finish(f, {s.state: F.col(_name(s, f.seconds)) for s in bound.states_of(f)}) for f in bound.features
+    ]
+    windowed = seconds.select("*", *[c.alias(n) for n, c in frames.items()]).where(_KEEP)
+    return windowed.select(*keys, _SEC, *outputs)
 
 
 def chunked_features(seconds: DataFrame, keys: list[str], bound) -> DataFrame:
@@ -114,32 +120,36 @@ def _grid_features(seconds: DataFrame, keys: list[str], bound, grid: Grid) -> Da
     if totals is not None:
         rows = rows.unionByName(totals.select(*columns))
 
+    # Every window expression is named once here; features that share a state share its windows.
     chunk_window = Window.partitionBy(*keys, _CHUNK)
     ascending, descending = chunk_window.orderBy(_POS), chunk_window.orderBy(F.desc(_POS))
     here, side = F.col(_SIDE) == _ROWS, F.col(_SIDE)
     end = bound.block.last_offset
-    outputs = []
-    for f in bound.features:
-        values = {}
+    features = [f for f in bound.features if f.seconds in grid.short + grid.long]
+    running = {}
+    for f in features:
         for s in bound.states_of(f):
             if f.seconds in grid.short:
                 seen = F.when(side.isin(_ROWS, _HALO), F.col(s.name))
-                value = _merge(s, seen).over(ascending.rangeBetween(-f.seconds, end))
-            elif f.seconds in grid.long:
-                before = _merge(s, F.when(here, F.col(s.name))).over(
+                running[_name(s, f.seconds)] = _merge(s, seen).over(ascending.rangeBetween(-f.seconds, end))
+            else:
+                running[_name(s, _ROWS)] = _merge(s, F.when(here, F.col(s.name))).over(
                     ascending.rangeBetween(Window.unboundedPreceding, end)
                 )
-                earlier = _merge(s, F.when(side == f.seconds, F.col(s.name))).over(
+                running[_name(s, f.seconds)] = _merge(s, F.when(side == f.seconds, F.col(s.name))).over(
                     descending.rangeBetween(Window.unboundedPreceding, Window.currentRow)
                 )
-                value = STATES[s.state].join(before, earlier)
-            else:
-                break
-            # Rows without a time are each other's whole frame.
-            values[s.state] = F.when(F.col(_POS).isNull(), F.col(s.name)).otherwise(value)
-        else:
-            outputs.append(bound.finish(f, values))
-    return rows.select(*keys, F.col(_POS).alias(_SEC), _SIDE, _KEEP, *outputs).where(here & F.col(_KEEP)).drop(_SIDE, _KEEP)
+    windowed = rows.select(*columns, *[c.alias(n) for n, c in running.items()]).where(here & F.col(_KEEP))
+
+    def frame(f, s):
+        value = F.col(_name(s, f.seconds))
+        if f.seconds in grid.long:
+            value = STATES[s.state].join(F.col(_name(s, _ROWS)), value)
+        # Rows without a time are each other's whole frame.
+        return F.when(F.col(_POS).isNull(), F.col(s.name)).otherwise(value)
+
+    outputs = [bound.finish(f, {s.state: frame(f, s) for s in bound.states_of(f)}) for f in features]
+    return windowed.select(*keys, F.col(_POS).alias(_SEC), *outputs)
 
 
 def _whole_chunks(seconds: DataFrame, keys: list[str], bound, grid: Grid) -> DataFrame | None:
@@ -184,5 +194,9 @@ def _place(condition: Column, chunk: Column, pos: Column, side: int) -> Column:
     return F.when(condition, place)
 
 
+def _name(state, seconds: int) -> str:
+    return f"{state.name}_{seconds}"
+
+
 def _merge(state, value: Column) -> Column:
     return STATES[state.state].merge(value)

@@ -4,50 +4,68 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# At most this many keys are ever listed (and later broadcast) one by one. Beyond it the caller treats every key alike.
+# At most this many keys are ever listed on the driver and broadcast. With more, hot keys stay a distributed table.
 MAX_LISTED_KEYS = 10_000
 
 
+@dataclass(frozen=True)
+class Limits:
+    """What one task may be given.
+
+    A window over a key re-reads the rows in its frame for every row, which makes ``rows * rows per look-back`` steps.
+    """
+
+    rows_per_span: int = 300  # beyond it a window over the key stops paying off
+    rows_per_key: int = 1_000_000  # beyond it a key never goes to one task
+    small_steps_per_key: int = 5_000_000  # dense keys are left alone while no key and
+    small_steps: int = 150_000_000  # no table costs more than this
+    listed_keys: int = MAX_LISTED_KEYS
+
+
 @dataclass(frozen=True)
 class HotKeys:
-    """``rows`` holds (key columns..., n, first_sec, last_sec); ``overflow`` means there were too many to list."""
+    """Key columns with ``n``, ``first_sec`` and ``last_sec``. ``listed``: known to be a short local list."""
 
-    rows: tuple[Row, ...]
-    overflow: bool
+    frame: DataFrame
+    listed: bool
 
-    def __bool__(self) -> bool:
-        return self.overflow or bool(self.rows)
+    def keys(self, names: list[str], prefix: str) -> DataFrame:
+        """The keys under prefixed names; broadcast if their number was checked, left to the optimizer if not."""
+        frame = self.frame.select(*[F.col(n).alias(prefix + n) for n in names])
+        return F.broadcast(frame) if self.listed else frame
 
 
-def find_hot_keys(
-    df: DataFrame,
-    keys: list[str],
-    seconds: str,
-    span_seconds: int,
-    rows_per_span: int,
-    rows_per_key: int,
-    limit: int = MAX_LISTED_KEYS,
-) -> HotKeys:
-    """Keys with more than ``rows_per_key`` rows, or that hold more than ``rows_per_span`` rows in an average span.
+def find_hot_keys(df: DataFrame, keys: list[str], seconds: str, span_seconds: int, limits: Limits) -> HotKeys | None:
+    """The keys that should not be windowed whole, or None.
 
     One pass over the key and time columns, combined before the shuffle, so a key with a third of all rows costs no
-    more than any other.
+    more than any other. ``span_seconds`` is the longest look-back.
     """
-    stats = df.groupBy(*keys).agg(
+    per_key = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.min(seconds).alias("first_sec"), F.max(seconds).alias("last_sec")
     )
     covered = F.greatest(F.col("last_sec") - F.col("first_sec") + 1, F.lit(span_seconds))
     in_span = F.coalesce(F.col("n") * (F.lit(float(span_seconds)) / covered), F.col("n").cast("double"))
-    found = stats.where((F.col("n") > rows_per_key) | (in_span > rows_per_span)).limit(limit + 1).collect()
-    return HotKeys((), True) if len(found) > limit else HotKeys(tuple(found), False)
-
-
-def as_frame(df: DataFrame, keys: list[str], hot: HotKeys) -> DataFrame:
-    """The listed keys as a small frame typed like ``df``; at most ``MAX_LISTED_KEYS`` rows."""
+    hot = (F.col("n") > limits.rows_per_key) | (in_span > limits.rows_per_span)
+    per_key = per_key.persist()
+    try:
+        count, most, total, largest = per_key.select(hot.alias("hot"), (F.col("n") * in_span).alias("steps"), "n").agg(
+            F.count_if("hot"), F.max("steps"), F.sum("steps"), F.max("n")
+        ).first()
+        if not count:
+            return None
+        small = most <= limits.small_steps_per_key and total <= limits.small_steps
+        if small and largest <= limits.rows_per_key:
+            return None
+        if count > limits.listed_keys:
+            return HotKeys(per_key.where(hot), listed=False)
+        rows = [tuple(r) for r in per_key.where(hot).collect()]
+    finally:
+        per_key.unpersist()
     counters = [T.StructField(c, T.LongType()) for c in ("n", "first_sec", "last_sec")]
     schema = T.StructType([T.StructField(k, df.schema[k].dataType) for k in keys] + counters)
-    return df.sparkSession.createDataFrame([tuple(r) for r in hot.rows], schema)
+    return HotKeys(df.sparkSession.createDataFrame(rows, schema), listed=True)

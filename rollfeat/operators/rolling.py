@@ -22,12 +22,7 @@ from rollfeat.functions.aggregates import STATES, Aggregate, aggregate, exact_de
 from rollfeat.functions.durations import parse_duration
 from rollfeat.functions.scalars import epoch_seconds, same
 from rollfeat.operators import chunked
-from rollfeat.operators.hotkeys import as_frame, find_hot_keys
-
-# A direct window re-reads the rows in its frame for every row, so it stops paying off beyond this many.
-DENSE_ROWS_PER_LOOKBACK = 400
-# A direct window keeps a key in one task.
-MAX_ROWS_PER_KEY = 1_000_000
+from rollfeat.operators.hotkeys import Limits, find_hot_keys
 
 _SEC = "__sec"
 
@@ -130,14 +125,29 @@ class BoundBlock:
 def rolling_columns(df: DataFrame, block: RollingBlock) -> list[Column]:
     """The features of a block as window expressions over raw rows, ready for one ``df.select("*", *columns)``."""
     bound = BoundBlock(block, df)
-    order = epoch_seconds(block.timestamp)
-    keys = [F.col(c) for c in block.partition]
-    columns = []
-    for feature in bound.features:
-        window = Window.partitionBy(*keys).orderBy(order).rangeBetween(-feature.seconds, block.last_offset)
-        states = {s.state: STATES[s.state].build(bound.input(s)).over(window) for s in bound.states_of(feature)}
-        columns.append(bound.finish(feature, states))
-    return columns
+    return [
+        bound.finish(f, {s.state: _raw_window(bound, s, f) for s in bound.states_of(f)}) for f in bound.features
+    ]
+
+
+def _raw_window(bound: BoundBlock, state: StateColumn, feature: Feature) -> Column:
+    order = epoch_seconds(bound.block.timestamp)
+    window = Window.partitionBy(*bound.block.partition).orderBy(order)
+    frame = window.rangeBetween(-feature.seconds, bound.block.last_offset)
+    return STATES[state.state].build(bound.input(state)).over(frame)
+
+
+def _direct(df: DataFrame, blocks: Sequence[RollingBlock]) -> DataFrame:
+    """All blocks by plain windows; features that share a state (avg and count, say) share its window."""
+    windows, outputs = {}, []
+    for i, block in enumerate(blocks):
+        bound = BoundBlock(block, df)
+        for f in bound.features:
+            names = {s.state: f"__{i}{s.name}_{f.seconds}" for s in bound.states_of(f)}
+            windows.update({names[s.state]: _raw_window(bound, s, f) for s in bound.states_of(f)})
+            outputs.append(bound.finish(f, {state: F.col(name) for state, name in names.items()}))
+    windowed = df.select("*", *[c.alias(n) for n, c in windows.items()])
+    return windowed.select(*df.columns, *outputs)
 
 
 def with_rolling(
@@ -145,8 +155,7 @@ def with_rolling(
     blocks: Sequence[RollingBlock],
     strategy: str = "auto",
     keep: Column | None = None,
-    dense_rows: int = DENSE_ROWS_PER_LOOKBACK,
-    rows_per_key: int = MAX_ROWS_PER_KEY,
+    limits: Limits = Limits(),
 ) -> DataFrame:
     """``df`` plus the features of all blocks, every input row once.
 
@@ -162,13 +171,13 @@ def with_rolling(
 
     direct, by_second = [], []
     for block in blocks:
-        features = None if strategy == "direct" else _features_by_second(df, block, strategy, keep, dense_rows, rows_per_key)
+        features = None if strategy == "direct" else _features_by_second(df, block, strategy, keep, limits)
         if features is None:
-            direct += rolling_columns(df, block)
+            direct.append(block)
         else:
             by_second.append((block, features))
 
-    result = df.select("*", *direct) if direct else df
+    result = _direct(df, direct) if direct else df
     if keep is not None:
         result = result.where(keep)
     for block, features in by_second:
@@ -176,7 +185,7 @@ def with_rolling(
     return result.select(*df.columns, *names)
 
 
-def _features_by_second(df, block, strategy, keep, dense_rows, rows_per_key) -> DataFrame | None:
+def _features_by_second(df, block, strategy, keep, limits) -> DataFrame | None:
     """Features per (key, second) when some key is dense; None when plain windows over the rows do."""
     bound = BoundBlock(block, df)
     keys = list(block.partition)
@@ -187,18 +196,18 @@ def _features_by_second(df, block, strategy, keep, dense_rows, rows_per_key) ->
         *[F.col(c) for c in dict.fromkeys(block.columns)],
         (F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))).alias("__keep"),
     )
-    hot = None
     if strategy == "auto":
-        hot = find_hot_keys(rows, key_names, _SEC, block.max_lookback, dense_rows, rows_per_key)
-        if not hot:
+        hot = find_hot_keys(rows, key_names, _SEC, block.max_lookback, limits)
+        if hot is None:
             return None
     seconds = chunked.per_second(rows, key_names, bound)
-    if hot is None or hot.overflow:
+    if strategy == "chunked":
         return chunked.chunked_features(seconds, key_names, bound)
-    listed = F.broadcast(as_frame(rows, key_names, hot).select(*[F.col(k).alias(f"__hot{k}") for k in key_names]))
     on = [same(F.col(k), F.col(f"__hot{k}")) for k in key_names]
-    return chunked.chunked_features(seconds.join(listed, on, "left_semi"), key_names, bound).unionByName(
-        chunked.direct_features(seconds.join(listed, on, "left_anti"), key_names, bound)
+    hot_keys = hot.keys(key_names, "__hot")
+    dense, sparse = (seconds.join(hot_keys, on, how) for how in ("left_semi", "left_anti"))
+    return chunked.chunked_features(dense, key_names, bound).unionByName(
+        chunked.direct_features(sparse, key_names, bound)
     )
 
 

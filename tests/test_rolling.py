@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 from rollfeat.functions.durations import parse_duration
 from rollfeat.operators.chunked import CHUNK_SECONDS, SHORT_SECONDS, plan_grids
+from rollfeat.operators.hotkeys import Limits, find_hot_keys
 from rollfeat.operators.rolling import RollingBlock, rolling_columns, with_rolling
 
+# Small enough for the test data to be routed key by key.
+EAGER = Limits(rows_per_span=60, small_steps=0)
 EPOCH = datetime(1970, 1, 1)
 SCHEMA = "id bigint, k bigint, k2 string, tx_ts timestamp_ntz, v decimal(12,2), w double"
 
@@ -173,7 +176,7 @@ def test_against_brute_force(spark, strategy, exclude):
         RollingBlock(["count", "avg", "min", "stddev", "var_pop"], ["v"], ["k"], ["1h", "1d", "36h", "5d", "1w"], exclude_current_row=exclude),
         RollingBlock(["max", "sum"], ["w", "v"], ["k2", "k"], ["10m", "2d", "100001s"], exclude_current_row=exclude),
     ]
-    assert_matches(with_rolling(df, blocks, strategy, dense_rows=60), rows, blocks, exact=False)
+    assert_matches(with_rolling(df, blocks, strategy, limits=EAGER), rows, blocks, exact=False)
 
 
 def test_exact_type_makes_double_sums_exact(spark):
@@ -197,22 +200,14 @@ def test_distinct_counts_from_sketches(spark, strategy):
         assert got[key] == pytest.approx(value, rel=0.05, abs=0.5), key
 
 
-def test_many_listed_keys_fall_back_to_one_plan(spark, monkeypatch):
+def test_more_hot_keys_than_may_be_listed(spark):
     rows = random_rows(300, 6, 5, seed=3)
     df = spark.createDataFrame(rows, SCHEMA)
     blocks = [RollingBlock(["count", "max"], ["v"], ["k"], ["1h", "2d"])]
-    from rollfeat.operators import rolling
-
-    original = rolling.find_hot_keys
-    seen = []
-
-    def few(*args):
-        seen.append(original(*args, limit=2))
-        return seen[-1]
-
-    monkeypatch.setattr(rolling, "find_hot_keys", few)
-    assert_matches(with_rolling(df, blocks, "auto", dense_rows=1), rows, blocks)
-    assert seen[0].overflow and not seen[0].rows
+    limits = Limits(rows_per_span=10, small_steps=0, listed_keys=2)
+    hot = find_hot_keys(df.withColumn("s", F.unix_seconds(F.col("tx_ts").cast("timestamp"))), ["k"], "s", 172800, limits)
+    assert not hot.listed and 2 < hot.frame.count() < 8
+    assert_matches(with_rolling(df, blocks, "auto", limits=limits), rows, blocks)
 
 
 @pytest.mark.parametrize("strategy", ["direct", "chunked", "auto"])
@@ -221,7 +216,7 @@ def test_keep_limits_output_not_frames(spark, strategy):
     df = spark.createDataFrame(rows, SCHEMA)
     blocks = [RollingBlock(["count", "min"], ["v"], ["k"], ["1h", "4d"]), RollingBlock(["max"], ["v"], ["k2"], ["3d"])]
     cutoff = F.lit(datetime(2024, 1, 6)).cast("timestamp_ntz")
-    kept = with_rolling(df, blocks, strategy, keep=F.col("tx_ts") >= cutoff, dense_rows=60)
+    kept = with_rolling(df, blocks, strategy, keep=F.col("tx_ts") >= cutoff, limits=EAGER)
     full = with_rolling(df, blocks, "direct").where(F.col("tx_ts") >= cutoff)
     assert sorted(map(repr, kept.collect())) == sorted(map(repr, full.collect()))
 
@@ -241,7 +236,7 @@ def test_one_second_holding_a_third_of_all_rows(spark):
     rest = spark.range(40_000).select((F.col("id") % 50).cast("int"), (F.lit("2024-01-01").cast("timestamp") + F.make_interval(secs=F.col("id") * 5)).cast("timestamp_ntz"), F.lit(2.0))
     df = burst.union(rest)
     block = RollingBlock(["count"], ["v"], ["k"], ["1h", "2d"], exclude_current_row=False)
-    out = with_rolling(df, [block])
+    out = with_rolling(df, [block], limits=EAGER)
     row = out.where("v = 1.0").agg(F.count("*"), F.min("count_v_by_k_2d_0s"), F.max("count_v_by_k_2d_0s")).first()
     before = 86400 // 250 + 1  # rows of key 0 on the first day, the one at midnight included
     assert tuple(row) == (20_000, 20_000 + before, 20_000 + before)

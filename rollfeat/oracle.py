@@ -128,33 +128,33 @@ def mapping_rows(mapping, wanted=None) -> list[tuple[dict[str, str], str]]:
 
 
 def asof_sql(instances: str, features: str, names: list[str]) -> str:
-    """Latest feature row at or before ``at``. One row per (entity, time) is left on the feature side first."""
+    """Latest feature row at or before ``as_of``. One row per (entity, time) is left on the feature side first."""
     picked = ", ".join(f"f.{n}" for n in names)
     return f"""
 WITH i AS ({instances}),
-f AS (SELECT * FROM ({features}) QUALIFY row_number() OVER (PARTITION BY entity, at ORDER BY tie DESC) = 1)
-SELECT i.*, {picked} FROM i ASOF LEFT JOIN f ON i.entity = f.entity AND i.at >= f.at"""
+f AS (SELECT * FROM ({features}) QUALIFY row_number() OVER (PARTITION BY entity, as_of ORDER BY tie DESC) = 1)
+SELECT i.*, {picked} FROM i ASOF LEFT JOIN f ON i.entity = f.entity AND i.as_of >= f.as_of"""
 
 
 def hourly(entity: str, tx_id: str = "tx_id") -> str:
-    return f"SELECT tx_id AS {tx_id}, {entity} AS entity, cast(date_trunc('hour', tx_ts) AS timestamp) AS at FROM ({EVENTS})"
+    return f"SELECT tx_id AS {tx_id}, {entity} AS entity, cast(date_trunc('hour', tx_ts) AS timestamp) AS as_of FROM ({EVENTS})"
 
 
 CUSTOMER_VALUES = f"""
-  SELECT customer_id AS entity, tx_ts AS at, tx_id AS tie, avg_tx_amount_by_customer_id_1h_1s AS avg_1h,
+  SELECT customer_id AS entity, tx_ts AS as_of, tx_id AS tie, avg_tx_amount_by_customer_id_1h_1s AS avg_1h,
          avg_tx_amount_by_customer_id_5d_1s AS avg_5d
   FROM ({with_features(TX, block(['avg'], ['1h', '5d']))})"""
 TERMINAL_VALUES = f"""
-  SELECT terminal_id AS entity, tx_ts AS at, tx_id AS tie, max_tx_amount_by_terminal_id_3d_1s AS max_3d, tx_amount
+  SELECT terminal_id AS entity, tx_ts AS as_of, tx_id AS tie, max_tx_amount_by_terminal_id_3d_1s AS max_3d, tx_amount
   FROM ({with_features(TX, block(['max'], ['3d'], partition=['terminal_id']))})"""
 
 
 def per_feature_sql() -> str:
-    one = "(SELECT * FROM v WHERE {0} IS NOT NULL QUALIFY row_number() OVER (PARTITION BY entity, at ORDER BY tie DESC) = 1)"
+    one = "(SELECT * FROM v WHERE {0} IS NOT NULL QUALIFY row_number() OVER (PARTITION BY entity, as_of ORDER BY tie DESC) = 1)"
     return f"""
 WITH i AS ({hourly('customer_id')}), v AS ({CUSTOMER_VALUES}),
-a AS (SELECT i.*, f.avg_1h FROM i ASOF LEFT JOIN {one.format('avg_1h')} f ON i.entity = f.entity AND i.at >= f.at)
-SELECT a.*, f.avg_5d FROM a ASOF LEFT JOIN {one.format('avg_5d')} f ON a.entity = f.entity AND a.at >= f.at"""
+a AS (SELECT i.*, f.avg_1h FROM i ASOF LEFT JOIN {one.format('avg_1h')} f ON i.entity = f.entity AND i.as_of >= f.as_of)
+SELECT a.*, f.avg_5d FROM a ASOF LEFT JOIN {one.format('avg_5d')} f ON a.entity = f.entity AND a.as_of >= f.as_of"""
 
 
 def serve_sql() -> str:
@@ -279,7 +279,7 @@ FROM (SELECT max(tx_ts) AS latest,
     "asof_per_feature": per_feature_sql(),
     "asof_hot_entity": asof_sql(
         hourly("event_type", "probe_id"),
-        f"SELECT event_type AS entity, tx_ts AS at, tx_id AS tie, tx_id AS row_id, tx_amount FROM ({EVENTS})",
+        f"SELECT event_type AS entity, tx_ts AS as_of, tx_id AS tie, tx_id AS row_id, tx_amount FROM ({EVENTS})",
         ["row_id", "tx_amount"],
     ),
     "serve_point_in_time": serve_sql(),

@@ -512,7 +512,7 @@ def ingest_terminal(spark, sf_dir):
 def hourly(spark, sf_dir, entity):
     """Every transaction asks for what was known about its customer or terminal when its hour began."""
     return samples.events_tx(spark, sf_dir).select(
-        "tx_id", F.col(entity).alias("entity"), F.date_trunc("hour", "tx_ts").cast("timestamp_ntz").alias("at")
+        "tx_id", F.col(entity).alias("entity"), F.date_trunc("hour", "tx_ts").cast("timestamp_ntz").alias("as_of")
     )
 
 
@@ -528,13 +528,13 @@ def customer_values(spark, sf_dir):
 
 @query
 def asof_customer(spark, sf_dir):
-    return asof_join(hourly(spark, sf_dir, "customer_id"), "entity", "at", customer_values(spark, sf_dir))
+    return asof_join(hourly(spark, sf_dir, "customer_id"), "entity", "as_of", customer_values(spark, sf_dir))
 
 
 @query
 def asof_per_feature(spark, sf_dir):
     instances = hourly(spark, sf_dir, "customer_id")
-    return asof_join(instances, "entity", "at", customer_values(spark, sf_dir), per_feature=True)
+    return asof_join(instances, "entity", "as_of", customer_values(spark, sf_dir), per_feature=True)
 
 
 def terminal_values(spark, sf_dir):
@@ -545,7 +545,7 @@ def terminal_values(spark, sf_dir):
 
 @query
 def asof_terminal(spark, sf_dir):
-    return asof_join(hourly(spark, sf_dir, "terminal_id"), "entity", "at", terminal_values(spark, sf_dir))
+    return asof_join(hourly(spark, sf_dir, "terminal_id"), "entity", "as_of", terminal_values(spark, sf_dir))
 
 
 @query
@@ -553,10 +553,10 @@ def asof_hot_entity(spark, sf_dir):
     """Five entities hold all rows: each is cut into slices of time."""
     events = events_by_type(spark, sf_dir)
     instances = events.select(
-        "tx_id", F.col("event_type").alias("entity"), F.date_trunc("hour", "tx_ts").cast("timestamp_ntz").alias("at")
+        "tx_id", F.col("event_type").alias("entity"), F.date_trunc("hour", "tx_ts").cast("timestamp_ntz").alias("as_of")
     )
     values = FeatureRows(events.withColumnRenamed("tx_id", "row_id"), "event_type", "tx_ts", ["row_id", "tx_amount"])
-    return asof_join(instances.withColumnRenamed("tx_id", "probe_id"), "entity", "at", values,
+    return asof_join(instances.withColumnRenamed("tx_id", "probe_id"), "entity", "as_of", values,
                      limits=Limits(rows_per_key=200, small_steps=0), slice_rows=200)
 
 

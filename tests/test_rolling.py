@@ -170,7 +170,7 @@ def test_edge_rows(spark, strategy, exclude, want):
 @pytest.mark.parametrize("strategy", ["direct", "chunked", "auto"])
 @pytest.mark.parametrize("exclude", [True, False])
 def test_against_brute_force(spark, strategy, exclude):
-    rows = random_rows(500, 3, 12, seed=7)
+    rows = random_rows(260, 3, 12, seed=7)
     df = spark.createDataFrame(rows, SCHEMA)
     blocks = [
         RollingBlock(["count", "avg", "min", "stddev", "var_pop"], ["v"], ["k"], ["1h", "1d", "36h", "5d", "1w"], exclude_current_row=exclude),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -53,6 +54,10 @@ def _mean(s, scale):
     return s["sum"].cast("double") / F.nullif(s["count"], F.lit(0)).cast("double")
 
 
+def _power_of_ten(n: int) -> Column:
+    return F.lit(Decimal(10**n))
+
+
 def _variance(lost: int):
     """Variance with ``lost`` degrees of freedom less than rows.
 
@@ -62,8 +67,8 @@ def _variance(lost: int):
 
     def finish(s, scale):
         n = F.nullif(s["count"], F.lit(0)).cast("decimal(19,0)")
-        total = (s["sum"] * F.lit(10**scale)).cast("decimal(38,0)")
-        squares = (s["squares"] * F.lit(10 ** (2 * scale))).cast("decimal(38,0)")
+        total = (s["sum"] * _power_of_ten(scale)).cast("decimal(38,0)")
+        squares = (s["squares"] * _power_of_ten(2 * scale)).cast("decimal(38,0)")
         centre = (total / n).cast("decimal(19,0)")
         from_centre = (squares - F.lit(2) * (centre * total) + n * (centre * centre)).cast("double")
         drift = (total - n * centre).cast("double")

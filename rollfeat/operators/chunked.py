@@ -93,13 +93,17 @@ def direct_features(seconds: DataFrame, keys: list[str], bound) -> DataFrame:
     return windowed.select(*keys, _SEC, *outputs)
 
 
-def chunked_features(seconds: DataFrame, keys: list[str], bound) -> DataFrame:
-    """Features per (key, second) for keys of any size."""
-    parts = [_grid_features(seconds, keys, bound, grid) for grid in plan_grids([f.seconds for f in bound.features])]
+def chunked_features(seconds: DataFrame, keys: list[str], bound, first_kept: Column | None = None) -> DataFrame:
+    """Features per (key, second) for keys of any size.
+
+    ``first_kept`` is the earliest second that features are wanted for: copies into chunks before it are not made.
+    """
+    grids = plan_grids([f.seconds for f in bound.features])
+    parts = [_grid_features(seconds, keys, bound, grid, first_kept) for grid in grids]
     return reduce(lambda left, right: _join_seconds(left, right, keys), parts)
 
 
-def _grid_features(seconds: DataFrame, keys: list[str], bound, grid: Grid) -> DataFrame:
+def _grid_features(seconds: DataFrame, keys: list[str], bound, grid: Grid, first_kept: Column | None) -> DataFrame:
     names = [s.name for s in bound.states]
     sec, width = F.col(_SEC), F.lit(grid.width).cast("bigint")
     chunk = F.floor(sec / width)
@@ -115,8 +119,11 @@ def _grid_features(seconds: DataFrame, keys: list[str], bound, grid: Grid) -> Da
     placed = seconds.select(
         *keys, _KEEP, *names, F.explode(F.filter(F.array(*places), lambda p: p.isNotNull())).alias("__place")
     ).select(*keys, "__place.*", _KEEP, *names)
+    if first_kept is not None:
+        placed = placed.where(F.col(_CHUNK).isNull() | (F.col(_CHUNK) >= F.floor(first_kept / width)))
     rows = placed.select(*columns)
-    totals = _whole_chunks(seconds.withColumn(_CHUNK, chunk).where(sec.isNotNull()), keys, bound, grid)
+    # No filter here: the totals then read the very shuffle that the copies are made from.
+    totals = _whole_chunks(seconds.withColumn(_CHUNK, chunk), keys, bound, grid)
     if totals is not None:
         rows = rows.unionByName(totals.select(*columns))
 

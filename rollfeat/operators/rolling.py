@@ -201,12 +201,13 @@ def _features_by_second(df, block, strategy, keep, limits) -> DataFrame | None:
         if hot is None:
             return None
     seconds = chunked.per_second(rows, key_names, bound)
+    first_kept = None if keep is None else rows.where("__keep").select(F.min(_SEC)).scalar()
     if strategy == "chunked":
-        return chunked.chunked_features(seconds, key_names, bound)
+        return chunked.chunked_features(seconds, key_names, bound, first_kept)
     on = [same(F.col(k), F.col(f"__hot{k}")) for k in key_names]
     hot_keys = hot.keys(key_names, "__hot")
     dense, sparse = (seconds.join(hot_keys, on, how) for how in ("left_semi", "left_anti"))
-    return chunked.chunked_features(dense, key_names, bound).unionByName(
+    return chunked.chunked_features(dense, key_names, bound, first_kept).unionByName(
         chunked.direct_features(sparse, key_names, bound)
     )
 

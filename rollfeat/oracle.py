@@ -63,6 +63,8 @@ def rolling_sql(b: RollingBlock) -> list[str]:
             "max": f"cast(max({f.column}) {over} AS double)",
             "var_samp": variance,
             "stddev": f"sqrt({variance})",
+            # A sketch of a few values holds them all, so its estimate is the exact number.
+            "approx_count_distinct": f"cast(count(DISTINCT {f.column}) {over} AS double)",
         }[f.aggregation]
         items.append(f"{expression} AS {f.name}")
     return items
@@ -214,7 +216,7 @@ SELECT tx_id, tx_ts, cast(cast(tx_amount AS decimal(18,2)) AS double) AS tx_amou
     "training_columns": f"SELECT * EXCLUDE (tx_id, tx_ts, customer_id, terminal_id) FROM ({preset_sql(STAGED, PRESET_B)})",
     "time_split_train": between(STAGED, TRAIN),
     "time_split_val": between(STAGED, VALIDATION),
-    "hash_sample_1pct": f"SELECT * FROM ({STAGED}) WHERE {SAMPLED}",
+    "hash_sample": f"SELECT * FROM ({STAGED}) WHERE {SAMPLED}",
     "hash_sample_values": f"SELECT tx_id, {HASH} AS hash FROM ({STAGED})",
     "weekday": f"SELECT tx_id, dayname(tx_ts) AS day_of_the_week FROM ({TX})",
     "unix_seconds": f"SELECT tx_id, {SECOND.format('tx_ts')} AS seconds FROM ({TX})",
@@ -225,6 +227,7 @@ SELECT tx_id, tx_ts, cast(cast(tx_amount AS decimal(18,2)) AS double) AS tx_amou
     "roll_max": rolled(ORDERS, block(["max"], ["3d", "28d", "175d"], partition=["terminal_id"])),
     "roll_sum": rolled(TX, block(["sum"], ["1h", "5d"])),
     "roll_stddev": rolled(TX, block(["stddev", "var_samp"], ["1d", "7d"])),
+    "roll_approx_distinct": rolled(TX, block(["approx_count_distinct"], ["1h", "2d"], column="terminal_id")),
     "roll_include_current": rolled(
         ORDERS, block(["count", "avg", "max"], ["1d", "28d"], partition=["terminal_id"], exclude_current_row=False)
     ),

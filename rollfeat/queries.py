@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollfeat.functions.scalars import epoch_seconds, event_date, text_hash, weekday_name
-from rollfeat.operators import quality
+from rollfeat.operators import quality, sampling
 from rollfeat.operators.asof import FeatureRows, asof_join
 from rollfeat.operators.hotkeys import Limits
 from rollfeat.operators.incremental import high_date, newer_than
 from rollfeat.operators.rolling import RollingBlock, with_rolling
-from rollfeat.operators.sampling import hash_sample, time_range
+from rollfeat.operators.sampling import time_range
 from rollfeat.plans import registry, training
 from rollfeat.plans.config import parse_config
 from rollfeat.plans.feature_table import load_features
@@ -223,7 +223,7 @@ def instances_of(features: DataFrame) -> DataFrame:
 
 
 def sample_instances(features: DataFrame) -> DataFrame:
-    return instances_of(hash_sample(time_range(features, "tx_ts", *TRAIN), "tx_id"))
+    return instances_of(sampling.hash_sample(time_range(features, "tx_ts", *TRAIN), "tx_id"))
 
 
 @query
@@ -242,8 +242,8 @@ def time_split_val(spark, sf_dir):
 
 
 @query
-def hash_sample_1pct(spark, sf_dir):
-    return hash_sample(staged_events(spark, sf_dir), "tx_id")
+def hash_sample(spark, sf_dir):
+    return sampling.hash_sample(staged_events(spark, sf_dir), "tx_id")
 
 
 @query

@@ -262,3 +262,44 @@ def test_preset_blocks_share_two_windows(spark):
     ]
     plan = with_rolling(df, blocks, "direct")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Window [") == 2
+
+
+def test_plan_of_the_chunked_strategy(spark):
+    """States are combined before they are shuffled, that shuffle is read twice, and no window sorts a whole key."""
+    df = spark.createDataFrame(random_rows(200, 2, 40, seed=23), SCHEMA)
+    out = with_rolling(df, [RollingBlock(["count", "max"], ["v"], ["k"], ["1h", "5d", "28d"])], "chunked")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and "partial_max" in plan
+    windows = [line for line in plan.splitlines() if "+- Window [" in line]
+    assert len(windows) == 3
+    whole_key = [w for w in windows if "windowspecdefinition(__key_0" in w and ", __chunk" in w and "__pos" not in w]
+    assert len(whole_key) == 1  # over chunk totals, of which there are few
+    out.collect()
+    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_crowded_second_is_split_when_features_return_to_its_rows(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "30k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    rows = spark.range(0, 60_000, numPartitions=8).select(
+        "id",
+        (F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 997)).alias("k"),
+        (F.lit(datetime(2024, 1, 1)).cast("timestamp") + F.make_interval(secs=F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")))).cast("timestamp_ntz").alias("tx_ts"),
+        F.lit(1.0).alias("v"),
+        F.md5(F.col("id").cast("string")).alias("payload"),
+    )
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        out = with_rolling(rows, [RollingBlock(["count"], ["v"], ["k"], ["2d"], exclude_current_row=False)], "chunked")
+        assert out.where("id % 3 = 0").agg(F.min("count_v_by_k_2d_0s")).first()[0] >= 20_000
+        assert out.collect() and "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from rollfeat.functions.scalars import epoch_seconds, same
 from rollfeat.operators.hotkeys import Limits, find_hot_keys
 
-# The average number of rows a slice of a hot entity is meant to hold.
+# The number of rows a slice of a hot entity holds on average on the busiest day of that entity.
 SLICE_ROWS = 100_000
+_DAY = 86_400
 
 _ENTITY, _AT, _SIDE, _TIE, _SLICE, _FOUND = "__entity", "__at", "__side", "__tie", "__slice", "__found"
 _CARRY, _FEATURE, _PROBE = -1, 0, 1
@@ -57,7 +58,7 @@ def asof_join(
     )
     points = instances.select(F.col(entity).alias(_ENTITY), F.col(time).alias(_AT))
     times = facts.select(_ENTITY, _AT).unionByName(points).select(_ENTITY, epoch_seconds(_AT).alias("__sec"))
-    hot = find_hot_keys(times, [_ENTITY], "__sec", 1, limits)
+    hot = find_hot_keys(times, [_ENTITY], "__sec", _DAY, limits)
 
     if hot is None:
         probes = instances.select(
@@ -112,8 +113,7 @@ def _newest(feature: str, candidate: Column, condition: Column) -> Column:
 
 def _sliced(rows: DataFrame, hot, slice_rows: int) -> DataFrame:
     """Number the slices of hot entities; other entities are one slice, NULL."""
-    span = F.coalesce(F.col("last_sec") - F.col("first_sec") + 1, F.lit(1))
-    width = F.greatest(F.floor(span * F.lit(float(slice_rows)) / F.col("n")), F.lit(1).cast("bigint"))
+    width = F.greatest(F.floor(F.lit(float(_DAY) * slice_rows) / F.col("peak")), F.lit(1).cast("bigint"))
     slices = hot.frame.select(F.col(_ENTITY).alias("__hot_entity"), width.alias("__width"))
     if hot.listed:
         slices = F.broadcast(slices)

@@ -28,7 +28,7 @@ class Limits:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Key columns with ``n``, ``first_sec`` and ``last_sec``. ``listed``: known to be a short local list."""
+    """Key columns with ``n`` (rows) and ``peak`` (most rows in one span). ``listed``: known to be a short local list."""
 
     frame: DataFrame
     listed: bool
@@ -42,30 +42,33 @@ class HotKeys:
 def find_hot_keys(df: DataFrame, keys: list[str], seconds: str, span_seconds: int, limits: Limits) -> HotKeys | None:
     """The keys that should not be windowed whole, or None.
 
-    One pass over the key and time columns, combined before the shuffle, so a key with a third of all rows costs no
-    more than any other. ``span_seconds`` is the longest look-back.
+    Rows are counted per key and span of ``span_seconds`` (the longest look-back), so a key that is quiet but for one
+    burst is found too. It is one pass over the key and time columns, combined before the shuffle: a key with a third
+    of all rows costs no more than any other.
     """
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min(seconds).alias("first_sec"), F.max(seconds).alias("last_sec")
+    span = F.floor(F.col(seconds) / F.lit(span_seconds)).alias("span")
+    per_span = df.groupBy(*keys, span).agg(F.count(F.lit(1)).alias("n"))
+    rows = F.col("n").cast("double")
+    per_key = per_span.groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.max("n").alias("peak"), F.sum(rows * rows).alias("steps")
     )
-    covered = F.greatest(F.col("last_sec") - F.col("first_sec") + 1, F.lit(span_seconds))
-    in_span = F.coalesce(F.col("n") * (F.lit(float(span_seconds)) / covered), F.col("n").cast("double"))
-    hot = (F.col("n") > limits.rows_per_key) | (in_span > limits.rows_per_span)
+    hot = (F.col("n") > limits.rows_per_key) | (F.col("peak") > limits.rows_per_span)
     per_key = per_key.persist()
     try:
-        count, most, total, largest = per_key.select(hot.alias("hot"), (F.col("n") * in_span).alias("steps"), "n").agg(
-            F.count_if("hot"), F.max("steps"), F.sum("steps"), F.max("n")
+        count, most, total, largest = per_key.agg(
+            F.count_if(hot), F.max("steps"), F.sum("steps"), F.max("n")
         ).first()
         if not count:
             return None
         small = most <= limits.small_steps_per_key and total <= limits.small_steps
         if small and largest <= limits.rows_per_key:
             return None
+        found = per_key.where(hot).select(*keys, "n", "peak")
         if count > limits.listed_keys:
-            return HotKeys(per_key.where(hot), listed=False)
-        rows = [tuple(r) for r in per_key.where(hot).collect()]
+            return HotKeys(found, listed=False)
+        listed = [tuple(r) for r in found.collect()]
     finally:
         per_key.unpersist()
-    counters = [T.StructField(c, T.LongType()) for c in ("n", "first_sec", "last_sec")]
+    counters = [T.StructField(c, T.LongType()) for c in ("n", "peak")]
     schema = T.StructType([T.StructField(k, df.schema[k].dataType) for k in keys] + counters)
-    return HotKeys(df.sparkSession.createDataFrame(rows, schema), listed=True)
+    return HotKeys(df.sparkSession.createDataFrame(listed, schema), listed=True)

@@ -13,8 +13,9 @@ The chunk totals travel as a further row at the end of chunk ``c``, so the last
 Everything is a merge of states (nothing is subtracted), and a (key, chunk) group holds at most
 ``width * (long look-backs + 2)`` rows however many rows the key has.
 
-Look-backs up to :data:`SHORT_SECONDS` are plain sliding windows within a chunk, which for that purpose also holds
-the last rows of the chunk before it.
+Look-backs up to :data:`SHORT_SECONDS` are too short for such chunks. Where keys are crowded they divide a chunk into
+parts as long as themselves, with a copy of their own, and need no totals. Otherwise, and where they do not divide a
+chunk, they are plain sliding windows; for these a chunk also holds the last rows of the chunk before it.
 """
 
 from __future__ import annotations
@@ -29,8 +30,12 @@ from pyspark.sql import functions as F
 from rollfeat.functions.aggregates import STATES
 from rollfeat.functions.scalars import same
 
-# Look-backs of at most this many seconds are sliding windows: their frames hold at most that many rows.
+# The shortest chunk.
 SHORT_SECONDS = 3_600
+# Look-backs of at most this many seconds are sliding windows: their frames hold at most that many rows.
+SLIDING_SECONDS = 300
+# Longer ones still are, up to the shortest chunk, while their frames are known to hold about this many rows or fewer.
+SLIDING_ROWS = 200
 # The preferred chunk; at most this many distinct seconds per key and chunk.
 CHUNK_SECONDS = 86_400
 
@@ -44,11 +49,15 @@ class Grid:
 
     width: int
     long: list[int] = field(default_factory=list)
-    short: list[int] = field(default_factory=list)
+    nested: list[int] = field(default_factory=list)  # divide a chunk
+    sliding: list[int] = field(default_factory=list)
+
 
+def plan_grids(lookbacks: list[int], rows_per_second: float = 1.0) -> list[Grid]:
+    """Put look-backs on as few grids as possible, with chunks no shorter than the short look-backs.
 
-def plan_grids(lookbacks: list[int]) -> list[Grid]:
-    """Put look-backs on as few grids as possible, with chunks no shorter than the short look-backs."""
+    ``rows_per_second`` is the measured density of the densest key; there is never more than one state row a second.
+    """
     grids: list[Grid] = []
     for seconds in sorted({s for s in lookbacks if s > SHORT_SECONDS}, reverse=True):
         for grid in grids:
@@ -62,7 +71,10 @@ def plan_grids(lookbacks: list[int]) -> list[Grid]:
     if short:
         if not grids:
             grids.append(Grid(CHUNK_SECONDS))
-        grids[0].short = short
+        for seconds in short:
+            crowded = seconds > SLIDING_SECONDS and seconds * rows_per_second > SLIDING_ROWS
+            divides = crowded and grids[0].width % seconds == 0
+            (grids[0].nested if divides else grids[0].sliding).append(seconds)
     return grids
 
 
@@ -93,12 +105,14 @@ def direct_features(seconds: DataFrame, keys: list[str], bound) -> DataFrame:
     return windowed.select(*keys, _SEC, *outputs)
 
 
-def chunked_features(seconds: DataFrame, keys: list[str], bound, first_kept: Column | None = None) -> DataFrame:
+def chunked_features(
+    seconds: DataFrame, keys: list[str], bound, first_kept: Column | None = None, rows_per_second: float = 1.0
+) -> DataFrame:
     """Features per (key, second) for keys of any size.
 
     ``first_kept`` is the earliest second that features are wanted for: copies into chunks before it are not made.
     """
-    grids = plan_grids([f.seconds for f in bound.features])
+    grids = plan_grids([f.seconds for f in bound.features], rows_per_second)
     parts = [_grid_features(seconds, keys, bound, grid, first_kept) for grid in grids]
     return reduce(lambda left, right: _join_seconds(left, right, keys), parts)
 
@@ -109,12 +123,14 @@ def _grid_features(seconds: DataFrame, keys: list[str], bound, grid: Grid, first
     chunk = F.floor(sec / width)
     columns = [*keys, _CHUNK, _POS, _SIDE, _KEEP, *names]
 
-    # The row itself, its copies for the long look-backs, and its copy into the next chunk for the short ones.
+    # The row itself, its copies moved by a look-back, and its copy into the next chunk for sliding windows.
     places = [F.struct(chunk.alias(_CHUNK), sec.alias(_POS), F.lit(_ROWS).cast("bigint").alias(_SIDE))]
     for lookback in grid.long:
         places.append(_place(sec.isNotNull(), chunk + lookback // grid.width, sec + lookback, lookback))
-    if grid.short:
-        in_tail = sec >= (chunk + 1) * width - max(grid.short)
+    for lookback in grid.nested:
+        places.append(_place(sec.isNotNull(), F.floor((sec + lookback) / width), sec + lookback, lookback))
+    if grid.sliding:
+        in_tail = sec >= (chunk + 1) * width - max(grid.sliding)
         places.append(_place(in_tail, chunk + 1, sec, _HALO))
     placed = seconds.select(
         *keys, _KEEP, *names, F.explode(F.filter(F.array(*places), lambda p: p.isNotNull())).alias("__place")
@@ -128,32 +144,38 @@ def _grid_features(seconds: DataFrame, keys: list[str], bound, grid: Grid, first
         rows = rows.unionByName(totals.select(*columns))
 
     # Every window expression is named once here; features that share a state share its windows.
-    chunk_window = Window.partitionBy(*keys, _CHUNK)
-    ascending, descending = chunk_window.orderBy(_POS), chunk_window.orderBy(F.desc(_POS))
-    here, side = F.col(_SIDE) == _ROWS, F.col(_SIDE)
+    here, side, pos = F.col(_SIDE) == _ROWS, F.col(_SIDE), F.col(_POS)
+    nearby = side.isin(_ROWS, _HALO)
     end = bound.block.last_offset
-    features = [f for f in bound.features if f.seconds in grid.short + grid.long]
+    # Ascending frames have no use for copies: without a position there, they stay out of every sliding frame.
+    ascending = Window.partitionBy(*keys, _CHUNK).orderBy(F.when(nearby, pos))
+    features = [f for f in bound.features if f.seconds in grid.long + grid.nested + grid.sliding]
     running = {}
     for f in features:
+        part = [F.floor(pos / f.seconds)] if f.seconds in grid.nested else []
+        within = Window.partitionBy(*keys, _CHUNK, *part)
         for s in bound.states_of(f):
-            if f.seconds in grid.short:
-                seen = F.when(side.isin(_ROWS, _HALO), F.col(s.name))
-                running[_name(s, f.seconds)] = _merge(s, seen).over(ascending.rangeBetween(-f.seconds, end))
-            else:
-                running[_name(s, _ROWS)] = _merge(s, F.when(here, F.col(s.name))).over(
-                    ascending.rangeBetween(Window.unboundedPreceding, end)
-                )
-                running[_name(s, f.seconds)] = _merge(s, F.when(side == f.seconds, F.col(s.name))).over(
-                    descending.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+            state = F.col(s.name)
+            if f.seconds in grid.sliding:
+                running[_name(s, f.seconds)] = _merge(s, F.when(nearby, state)).over(
+                    ascending.rangeBetween(-f.seconds, end)
                 )
+                continue
+            up = within.orderBy(_POS) if part else ascending
+            running[_before(s, f, grid)] = _merge(s, F.when(here, state)).over(
+                up.rangeBetween(Window.unboundedPreceding, end)
+            )
+            running[_name(s, f.seconds)] = _merge(s, F.when(side == f.seconds, state)).over(
+                within.orderBy(F.desc(_POS)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+            )
     windowed = rows.select(*columns, *[c.alias(n) for n, c in running.items()]).where(here & F.col(_KEEP))
 
     def frame(f, s):
         value = F.col(_name(s, f.seconds))
-        if f.seconds in grid.long:
-            value = STATES[s.state].join(F.col(_name(s, _ROWS)), value)
+        if f.seconds not in grid.sliding:
+            value = STATES[s.state].join(F.col(_before(s, f, grid)), value)
         # Rows without a time are each other's whole frame.
-        return F.when(F.col(_POS).isNull(), F.col(s.name)).otherwise(value)
+        return F.when(pos.isNull(), F.col(s.name)).otherwise(value)
 
     outputs = [bound.finish(f, {s.state: frame(f, s) for s in bound.states_of(f)}) for f in features]
     return windowed.select(*keys, F.col(_POS).alias(_SEC), *outputs)
@@ -205,5 +227,10 @@ def _name(state, seconds: int) -> str:
     return f"{state.name}_{seconds}"
 
 
+def _before(state, feature, grid: Grid) -> str:
+    """The running aggregate up to a row; all long look-backs have the same."""
+    return f"{state.name}_before_{feature.seconds}" if feature.seconds in grid.nested else f"{state.name}_before"
+
+
 def _merge(state, value: Column) -> Column:
     return STATES[state.state].merge(value)

@@ -32,6 +32,7 @@ class HotKeys:
 
     frame: DataFrame
     listed: bool
+    peak: int  # of all keys
 
     def keys(self, names: list[str], prefix: str) -> DataFrame:
         """The keys under prefixed names; broadcast if their number was checked, left to the optimizer if not."""
@@ -55,9 +56,9 @@ def find_hot_keys(df: DataFrame, keys: list[str], seconds: str, span_seconds: in
     hot = (F.col("n") > limits.rows_per_key) | (F.col("peak") > limits.rows_per_span)
     per_key = per_key.persist()
     try:
-        count, most, total, largest = per_key.agg(
-            F.count_if(hot), F.max("steps"), F.sum("steps"), F.max("n")
-        ).first()
+        count, most, total, largest, peak = per_key.agg(
+            F.count_if(hot), F.max("steps"), F.sum("steps"), F.max("n"), F.max("peak")
+        ).first()
         if not count:
             return None
         small = most <= limits.small_steps_per_key and total <= limits.small_steps
@@ -65,10 +66,10 @@ def find_hot_keys(df: DataFrame, keys: list[str], seconds: str, span_seconds: in
             return None
         found = per_key.where(hot).select(*keys, "n", "peak")
         if count > limits.listed_keys:
-            return HotKeys(found, listed=False)
+            return HotKeys(found, False, peak)
         listed = [tuple(r) for r in found.collect()]
     finally:
         per_key.unpersist()
     counters = [T.StructField(c, T.LongType()) for c in ("n", "peak")]
     schema = T.StructType([T.StructField(k, df.schema[k].dataType) for k in keys] + counters)
-    return HotKeys(df.sparkSession.createDataFrame(listed, schema), listed=True)
+    return HotKeys(df.sparkSession.createDataFrame(listed, schema), True, peak)

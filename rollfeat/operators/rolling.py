@@ -207,7 +207,8 @@ def _features_by_second(df, block, strategy, keep, limits) -> DataFrame | None:
     on = [same(F.col(k), F.col(f"__hot{k}")) for k in key_names]
     hot_keys = hot.keys(key_names, "__hot")
     dense, sparse = (seconds.join(hot_keys, on, how) for how in ("left_semi", "left_anti"))
-    return chunked.chunked_features(dense, key_names, bound, first_kept).unionByName(
+    density = hot.peak / block.max_lookback
+    return chunked.chunked_features(dense, key_names, bound, first_kept, density).unionByName(
         chunked.direct_features(sparse, key_names, bound)
     )
 

@@ -174,7 +174,7 @@ def test_against_brute_force(spark, strategy, exclude):
     df = spark.createDataFrame(rows, SCHEMA)
     blocks = [
         RollingBlock(["count", "avg", "min", "stddev", "var_pop"], ["v"], ["k"], ["1h", "1d", "36h", "5d", "1w"], exclude_current_row=exclude),
-        RollingBlock(["max", "sum"], ["w", "v"], ["k2", "k"], ["10m", "2d", "100001s"], exclude_current_row=exclude),
+        RollingBlock(["max", "sum"], ["w", "v"], ["k2", "k"], ["2m", "10m", "50m", "2d", "100001s"], exclude_current_row=exclude),
     ]
     assert_matches(with_rolling(df, blocks, strategy, limits=EAGER), rows, blocks, exact=False)
 
@@ -245,12 +245,14 @@ def test_one_second_holding_a_third_of_all_rows(spark):
 def test_grids_divide_their_lookbacks():
     day = 86400
     (grid,) = plan_grids([3600, 5 * day, 28 * day, 90 * day, 95 * day])
-    assert (grid.width, sorted(grid.long), grid.short) == (day, [5 * day, 28 * day, 90 * day, 95 * day], [3600])
+    assert (grid.width, sorted(grid.long), grid.nested) == (day, [5 * day, 28 * day, 90 * day, 95 * day], [3600])
+    (grid,) = plan_grids([3600, 5 * day], rows_per_second=0.01)
+    assert (grid.nested, grid.sliding) == ([], [3600])
     for lookbacks in ([3601], [5400, 7200], [day + 1, 5 * day], [7919 * 1009], [60], [36 * 3600, 5 * day]):
         grids = plan_grids(lookbacks)
-        assert sorted(s for g in grids for s in g.long + g.short) == sorted(lookbacks)
+        assert sorted(s for g in grids for s in g.long + g.nested + g.sliding) == sorted(lookbacks)
         for g in grids:
-            assert all(s % g.width == 0 for s in g.long)
+            assert all(s % g.width == 0 for s in g.long) and all(g.width % s == 0 for s in g.nested)
             assert g.width >= SHORT_SECONDS and (g.width <= CHUNK_SECONDS or g.width in g.long)
 
 
@@ -267,7 +269,7 @@ def test_preset_blocks_share_two_windows(spark):
 def test_plan_of_the_chunked_strategy(spark):
     """States are combined before they are shuffled, that shuffle is read twice, and no window sorts a whole key."""
     df = spark.createDataFrame(random_rows(200, 2, 40, seed=23), SCHEMA)
-    out = with_rolling(df, [RollingBlock(["count", "max"], ["v"], ["k"], ["1h", "5d", "28d"])], "chunked")
+    out = with_rolling(df, [RollingBlock(["count", "max"], ["v"], ["k"], ["1m", "5d", "28d"])], "chunked")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan and "partial_max" in plan
     windows = [line for line in plan.splitlines() if "+- Window [" in line]

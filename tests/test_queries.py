@@ -10,8 +10,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import __spark_entry__ as spark_entry  # noqa: E402
 from oracle_check import compare, connect  # noqa: E402
 
+from rollfeat.oracle import ORACLE as rollfeat_oracle  # noqa: E402
+from rollfeat.queries import QUERIES as rollfeat_queries  # noqa: E402
+
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = spark_entry.queries(), spark_entry.oracle_sql()
+QUERIES, ORACLE = rollfeat_queries, rollfeat_oracle
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
 
@@ -25,7 +28,7 @@ def duck():
 
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"train_score", "importance_topk"}
+    assert set(rollfeat_queries) - set(ORACLE) == {"train_score", "importance_topk"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

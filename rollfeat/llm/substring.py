@@ -37,7 +37,7 @@ GRAM = 8
 ROWS = 3
 BLOCK_BITS = 16
 MOST_BITS = 1 << 31
-FLUSH = 2_000_000
+FLUSH = 400_000
 
 _WINDOW = (constants("window a", WIDTH), constants("window b", WIDTH))
 _GRAM = constants("window gram", GRAM)
@@ -163,10 +163,11 @@ def repeated_windows(docs: DataFrame, table: np.ndarray, bits: int) -> DataFrame
         row = np.repeat(np.arange(len(gathered)), [len(g[0]) for g in gathered])
         doc = ids[row]
         order = np.lexsort((doc, h2, h1))
-        h1, h2, start, row, doc = h1[order], h2[order], start[order], row[order], doc[order]
         new = np.ones(len(h1), bool)
-        new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-        first = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
+        new[1:] = (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])
+        # In the order of the texts, in which rows compress well.
+        first = np.empty_like(doc)
+        first[order] = doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
         open_ = doc == first
         yield _windows(h1[open_], h2[open_], doc[open_], copies[row[open_]], start[open_], None)
         rest = ~open_

@@ -71,7 +71,7 @@ def as_bytes(column) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def slices(batches: Iterable[pa.RecordBatch], *columns: str, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], *columns: str, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose text columns hold about ``most`` bytes, or in single rows."""
     for batch in batches:
         size = np.zeros(batch.num_rows, np.int64)

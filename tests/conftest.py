@@ -13,7 +13,7 @@ def spark(tmp_path_factory):
     scratch = tmp_path_factory.mktemp("scratch")
     session = build_session(
         "rollfeat-tests",
-        master="local[8]",
+        master=f"local[{os.environ.get('TEST_CPUS', '8')}]",
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",

@@ -27,10 +27,27 @@ def _add(a: Column, b: Column) -> Column:
     return F.coalesce(a + b, a, b)
 
 
+# Numbers whose squares are summed are whole numbers high * LIMB + low; sums of the three products then fit 38 digits
+# for any 64-bit number and for decimals of up to 24 digits.
+LIMB = 10**9
+
+
+def _high(v: Column) -> Column:
+    return F.floor(v / F.lit(Decimal(LIMB))).cast("decimal(18,0)")
+
+
+def _low(v: Column) -> Column:
+    return (v - _high(v) * F.lit(Decimal(LIMB))).cast("decimal(10,0)")
+
+
 STATES = {
     "count": State(F.count, F.sum, _add),
     "sum": State(F.sum, F.sum, _add),
-    "squares": State(lambda v: F.sum(v * v), F.sum, _add),
+    "high": State(lambda v: F.sum(_high(v)), F.sum, _add),
+    "low": State(lambda v: F.sum(_low(v)), F.sum, _add),
+    "high_high": State(lambda v: F.sum((_high(v) * _high(v)).cast("decimal(36,0)")), F.sum, _add),
+    "high_low": State(lambda v: F.sum((_high(v) * _low(v)).cast("decimal(28,0)")), F.sum, _add),
+    "low_low": State(lambda v: F.sum((_low(v) * _low(v)).cast("decimal(20,0)")), F.sum, _add),
     "min": State(F.min, F.min, F.least),
     "max": State(F.max, F.max, F.greatest),
     "sketch": State(
@@ -43,7 +60,6 @@ STATES = {
 class Aggregate:
     states: tuple[str, ...]
     finish: Callable[[dict[str, Column], int], Column]  # states and the decimal scale of the summed values
-    needs_exact: bool = False
 
 
 def _count(s, scale):
@@ -54,27 +70,63 @@ def _mean(s, scale):
     return s["sum"].cast("double") / F.nullif(s["count"], F.lit(0)).cast("double")
 
 
-def _power_of_ten(n: int) -> Column:
-    return F.lit(Decimal(10**n))
+def _whole(value: Column) -> Column:
+    return value.cast("decimal(38,0)")
+
+
+def _let(values: dict[str, Column], body: Callable[[Column], Column]) -> Column:
+    """``body`` of a struct of values, each computed once however often the body uses it."""
+    return F.get(F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), body), F.lit(0))
+
+
+def _all(v: Column, *more: str) -> dict[str, Column]:
+    return {name: v[name] for name in (*_MOMENTS[1:], "n", *more)}
 
 
 def _variance(lost: int):
     """Variance with ``lost`` degrees of freedom less than rows.
 
-    The states are exact decimals. They are scaled to whole numbers and shifted by the rounded mean before anything
-    becomes floating point, so no digits cancel.
+    The states are exact whole numbers, of values scaled by their decimal places. They are shifted by the rounded mean
+    before anything becomes floating point, so no digits cancel.
     """
 
     def finish(s, scale):
-        n = F.nullif(s["count"], F.lit(0)).cast("decimal(19,0)")
-        total = (s["sum"] * _power_of_ten(scale)).cast("decimal(38,0)")
-        squares = (s["squares"] * _power_of_ten(2 * scale)).cast("decimal(38,0)")
-        centre = (total / n).cast("decimal(19,0)")
-        from_centre = (squares - F.lit(2) * (centre * total) + n * (centre * centre)).cast("double")
-        drift = (total - n * centre).cast("double")
-        deviations = F.greatest(from_centre - drift * drift / n.cast("double"), F.lit(0.0))
-        degrees = s["count"].cast("double") - F.lit(float(lost))
-        return F.when(s["count"] > lost, deviations / degrees / F.lit(float(10 ** (2 * scale))))
+        # The centre is the rounded mean, in the same two limbs.
+        start = _let({name: s[name] for name in _MOMENTS} | {"n": F.nullif(s["count"], F.lit(0)).cast("decimal(12,0)")}, with_high)
+        return F.when(s["count"] > lost, start / F.lit(float(10 ** (2 * scale))))
+
+    def with_high(v):
+        return _let(_all(v) | {"centre_high": F.floor(v["high"] / v["n"]).cast("decimal(18,0)")}, with_spare)
+
+    def with_spare(v):
+        spare = ((v["high"] - v["centre_high"] * v["n"]) * F.lit(Decimal(LIMB)) + v["low"]).cast("decimal(38,0)")
+        return _let(_all(v, "centre_high") | {"spare": spare}, with_low)
+
+    def with_low(v):
+        return _let(_all(v, "centre_high", "spare") | {"centre_low": (v["spare"] / v["n"]).cast("decimal(20,0)")}, with_products)
+
+    def with_products(v):
+        def around(products, a, b, sum_a, sum_b):
+            return (products - _whole(a * sum_b) - _whole(b * sum_a) + _whole(v["n"] * _whole(a * b))).cast("decimal(38,0)")
+
+        high, low = v["centre_high"], v["centre_low"]
+        products = {
+            "highs": around(v["high_high"], high, high, v["high"], v["high"]),
+            "mixed": around(v["high_low"], high, low, v["high"], v["low"]),
+            "lows": around(v["low_low"], low, low, v["low"], v["low"]),
+        }
+        return _let({"n": v["n"], "drift": (v["spare"] - v["n"] * low).cast("double")} | products, together)
+
+    def together(v):
+        highs, mixed, lows, limb = v["highs"], v["mixed"], v["lows"], F.lit(Decimal(LIMB))
+        # Near the centre the three sums cancel and are put together exactly; far from it the first one decides.
+        near = (F.abs(highs) < F.lit(Decimal(10**12))) & (F.abs(mixed) < F.lit(Decimal(10**24)))
+        exact = _whole(_whole(_whole(F.when(near, highs) * limb) * limb) + _whole(F.lit(2) * F.when(near, mixed)) * limb) + lows
+        rough = highs.cast("double") * F.lit(1e18) + mixed.cast("double") * F.lit(2e9) + lows.cast("double")
+        from_centre = F.when(near, exact.cast("double")).otherwise(rough)
+        size = v["n"].cast("double")
+        deviations = F.greatest(from_centre - v["drift"] * v["drift"] / size, F.lit(0.0))
+        return deviations / F.nullif(size - F.lit(float(lost)), F.lit(0.0))
 
     return finish
 
@@ -83,7 +135,18 @@ def _root(finish):
     return lambda s, scale: F.sqrt(finish(s, scale))
 
 
-_MOMENTS = ("count", "sum", "squares")
+_MOMENTS = ("count", "high", "low", "high_high", "high_low", "low_low")
+# States that are built from values scaled to whole numbers.
+SCALED = frozenset(_MOMENTS) - {"count"}
+# States that depend on row order unless their values are exact.
+SUMMED = SCALED | {"sum"}
+
+
+def _estimate(s, scale):
+    # A sketch that was never merged is estimated in another way than a merged one. Merged with itself it holds the
+    # same, and the answer depends on the values alone, not on the plan that gathered them.
+    return F.coalesce(F.hll_sketch_estimate(F.hll_union(s["sketch"], s["sketch"])), F.lit(0)).cast("double")
+
 
 AGGREGATES = {
     "count": Aggregate(("count",), _count),
@@ -91,15 +154,13 @@ AGGREGATES = {
     "min": Aggregate(("min",), lambda s, _: s["min"].cast("double")),
     "max": Aggregate(("max",), lambda s, _: s["max"].cast("double")),
     "sum": Aggregate(("sum",), lambda s, _: s["sum"].cast("double")),
-    "stddev": Aggregate(_MOMENTS, _root(_variance(1)), True),
-    "stddev_samp": Aggregate(_MOMENTS, _root(_variance(1)), True),
-    "stddev_pop": Aggregate(_MOMENTS, _root(_variance(0)), True),
-    "variance": Aggregate(_MOMENTS, _variance(1), True),
-    "var_samp": Aggregate(_MOMENTS, _variance(1), True),
-    "var_pop": Aggregate(_MOMENTS, _variance(0), True),
-    "approx_count_distinct": Aggregate(
-        ("sketch",), lambda s, _: F.coalesce(F.hll_sketch_estimate(s["sketch"]), F.lit(0)).cast("double")
-    ),
+    "stddev": Aggregate(_MOMENTS, _root(_variance(1))),
+    "stddev_samp": Aggregate(_MOMENTS, _root(_variance(1))),
+    "stddev_pop": Aggregate(_MOMENTS, _root(_variance(0))),
+    "variance": Aggregate(_MOMENTS, _variance(1)),
+    "var_samp": Aggregate(_MOMENTS, _variance(1)),
+    "var_pop": Aggregate(_MOMENTS, _variance(0)),
+    "approx_count_distinct": Aggregate(("sketch",), _estimate),
 }
 
 
@@ -112,10 +173,10 @@ def aggregate(name: str) -> Aggregate:
 
 
 def exact_decimal(data_type: T.DataType, exact_type: str | None) -> T.DecimalType | None:
-    """The decimal type values are summed in, or None when they are summed as doubles.
+    """The decimal type values are summed in, or None for floating-point values that have none.
 
     Decimals and whole numbers always sum exactly. Floating-point values do when ``exact_type`` (for example
-    ``decimal(18,2)``) says how many digits matter; otherwise their sums depend on row order in the last bits.
+    ``decimal(18,2)``) says how many digits matter; without it their sums would depend on the plan in the last bits.
     """
     if isinstance(data_type, T.DecimalType):
         return data_type

@@ -22,7 +22,8 @@ _CARRY, _FEATURE, _PROBE = -1, 0, 1
 
 @dataclass(frozen=True)
 class FeatureRows:
-    """Feature values of one entity type. Of rows with equal entity and time, the highest ``tie_break`` counts."""
+    """Feature values of one entity type. Of rows with equal entity and time, the highest ``tie_break`` counts, then the
+    highest features (compared in their order; each by itself where features are looked up one by one). NULL is lowest."""
 
     frame: DataFrame
     entity: str
@@ -87,14 +88,18 @@ def _rows(facts: DataFrame, probes: DataFrame, features: Sequence[str], tie_type
 
 def _latest(rows: DataFrame, group: list[str], features: Sequence[str], per_feature: bool) -> DataFrame:
     """Replace the features of every row by the latest ones seen up to it. Features sort before probes of the same
-    time; what was carried in sorts first."""
+    time; what was carried in sorts first. All rows of a tie first get its best, so which one sorts last does not matter."""
     order = [F.col(_SIDE) != _CARRY, _AT, _SIDE, _TIE]
-    seen = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ordered = Window.partitionBy(*group).orderBy(*order)
+    seen = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ties = ordered.rangeBetween(Window.currentRow, Window.currentRow)
     others = [c for c in rows.columns if c not in features]
     if per_feature:
-        return rows.select(*others, *[F.last(f, ignorenulls=True).over(seen).alias(f) for f in features])
+        best = rows.select(*others, *[F.max(f).over(ties).alias(f) for f in features])
+        return best.select(*others, *[F.last(f, ignorenulls=True).over(seen).alias(f) for f in features])
     whole = F.when(F.col(_SIDE) != _PROBE, F.struct(*features))
-    found = rows.select(*others, F.last(whole, ignorenulls=True).over(seen).alias(_FOUND))
+    best = rows.select(*others, F.max(whole).over(ties).alias(_FOUND))
+    found = best.select(*others, F.last(_FOUND, ignorenulls=True).over(seen).alias(_FOUND))
     return found.select(*others, *[F.col(_FOUND)[f].alias(f) for f in features])
 
 

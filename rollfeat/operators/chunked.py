@@ -9,6 +9,10 @@ shuffle. Time is then cut into chunks of ``width`` seconds. With a look-back of
 * the part of chunk ``c - m`` from ``t - lookback`` on: chunk ``c - m`` is copied to chunk ``c`` with its seconds
   moved forward by the look-back, where the part is a running aggregate, descending.
 
+A look-back of ``m`` chunks and a remainder of ``r`` seconds is the same with one part more: moved forward by the look-back, the
+seconds of chunk ``c`` come from two chunks, and between them and the whole chunks lie the last ``r`` seconds of chunk
+``c - m``, which have a total of their own.
+
 The chunk totals travel as a further row at the end of chunk ``c``, so the last two parts are one running aggregate.
 Everything is a merge of states (nothing is subtracted), and a (key, chunk) group holds at most
 ``width * (long look-backs + 2)`` rows however many rows the key has.
@@ -45,7 +49,7 @@ _ROWS, _HALO = -1, -2  # other sides are look-backs in seconds
 
 @dataclass
 class Grid:
-    """Look-backs that share one chunk width, which divides all the long ones."""
+    """Look-backs that share one chunk width. It divides those among the long ones that have a suitable divisor."""
 
     width: int
     long: list[int] = field(default_factory=list)
@@ -66,7 +70,11 @@ def plan_grids(lookbacks: list[int], rows_per_second: float = 1.0) -> list[Grid]
                 grid.long.append(seconds)
                 break
         else:
-            grids.append(Grid(_chunk_width(seconds), [seconds]))
+            width = _chunk_width(seconds)
+            if width is None and grids:
+                grids[0].long.append(seconds)
+            else:
+                grids.append(Grid(width or CHUNK_SECONDS, [seconds]))
     short = sorted({s for s in lookbacks if s <= SHORT_SECONDS})
     if short:
         if not grids:
@@ -78,9 +86,9 @@ def plan_grids(lookbacks: list[int], rows_per_second: float = 1.0) -> list[Grid]
     return grids
 
 
-def _chunk_width(seconds: int) -> int:
-    """The largest divisor between the two limits, or the look-back itself if there is none."""
-    return next((w for w in range(min(CHUNK_SECONDS, seconds), SHORT_SECONDS - 1, -1) if seconds % w == 0), seconds)
+def _chunk_width(seconds: int) -> int | None:
+    """The largest divisor between the two limits, if there is one."""
+    return next((w for w in range(min(CHUNK_SECONDS, seconds), SHORT_SECONDS - 1, -1) if seconds % w == 0), None)
 
 
 def per_second(rows: DataFrame, keys: list[str], bound) -> DataFrame:
@@ -125,9 +133,7 @@ def _grid_features(seconds: DataFrame, keys: list[str], bound, grid: Grid, first
 
     # The row itself, its copies moved by a look-back, and its copy into the next chunk for sliding windows.
     places = [F.struct(chunk.alias(_CHUNK), sec.alias(_POS), F.lit(_ROWS).cast("bigint").alias(_SIDE))]
-    for lookback in grid.long:
-        places.append(_place(sec.isNotNull(), chunk + lookback // grid.width, sec + lookback, lookback))
-    for lookback in grid.nested:
+    for lookback in grid.long + grid.nested:
         places.append(_place(sec.isNotNull(), F.floor((sec + lookback) / width), sec + lookback, lookback))
     if grid.sliding:
         in_tail = sec >= (chunk + 1) * width - max(grid.sliding)
@@ -183,22 +189,36 @@ def _grid_features(seconds: DataFrame, keys: list[str], bound, grid: Grid, first
 
 def _whole_chunks(seconds: DataFrame, keys: list[str], bound, grid: Grid) -> DataFrame | None:
     """For every chunk and long look-back, the states of the chunks that lie wholly inside all its frames."""
-    spans = {lookback: lookback // grid.width for lookback in grid.long if lookback > grid.width}
+    spans = {lookback: divmod(lookback, grid.width) for lookback in grid.long if lookback > grid.width}
     if not spans:
         return None
+    used = {lookback: {s.name for f in bound.features if f.seconds == lookback for s in bound.states_of(f)} for lookback in spans}
+    tails = []
+    for lookback, (_, rest) in spans.items():
+        if rest:
+            in_tail = F.pmod(F.col(_SEC), F.lit(grid.width)) >= grid.width - rest
+            tails += [_merge(s, F.when(in_tail, F.col(s.name))).alias(_tail(s, lookback)) for s in bound.states if s.name in used[lookback]]
     totals = seconds.groupBy(*keys, _CHUNK).agg(
-        F.max(_KEEP).alias(_KEEP), *[_merge(s, F.col(s.name)).alias(s.name) for s in bound.states]
+        F.max(_KEEP).alias(_KEEP), *[_merge(s, F.col(s.name)).alias(s.name) for s in bound.states], *tails
     )
     window = Window.partitionBy(*keys).orderBy(_CHUNK)
+
+    def between(state, lookback: int) -> Column:
+        chunks, rest = spans[lookback]
+        parts = []
+        if chunks > 1:
+            parts.append(_merge(state, F.col(state.name)).over(window.rangeBetween(1 - chunks, -1)))
+        if rest:
+            parts.append(_merge(state, F.col(_tail(state, lookback))).over(window.rangeBetween(-chunks, -chunks)))
+        return reduce(STATES[state.state].join, parts)
+
     sums = []
-    for lookback, chunks in spans.items():
-        frame = window.rangeBetween(1 - chunks, -1)
-        used = {s.name for f in bound.features if f.seconds == lookback for s in bound.states_of(f)}
+    for lookback in spans:
         sums.append(
             F.struct(
                 F.lit(lookback).cast("bigint").alias(_SIDE),
                 *[
-                    (_merge(s, F.col(s.name)).over(frame) if s.name in used else F.lit(None).cast(totals.schema[s.name].dataType)).alias(s.name)
+                    (between(s, lookback) if s.name in used[lookback] else F.lit(None)).cast(totals.schema[s.name].dataType).alias(s.name)
                     for s in bound.states
                 ],
             )
@@ -223,6 +243,10 @@ def _place(condition: Column, chunk: Column, pos: Column, side: int) -> Column:
     return F.when(condition, place)
 
 
+def _tail(state, lookback: int) -> str:
+    return f"{state.name}_tail_{lookback}"
+
+
 def _name(state, seconds: int) -> str:
     return f"{state.name}_{seconds}"
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -33,17 +34,31 @@ def freshness(df: DataFrame, timestamp: str, now: Column, warn_after: str = "24h
     return df.agg(F.max(timestamp).alias("latest")).select("latest", age.alias("age_seconds"), status.alias("status"))
 
 
-def report(checks: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per check: its name, the number of failing rows, and ``pass`` or ``fail``."""
-    rows = [
-        failing.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(name).alias("check_name"),
-            "failures",
-            F.when(F.col("failures") == 0, "pass").otherwise("fail").alias("status"),
-        )
-        for name, failing in checks.items()
-    ]
-    return reduce(DataFrame.unionByName, rows)
+@dataclass(frozen=True)
+class NotNull:
+    """A check for :func:`report`; all of one frame are counted in one pass."""
+
+    frame: DataFrame
+    column: str
+
+
+def report(checks: Mapping[str, DataFrame | NotNull]) -> DataFrame:
+    """One row per check: its name, the number of failing rows, and ``pass`` or ``fail``.
+
+    A check is a frame of failing rows, or :class:`NotNull`.
+    """
+    parts, by_frame = [], {}
+    for name, check in checks.items():
+        if isinstance(check, NotNull):
+            by_frame.setdefault(id(check.frame), []).append((name, check))
+        else:
+            parts.append(check.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("check_name"), "failures"))
+    for own in by_frame.values():
+        counts = own[0][1].frame.agg(*[F.count_if(F.col(c.column).isNull()).alias(f"__{i}") for i, (_, c) in enumerate(own)])
+        entries = [F.struct(F.lit(name).alias("check_name"), F.col(f"__{i}").alias("failures")) for i, (name, _) in enumerate(own)]
+        parts.append(counts.select(F.inline(F.array(*entries))))
+    counted = reduce(DataFrame.unionByName, parts)
+    return counted.select("check_name", "failures", F.when(F.col("failures") == 0, "pass").otherwise("fail").alias("status"))
 
 
 class ChecksFailed(AssertionError):

@@ -14,11 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollfeat.functions.aggregates import STATES, Aggregate, aggregate, exact_decimal
+from rollfeat.functions.aggregates import SCALED, STATES, SUMMED, Aggregate, aggregate, exact_decimal
 from rollfeat.functions.durations import parse_duration
 from rollfeat.functions.scalars import epoch_seconds, same
 from rollfeat.operators import chunked
@@ -37,7 +38,7 @@ class RollingBlock:
     lookbacks: Sequence[str]
     timestamp: str = "tx_ts"
     exclude_current_row: bool = True
-    exact_type: str | None = None  # decimal type in which floating-point columns are summed
+    exact_type: str | None = None  # decimal type in which floating-point columns are summed; sums of them need it
 
     def __post_init__(self):
         if isinstance(self.partition, str) or not self.partition:
@@ -96,7 +97,7 @@ class BoundBlock:
         types = {c: df.schema[df.select(c).columns[0]].dataType for c in dict.fromkeys(block.columns)}
         self._exact = {c: exact_decimal(t, block.exact_type) for c, t in types.items()}
         for f in self.features:
-            if f.spec.needs_exact and self._exact[f.column] is None:
+            if SUMMED & set(f.spec.states) and self._exact[f.column] is None:
                 raise ValueError(
                     f"{f.name}: {f.aggregation} over floating-point column {f.column!r} needs exact_type, "
                     "the decimal type in which its sums are taken"
@@ -111,7 +112,10 @@ class BoundBlock:
         """What a state is built from: the decimal form where it is summed, the plain column otherwise."""
         exact = self._exact[state.column]
         value = F.col(state.column)
-        return value.cast(exact) if state.state in ("sum", "squares") and exact is not None else value
+        if exact is None or state.state not in SUMMED:
+            return value
+        value = value.cast(exact)
+        return (value * F.lit(Decimal(10**exact.scale))).cast("decimal(38,0)") if state.state in SCALED else value
 
     def states_of(self, feature: Feature) -> list[StateColumn]:
         return [s for s in self.states if s.column == feature.column and s.state in feature.spec.states]

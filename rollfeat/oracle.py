@@ -8,6 +8,7 @@ from rollfeat.queries import (
     FIRST_LOAD_UNTIL,
     HOT_BLOCK,
     LABELLED_TRAIN,
+    LABELLED_VALIDATION,
     PASS_THROUGH,
     TRAIN,
     VALIDATION,
@@ -190,6 +191,29 @@ SELECT cast(tx_fraud AS double) AS tx_fraud, cast(d.n AS double) AS day_of_the_w
 FROM t JOIN d USING (day_of_the_week)"""
 
 
+def in_turn(first: list[int], second: list[int]) -> str:
+    """Two runs over one table, each with some of the customer features; the others are NULL."""
+    fields = list(CUSTOMER.source_fields.items())
+    names = [fields[i][0] for i in dict.fromkeys(first + second)]
+    kinds = {name: "BIGINT" if name.startswith("count") else "DOUBLE" for name in names}
+    parts = []
+    for run in (first, second):
+        own = dict(fields[i] for i in run)
+        items = ", ".join(f"{own.get(n, 'NULL')}::{kinds[n]} AS {n}" for n in names)
+        parts.append(f"SELECT customer_id AS entity_id, tx_ts AS feature_time, tx_id AS tie_break, {items} FROM ({preset_sql(STAGED, PRESET_B)})")
+    return " UNION ALL ".join(parts)
+
+
+def moments_sql() -> str:
+    """Numbers near 3e18 have the moments of what they exceed it by, which is a whole number: no cents."""
+    source = f"SELECT *, floor(tx_amount) AS large FROM ({ORDERS})"
+    amounts, large = (
+        rolling_sql(block(["stddev", "var_samp"], ["28d", "175d"], column=c, partition=["terminal_id"])) for c in ("tx_amount", "large")
+    )
+    large = [item.replace("round(large * 100)", "large").replace(" / 10000.0", " / 1.0") for item in large]
+    return f"SELECT tx_id, {', '.join(amounts + large)} FROM ({source})"
+
+
 def rolled(source: str, *blocks: RollingBlock) -> str:
     return with_features(source, *blocks, columns="tx_id")
 
@@ -276,6 +300,33 @@ FROM (SELECT max(tx_ts) AS latest,
         [({**row, "stored_type": "DOUBLE", "table_type": "INT64"}, c) for row, c in mapping_rows(CUSTOMER, ["count_28d"])]
     ),
     "ingest_customer": mapped(CUSTOMER),
+    "ingest_new_feature": in_turn([0], [0, 1]),
+    "ingest_subset": in_turn([0, 1], [1]),
+    "ingest_two_tables": f"""
+SELECT customer_id AS entity_id, tx_ts AS feature_time, tx_id AS tie_break, avg_tx_amount_by_customer_id_7d_1s AS avg_amount_7d,
+       NULL::BIGINT AS order_count_28d FROM ({preset_sql(STAGED, PRESET_B)})
+UNION ALL SELECT customer_id, tx_ts, tx_id, NULL, count_tx_amount_by_customer_id_28d_1s FROM ({preset_sql(ORDERS, PRESET_B)})""",
+    "asof_ties": " UNION ALL ".join(
+        f"SELECT *, '{plan}' AS plan FROM (" + asof_sql(
+            f"SELECT tx_id AS probe_id, event_type AS entity, tx_ts AS as_of FROM ({EVENTS})",
+            f"SELECT event_type AS entity, cast(date_trunc('hour', tx_ts) AS timestamp) AS as_of, tx_id AS tie, tx_id AS row_id, tx_amount FROM ({EVENTS})",
+            ["row_id", "tx_amount"],
+        ) + ")"
+        for plan in ("whole", "sliced")
+    ),
+    "features_created_at": f"SELECT tx_id, tx_ts, TIMESTAMP '2024-02-01 04:00:00' AS created_timestamp FROM ({STAGED})",
+    "full_refresh": preset_sql(STAGED, PRESET_B),
+    "roll_approx_distinct_wide": "SELECT tx_id, " + ", ".join(
+        f"count(tx_id) OVER (PARTITION BY event_type ORDER BY {SECOND.format('tx_ts')} RANGE BETWEEN {days * 86400} PRECEDING AND 1 PRECEDING) AS n_{days}d, true AS close_{days}d"
+        for days in (7, 28)
+    ) + f" FROM ({EVENTS})",
+    "roll_odd_lookback": rolled(ORDERS, block(["count", "avg", "max"], ["100003m", "28d"], partition=["terminal_id"])),
+    "roll_stddev_double": moments_sql(),
+    "train_split_stats": " UNION ALL ".join(
+        f"SELECT '{name}' AS split, count(*) AS n_rows, avg(cast(tx_fraud AS double)) AS label_mean FROM ({between(STAGED, bounds)}) WHERE tx_fraud IS NOT NULL"
+        for name, bounds in (("train", LABELLED_TRAIN), ("validation", LABELLED_VALIDATION))
+    ),
+    "top_counted": "SELECT l_partkey AS feature, count(*) AS score FROM lineitem GROUP BY 1 ORDER BY score DESC, feature LIMIT 40",
     "ingest_terminal": mapped(TERMINAL),
     "asof_customer": asof_sql(hourly("customer_id"), CUSTOMER_VALUES, ["avg_1h", "avg_5d"]),
     "asof_terminal": asof_sql(hourly("terminal_id"), TERMINAL_VALUES, ["max_3d", "tx_amount"]),

@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from typing import Any
 
 MODES = ("check_types_only", "ingest")
+# Columns of the tables that hold feature values.
+RESERVED = frozenset({"entity_id", "feature_time", "feature_date", "tie_break"})
 
 
 @dataclass(frozen=True)
@@ -82,6 +84,12 @@ def parse_config(raw: Mapping[str, Any]) -> StoreConfig:
                 labels=section.get("labels") or {},
             )
         )
+    listed = [(m.entity_type, f.name.lower()) for m in mappings for f in m.features if f.name]
+    for i, m in enumerate(mappings):
+        own = [(m.entity_type, f.name.lower()) for f in m.features if f.name]
+        elsewhere = sorted({name for kind, name in own if listed.count((kind, name)) > own.count((kind, name))})
+        problems += [f"feature_mapping[{i}]: feature {n} of {m.entity_type} is also mapped from another table" for n in elsewhere]
+        problems += [f"feature_mapping[{i}]: feature name {n} is reserved" for _, n in own if n in RESERVED]
     if problems:
         raise ConfigError("; ".join(problems))
     return StoreConfig(store_id, mode, tuple(mappings))

@@ -31,11 +31,14 @@ class Preset:
         return replace(self, blocks=tuple(replace(b, exact_type=exact_type) for b in self.blocks))
 
 
+# Amounts that are not decimals are summed in this type; ``summing_in`` gives another.
+MONEY = "decimal(18,2)"
+
 # The look-backs and aggregations of the two feature sets.
 PRESET_A = Preset(
     "preset_a",
     (
-        RollingBlock(["count", "avg", "min"], ["tx_amount"], ["customer_id"], ["1h", "5d", "28d", "90d", "95d"]),
+        RollingBlock(["count", "avg", "min"], ["tx_amount"], ["customer_id"], ["1h", "5d", "28d", "90d", "95d"], exact_type=MONEY),
         RollingBlock(["max"], ["tx_amount"], ["terminal_id"], ["1h", "3d", "28d", "90d", "175d"]),
     ),
     created_timestamp=True,
@@ -43,7 +46,7 @@ PRESET_A = Preset(
 PRESET_B = Preset(
     "preset_b",
     (
-        RollingBlock(["count", "avg", "min"], ["tx_amount"], ["customer_id"], ["1h", "7d", "28d", "90d"]),
+        RollingBlock(["count", "avg", "min"], ["tx_amount"], ["customer_id"], ["1h", "7d", "28d", "90d"], exact_type=MONEY),
         RollingBlock(["max"], ["tx_amount"], ["terminal_id"], ["1h", "3d", "28d", "90d", "175d"]),
     ),
     created_timestamp=False,

@@ -53,8 +53,8 @@ def value_types(schema: T.StructType) -> dict[str, str]:
 
 
 def schema_types(df: DataFrame) -> DataFrame:
-    """``value_types`` of a table as rows, with how many values each column holds."""
-    return _profiled(df, [(name, (name, kind)) for name, kind in value_types(df.schema).items()], "column_name string, value_type string")
+    """``value_types`` of a table as rows. Only the schema is looked at; :func:`profile` counts values."""
+    return df.sparkSession.createDataFrame(list(value_types(df.schema).items()), "column_name string, value_type string")
 
 
 class MappingError(ValueError):
@@ -96,9 +96,10 @@ def absent_rows(wanted: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def feature_mapping(df: DataFrame, mapping: EntityMapping) -> DataFrame:
-    """Feature -> column, with how many values the table has for it."""
-    rows = [(column, (mapping.entity_type, name, column)) for name, column in mapping.source_fields.items()]
-    return _profiled(df, rows, "entity_type string, feature_name string, column_name string")
+    """Feature -> column, for a table that has these columns."""
+    feature_rows(df.sparkSession, mapping, df.schema)  # complains about what is missing
+    rows = [(mapping.entity_type, name, column) for name, column in mapping.source_fields.items()]
+    return df.sparkSession.createDataFrame(rows, "entity_type string, feature_name string, column_name string")
 
 
 def type_mismatches(stored: DataFrame, mapping: EntityMapping, schema: T.StructType) -> DataFrame:
@@ -121,8 +122,8 @@ class TypeMismatch(AssertionError):
 
 def ingest_rows(df: DataFrame, mapping: EntityMapping, tie_break: str | None = None) -> DataFrame:
     """The mapped columns under their feature names, keyed by entity and feature time. ``tie_break`` orders rows that
-    share both."""
-    tie = F.lit(None).cast("string") if tie_break is None else F.col(tie_break).cast("string")
+    share both, in its own type."""
+    tie = F.lit(None).cast("string") if tie_break is None else F.col(tie_break)
     return df.select(
         F.col(mapping.entity_id_field).alias("entity_id"),
         F.col(mapping.feature_time).alias("feature_time"),
@@ -170,20 +171,24 @@ class FeatureStore:
             )
 
     def ingest(self, mapping: EntityMapping, df: DataFrame, tie_break: str | None = None) -> None:
+        """Append exactly the mapped features. Features that are new to the entity type become columns, NULL in older
+        rows; features left out are NULL in the new ones. Ingesting a table again repeats its rows, which does not change
+        what is served: of rows with equal entity and time, one is chosen by tie and values."""
         rows = ingest_rows(df, mapping, tie_break).select("*", F.to_date("feature_time").alias("feature_date"))
-        self.tables.append(self._values(mapping.entity_type), rows, partition_by=["feature_date"])
+        self.tables.append(self._values(mapping.entity_type), rows, partition_by=["feature_date"], widen=True)
 
     def values(self, entity_type: str) -> DataFrame:
         return self.tables.read(self._values(entity_type))
 
     def run(self, config: StoreConfig, tie_break: str | None = None) -> None:
         """Register everything a (checked) configuration names, then check types or ingest, as its mode says."""
-        frames = {m.entity_type: self.tables.read(m.table) for m in config.mappings}
-        for mapping in config.mappings:
-            feature_rows(self.spark, mapping, frames[mapping.entity_type].schema)  # all mappings before any change
+        sources = [(mapping, self.tables.read(mapping.table)) for mapping in config.mappings]
+        for mapping, frame in sources:  # all mappings before any change
+            feature_rows(self.spark, mapping, frame.schema)
+            if tie_break is not None and config.mode == "ingest" and tie_break.lower() not in {c.lower() for c in frame.columns}:
+                raise MappingError(f"table {mapping.table}, entity type {mapping.entity_type}: tie break column {tie_break} does not exist")
         self.create()
-        for mapping in config.mappings:
-            frame = frames[mapping.entity_type]
+        for mapping, frame in sources:
             self.register(mapping, frame.schema)
             if config.mode == "ingest":
                 self.ingest(mapping, frame, tie_break)
@@ -199,9 +204,14 @@ class FeatureStore:
         until: str | None = None,
         **options,
     ) -> DataFrame:
+        """As :func:`serve`, from the stored values. ``until`` (a date) keeps later values from being read; it must not
+        be earlier than the latest instance, whose values would silently be out of date."""
         frames = {entity_type: self.values(entity_type) for entity_type in feature_ids}
         if until is not None:
             last = F.to_date(F.lit(until))
+            latest = instances.agg(F.max(F.to_date(time)).alias("day")).select("day", (F.col("day") > last).alias("later")).first()
+            if latest["later"]:
+                raise ValueError(f"until {until} is before the latest instance, {latest['day']}")
             frames = {name: frame.where(F.col("feature_date") <= last) for name, frame in frames.items()}
         return serve(instances, frames, feature_ids, pass_through, time, **options)
 
@@ -237,12 +247,9 @@ def serve(
     return reduce(add, feature_ids, start)
 
 
-def _profiled(df: DataFrame, rows: list[tuple[str, tuple]], schema: str) -> DataFrame:
-    """Descriptive rows, each with the number of non-NULL values of one column, from a single pass over ``df``."""
-    names = [part.split()[0] for part in schema.split(",")]
-    counts = df.agg(*[F.count(F.col(column)).alias(f"__{i}") for i, (column, _) in enumerate(rows)])
-    entries = [
-        F.struct(*[F.lit(v).alias(n) for n, v in zip(names, described)], F.col(f"__{i}").alias("n_values"))
-        for i, (_, described) in enumerate(rows)
-    ]
+def profile(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """``(column_name, n_values)``: how many values, NULL not counted, each column holds. One pass; meant for stored tables."""
+    names = list(columns)
+    counts = df.agg(*[F.count(F.col(c)).alias(f"__{i}") for i, c in enumerate(names)])
+    entries = [F.struct(F.lit(c).alias("column_name"), F.col(f"__{i}").alias("n_values")) for i, c in enumerate(names)]
     return counts.select(F.inline(F.array(*entries)))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from rollfeat.sources.tables import typed
 
 LABEL = "tx_fraud"
+HELD_OUT = "__held_out"
 NOT_FEATURES = ("tx_id", "tx_ts", "tx_date", "customer_id", "terminal_id", "created_timestamp")
 NOT_FEATURES_SERVED = ("tx_id", "timestamp", "entity_type_customer", "entity_type_terminal", "created_timestamp")
 
@@ -74,13 +76,60 @@ class FeaturePlan:
         return [*indexers, VectorAssembler(inputCols=[i for i, _ in self.inputs], outputCol="features")]
 
 
-def fit(train: DataFrame, plan: FeaturePlan, rounds: int = 100, depth: int = 6, step: float = 0.3, **options) -> PipelineModel:
-    """Boosted regression trees on the 0/1 label. Encoders see the training rows only."""
+# Category values come to the driver when they are numbered; more of them are refused.
+MOST_CATEGORIES = 10_000
+
+
+def check_categories(train: DataFrame, plan: FeaturePlan) -> None:
+    counts = train.agg(*[F.approx_count_distinct(c).alias(c) for c in plan.categorical]).first() if plan.categorical else {}
+    many = [c for c in plan.categorical if counts[c] > MOST_CATEGORIES]
+    if many:
+        raise ValueError(f"too many distinct values for categories: {', '.join(many)}; hash or group them first")
+
+
+def fit(
+    train: DataFrame, plan: FeaturePlan, rounds: int = 100, depth: int = 6, step: float = 0.3, validation: DataFrame | None = None, **options
+) -> PipelineModel:
+    """Boosted regression trees on the 0/1 label. Encoders see the training rows only.
+
+    With ``validation`` rows, boosting ends once their error stops falling (``validationTol``).
+    """
+    check_categories(train, plan)
+    filled = plan.fill(train)
+    if validation is not None:
+        encoder = Pipeline(stages=plan.encoder()).fit(filled)
+        both = filled.withColumn(HELD_OUT, F.lit(False)).unionByName(plan.fill(validation).withColumn(HELD_OUT, F.lit(True)))
+        trees = GBTRegressor(
+            featuresCol="features", labelCol=plan.label, predictionCol="prediction", validationIndicatorCol=HELD_OUT,
+            maxIter=rounds, maxDepth=depth, stepSize=step, seed=7, **options,
+        )
+        return PipelineModel(stages=[*encoder.stages, trees.fit(encoder.transform(both))])
     trees = GBTRegressor(
         featuresCol="features", labelCol=plan.label, predictionCol="prediction",
         maxIter=rounds, maxDepth=depth, stepSize=step, seed=7, **options,
     )
-    return Pipeline(stages=[*plan.encoder(), trees]).fit(plan.fill(train))
+    return Pipeline(stages=[*plan.encoder(), trees]).fit(filled)
+
+
+def errors_by_round(model: PipelineModel, plan: FeaturePlan, splits: dict[str, DataFrame]) -> DataFrame:
+    """``(split, round, squared_error)``: the mean squared error of each split after each round."""
+    spark = SparkSession.active()
+    encoder, trees = PipelineModel(stages=model.stages[:-1]), model.stages[-1]
+    rows = [
+        (name, number, float(error))
+        for name, frame in splits.items()
+        for number, error in enumerate(trees.evaluateEachIteration(encoder.transform(plan.fill(frame)), "squared"), 1)
+    ]
+    return spark.createDataFrame(rows, "split string, round int, squared_error double")
+
+
+def split_stats(plan: FeaturePlan, splits: dict[str, DataFrame]) -> DataFrame:
+    """Labelled rows and mean label per split."""
+    rows = [
+        plan.fill(frame).agg(F.count(F.lit(1)).alias("n_rows"), F.avg(plan.label).alias("label_mean")).select(F.lit(name).alias("split"), "*")
+        for name, frame in splits.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def scores(model: PipelineModel, plan: FeaturePlan, splits: dict[str, DataFrame]) -> DataFrame:
@@ -107,7 +156,11 @@ def split_counts(model: PipelineModel, plan: FeaturePlan, path: str) -> DataFram
     spark = SparkSession.active()
     trees = model.stages[-1]
     trees.write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/data").select(F.col("nodeData.split.featureIndex").alias("i"))
+    saved = spark.read.parquet(f"{path}/data")
+    try:
+        nodes = saved.select(F.col("nodeData.split.featureIndex").alias("i"))
+    except AnalysisException as missing:
+        raise RuntimeError("this Spark version saves trees in another layout; splits cannot be counted") from missing
     names = F.array(*[F.lit(feature) for _, feature in plan.inputs])
     return (
         nodes.where(F.col("i") >= 0)

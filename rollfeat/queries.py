@@ -23,7 +23,7 @@ from rollfeat.operators.rolling import RollingBlock, with_rolling
 from rollfeat.operators.sampling import time_range
 from rollfeat.plans import registry, training
 from rollfeat.plans.config import parse_config
-from rollfeat.plans.feature_table import load_features
+from rollfeat.plans.feature_table import load_features, stage
 from rollfeat.plans.presets import PRESET_A, PRESET_B, build_features, label_transactions
 from rollfeat.session import scratch_dir, use_utc
 from rollfeat.sources import samples
@@ -183,8 +183,9 @@ def typed_read(spark, sf_dir):
 
 @query
 def staging_join(spark, sf_dir):
-    TableStore.view("rollfeat_staging", staged_events(spark, sf_dir))
-    return spark.table("rollfeat_staging")
+    name = f"rollfeat_staging_{uuid.uuid4().hex}"
+    TableStore.view(name, staged_events(spark, sf_dir))
+    return spark.table(name)
 
 
 @query
@@ -192,6 +193,14 @@ def features_preset_a(spark, sf_dir):
     return without_stamp(build_features(staged_events(spark, sf_dir), PRESET_A.summing_in(MONEY)))
 
 
+@query
+def features_created_at(spark, sf_dir):
+    """The time of the build, given from outside."""
+    stamp = F.lit("2024-02-01 04:00:00").cast("timestamp_ntz")
+    features = build_features(staged_events(spark, sf_dir), PRESET_A, created_at=stamp)
+    return features.select("tx_id", "tx_ts", "created_timestamp")
+
+
 @query
 def features_preset_b(spark, sf_dir):
     return build_features(staged_events(spark, sf_dir), PRESET_B.summing_in(MONEY))
@@ -306,6 +315,32 @@ def roll_approx_distinct(spark, sf_dir):
     )
 
 
+@query
+def roll_approx_distinct_wide(spark, sf_dir):
+    """Sketches of thousands of values: each estimate within a twentieth of the exact number."""
+    counted = block(["count", "approx_count_distinct"], ["7d", "28d"], column="tx_id", partition=["event_type"])
+    rows = rolled(events_by_type(spark, sf_dir), counted)
+    names = {d: [f"{a}_tx_id_by_event_type_{d}_1s" for a in ("count", "approx_count_distinct")] for d in ("7d", "28d")}
+    close = [(F.abs(F.col(about) - F.col(n)) <= F.col(n) * 0.05).alias(f"close_{d}") for d, (n, about) in names.items()]
+    return rows.select("tx_id", *[F.col(n).alias(f"n_{d}") for d, (n, _) in names.items()], *close)
+
+
+@query
+def roll_odd_lookback(spark, sf_dir):
+    """A look-back that no chunk divides, in chunks."""
+    return rolled(
+        samples.orders_tx(spark, sf_dir), block(["count", "avg", "max"], ["100003m", "28d"], partition=["terminal_id"]), strategy="chunked"
+    )
+
+
+@query
+def roll_stddev_double(spark, sf_dir):
+    """Moments of a floating-point column, of whole numbers near 3e18, and of the two plans."""
+    rows = samples.orders_tx(spark, sf_dir).withColumn("large", F.lit(3 * 10**18) + F.floor("tx_amount").cast("bigint"))
+    moments = [block(["stddev", "var_samp"], ["28d", "175d"], column=c, partition=["terminal_id"]) for c in ("tx_amount", "large")]
+    return rolled(rows, *moments, strategy="chunked")
+
+
 @query
 def roll_include_current(spark, sf_dir):
     return rolled(
@@ -396,6 +431,17 @@ def incremental_first_load(spark, sf_dir):
     return without_stamp(store.read(target))
 
 
+@query
+def full_refresh(spark, sf_dir):
+    """A table loaded up to a date, then replaced whole."""
+    store, database = new_store(spark)
+    staged = stage(store, f"{database}.staged", samples.events_tx(spark, sf_dir), samples.events_labels(spark, sf_dir))
+    target = f"{database}.features"
+    load_features(store, target, staged.where(F.col("tx_date") <= F.lit(FIRST_LOAD_UNTIL)), PRESET_B)
+    load_features(store, target, staged, PRESET_B, full_refresh=True)
+    return store.read(target).drop("tx_date")
+
+
 @query
 def incremental_filter(spark, sf_dir):
     store, database = new_store(spark)
@@ -438,9 +484,9 @@ def dq_report(spark, sf_dir):
     events, lines = samples.events_tx(spark, sf_dir), samples.lineitem_tx(spark, sf_dir)
     return quality.report(
         {
-            "events_tx_id_not_null": quality.not_null(events, "tx_id"),
+            "events_tx_id_not_null": quality.NotNull(events, "tx_id"),
             "events_tx_id_unique": quality.unique(events, "tx_id"),
-            "lineitem_tx_id_not_null": quality.not_null(lines, "tx_id"),
+            "lineitem_tx_id_not_null": quality.NotNull(lines, "tx_id"),
             "lineitem_tx_id_unique": quality.unique(lines, "tx_id"),
             "orders_tx_id_unique": quality.unique(samples.orders_tx(spark, sf_dir), "tx_id"),
         }
@@ -450,60 +496,120 @@ def dq_report(spark, sf_dir):
 # --- registry and feature values -----------------------------------------------------------------------------------
 
 
+def stored_features(spark, sf_dir, preset=PRESET_B):
+    """A feature table that is built once and read from then on."""
+    store, database = new_store(spark)
+    staged = stage(store, f"{database}.staged", samples.events_tx(spark, sf_dir), samples.events_labels(spark, sf_dir))
+    load_features(store, f"{database}.features", staged, preset)
+    return store, database, store.read(f"{database}.features")
+
+
+def with_counts(rows: DataFrame, features: DataFrame) -> DataFrame:
+    """Descriptive rows with the number of values their column holds."""
+    names = [c for c in features.columns if c != "tx_date"]
+    return rows.join(F.broadcast(registry.profile(features, names)), "column_name")
+
+
 @query
 def schema_types(spark, sf_dir):
-    return registry.schema_types(features_preset_b(spark, sf_dir))
+    _, _, features = stored_features(spark, sf_dir)
+    return with_counts(registry.schema_types(features), features)
 
 
 @query
 def feature_mapping(spark, sf_dir):
-    features = features_preset_b(spark, sf_dir)
-    return registry.feature_mapping(features, CUSTOMER).unionByName(registry.feature_mapping(features, TERMINAL))
+    return mapping_with_counts(stored_features(spark, sf_dir)[2])
+
+
+def mapping_with_counts(features: DataFrame) -> DataFrame:
+    mapped = registry.feature_mapping(features, CUSTOMER).unionByName(registry.feature_mapping(features, TERMINAL))
+    return with_counts(mapped, features)
 
 
 @query
 def registry_new_rows(spark, sf_dir):
     """The terminal features are registered already; the customer features are new. Each with its number of values."""
-    features = features_preset_b(spark, sf_dir)
+    _, _, features = stored_features(spark, sf_dir)
     wanted = registry.feature_rows(spark, CUSTOMER, features.schema).unionByName(
         registry.feature_rows(spark, TERMINAL, features.schema)
     )
     stored = registry.feature_rows(spark, TERMINAL, features.schema)
     new = registry.absent_rows(wanted, stored).select("entity_type", "feature_name", "value_type")
-    return new.join(feature_mapping(spark, sf_dir), ["entity_type", "feature_name"])
+    return new.join(mapping_with_counts(features), ["entity_type", "feature_name"])
 
 
 @query
 def type_check(spark, sf_dir):
     """One stored type is wrong; the mismatch comes back with the number of values it affects."""
-    features = features_preset_b(spark, sf_dir)
+    _, _, features = stored_features(spark, sf_dir)
     stored = registry.feature_rows(spark, CUSTOMER, features.schema).withColumn(
         "value_type", F.when(F.col("feature_name") == "count_28d", "DOUBLE").otherwise(F.col("value_type"))
     )
     mismatches = registry.type_mismatches(stored, CUSTOMER, features.schema)
-    counts = registry.feature_mapping(features, CUSTOMER).drop("column_name")
-    return mismatches.join(counts, ["entity_type", "feature_name"])
+    return with_counts(mismatches, features)
 
 
-def ingested(spark, sf_dir):
-    """Both entity types of the mapping, registered and ingested from a feature table."""
-    store, database = new_store(spark)
-    store.overwrite(f"{database}.features", features_preset_b(spark, sf_dir))
-    raw = {**MAPPING, "experimental_feature_store": {"id": database, "ingestion_mode": "ingest"}}
-    raw["feature_mapping"] = [{**m, "output_full_table_id": f"{database}.features"} for m in MAPPING["feature_mapping"]]
+def run_mappings(store, database, mappings) -> registry.FeatureStore:
+    raw = {"experimental_feature_store": {"id": database, "ingestion_mode": "ingest"}, "feature_mapping": mappings}
     features = registry.FeatureStore(store, database)
     features.run(parse_config(raw), tie_break="tx_id")
-    return features, store.read(f"{database}.features")
+    return features
+
+
+def ingested(spark, sf_dir, *entity_types):
+    """Entity types of the mapping, registered and ingested from a feature table."""
+    store, database, table = stored_features(spark, sf_dir)
+    wanted = [m for m in MAPPING["feature_mapping"] if m["entity_type_id"] in entity_types]
+    return run_mappings(store, database, [{**m, "output_full_table_id": f"{database}.features"} for m in wanted]), table
 
 
 @query
 def ingest_customer(spark, sf_dir):
-    return ingested(spark, sf_dir)[0].values("customer").drop("feature_date")
+    return ingested(spark, sf_dir, "customer")[0].values("customer").drop("feature_date")
 
 
 @query
 def ingest_terminal(spark, sf_dir):
-    return ingested(spark, sf_dir)[0].values("terminal").drop("feature_date")
+    return ingested(spark, sf_dir, "terminal")[0].values("terminal").drop("feature_date")
+
+
+def ingested_in_turn(spark, sf_dir, first: list[int], second: list[int]):
+    """The customer features by their numbers in the mapping, in two runs over the same table."""
+    store, database, _ = stored_features(spark, sf_dir)
+    mapping = {**MAPPING["feature_mapping"][0], "output_full_table_id": f"{database}.features"}
+    for numbers in (first, second):
+        features = run_mappings(store, database, [{**mapping, "features": [mapping["features"][i] for i in numbers]}])
+    return features.values("customer").drop("feature_date")
+
+
+@query
+def ingest_new_feature(spark, sf_dir):
+    """The second run adds a feature: NULL in the rows of the first run, filled in its own."""
+    return ingested_in_turn(spark, sf_dir, [0], [0, 1])
+
+
+@query
+def ingest_subset(spark, sf_dir):
+    """The second run has fewer features: what it leaves out is NULL in its rows."""
+    return ingested_in_turn(spark, sf_dir, [0, 1], [1])
+
+
+@query
+def ingest_two_tables(spark, sf_dir):
+    """One entity type with features from two tables, each ingested from its own."""
+    store, database, _ = stored_features(spark, sf_dir)
+    store.overwrite(f"{database}.orders", build_features(samples.orders_tx(spark, sf_dir), PRESET_B))
+    customer = MAPPING["feature_mapping"][0]
+    orders = {"feature_name": "order_count_28d", "column_name": "count_tx_amount_by_customer_id_28d_1s"}
+    features = run_mappings(
+        store,
+        database,
+        [
+            {**customer, "output_full_table_id": f"{database}.features", "features": customer["features"][:1]},
+            {**customer, "output_full_table_id": f"{database}.orders", "features": [orders]},
+        ],
+    )
+    return features.values("customer").drop("feature_date")
 
 
 # --- point-in-time joins -------------------------------------------------------------------------------------------
@@ -548,6 +654,19 @@ def asof_terminal(spark, sf_dir):
     return asof_join(hourly(spark, sf_dir, "terminal_id"), "entity", "as_of", terminal_values(spark, sf_dir))
 
 
+@query
+def asof_ties(spark, sf_dir):
+    """Feature times are cut to the hour, so most are shared: both plans choose the same row."""
+    events = events_by_type(spark, sf_dir)
+    hour = F.date_trunc("hour", "tx_ts").cast("timestamp_ntz")
+    instances = events.select(F.col("tx_id").alias("probe_id"), F.col("event_type").alias("entity"), F.col("tx_ts").alias("as_of"))
+    rows = events.select("event_type", hour.alias("tx_ts"), F.col("tx_id").alias("row_id"), "tx_amount")
+    values = FeatureRows(rows, "event_type", "tx_ts", ["row_id", "tx_amount"])
+    whole = asof_join(instances, "entity", "as_of", values, limits=Limits(rows_per_span=10**18, rows_per_key=10**18))
+    sliced = asof_join(instances, "entity", "as_of", values, limits=Limits(rows_per_key=200, small_steps=0), slice_rows=200)
+    return whole.withColumn("plan", F.lit("whole")).unionByName(sliced.withColumn("plan", F.lit("sliced")))
+
+
 @query
 def asof_hot_entity(spark, sf_dir):
     """Five entities hold all rows: each is cut into slices of time."""
@@ -562,9 +681,9 @@ def asof_hot_entity(spark, sf_dir):
 
 @query
 def serve_point_in_time(spark, sf_dir):
-    features, table = ingested(spark, sf_dir)
+    features, table = ingested(spark, sf_dir, "customer", "terminal")
     ids = {"customer": ["avg_amount_7d", "count_28d"], "terminal": ["max_amount_28d", "max_amount_90d"]}
-    return features.serve(instances_of(time_range(table, "tx_ts", *TRAIN)), ids, PASS_THROUGH, until=TRAIN[1])
+    return features.serve(instances_of(time_range(table, "tx_ts", *TRAIN, date="tx_date")), ids, PASS_THROUGH, until=TRAIN[1])
 
 
 # --- training ------------------------------------------------------------------------------------------------------
@@ -593,6 +712,27 @@ def fitted(spark, sf_dir):
     return training.fit(train, plan, rounds=10, depth=4), train, validation, plan
 
 
+@query
+def train_split_stats(spark, sf_dir):
+    """Rows and mean label of the labelled rows of each split."""
+    train, validation, plan = splits(spark, sf_dir)
+    return training.split_stats(plan, {"train": train, "validation": validation})
+
+
+@query
+def top_counted(spark, sf_dir):
+    """The forty parts ordered most often, ranked as features are."""
+    counts = samples.table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("feature")).agg(F.count(F.lit(1)).alias("score"))
+    return training.top_features(counts, 40)
+
+
+@query
+def train_rounds(spark, sf_dir):
+    """The error on both splits after each round; the validation rows take part in the fit only to end it early."""
+    train, validation, plan = splits(spark, sf_dir)
+    return training.errors_by_round(training.fit(train, plan, rounds=10, depth=4, validation=validation), plan, {"train": train, "validation": validation})
+
+
 @query
 def train_score(spark, sf_dir):
     model, train, validation, plan = fitted(spark, sf_dir)

@@ -8,8 +8,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app_name: str = "rollfeat", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the package relies on. Sizes are left to the cluster and adaptive execution."""
+def build_session(app_name: str = "rollfeat", master: str | None = None, initial_partitions: int | None = None, **conf: str) -> SparkSession:
+    """A session with the settings the package relies on. Sizes are left to the cluster and adaptive execution.
+
+    Adaptive execution merges small shuffle partitions but never makes more of them, so a large cluster should begin with
+    many: give ``initial_partitions`` about the largest shuffle over 128 MB.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
@@ -18,6 +22,7 @@ def build_session(app_name: str = "rollfeat", master: str | None = None, **conf:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        **({} if initial_partitions is None else {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial_partitions)}),
         **conf,
     }
     for key, value in settings.items():

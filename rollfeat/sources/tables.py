@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollfeat.session import scratch_dir
+
 TX_COLUMNS = ("tx_id", "tx_ts", "customer_id", "terminal_id", "tx_amount")
 LABEL_COLUMNS = ("tx_id", "tx_fraud")
 
@@ -26,6 +28,10 @@ class Sources:
         return self._spark.read.parquet(location) if "/" in location else self._spark.table(location)
 
 
+class ColumnsDiffer(ValueError):
+    pass
+
+
 class TableStore:
     """Databases below one root folder, with the four ways of writing a table the pipeline needs.
 
@@ -54,14 +60,39 @@ class TableStore:
         return True
 
     def overwrite(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
+        """Replace the table. The rows are computed to the scratch folder first, so a computation that fails leaves the old
+        table, and they may come from it."""
+        if self.exists(table):
+            path = scratch_dir(self.spark, "overwrite")
+            df.write.parquet(path)
+            df = self.spark.read.schema(df.schema).parquet(path)
         self._writer(df, partition_by).mode("overwrite").saveAsTable(table)
 
-    def append(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        """Plain append: no key is checked and no row replaced. Columns are matched by name."""
+    def append(self, table: str, df: DataFrame, partition_by: Sequence[str] = (), widen: bool = False) -> None:
+        """Plain append: no key is checked and no row replaced. Columns are matched by name.
+
+        Nothing is dropped: if the columns differ, the append is refused. With ``widen``, columns the table lacks are
+        added to it (NULL in the rows it has), and columns the frame lacks are NULL in the new rows.
+        """
         if self.exists(table):
-            df = df.select(*self.read(table).columns)
+            stored = self.read(table).schema
+            known, given = {f.name.lower() for f in stored}, {f.name.lower() for f in df.schema}
+            added = [f for f in df.schema if f.name.lower() not in known]
+            absent = [f for f in stored if f.name.lower() not in given]
+            if (added or absent) and not widen:
+                differing = "; ".join(f"{what}: {', '.join(f.name for f in fields)}" for what, fields in (("not in the table", added), ("not in the new rows", absent)) if fields)
+                raise ColumnsDiffer(f"{table} has other columns than the rows to append ({differing}); a full refresh replaces the table")
+            if added:
+                columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+                self.spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in absent]
+            df = df.select("*", *nothing).select(*self.read(table).columns)
         self._writer(df, partition_by).mode("append").saveAsTable(table)
 
+    def drop_database(self, name: str) -> None:
+        """The database with all its tables and their files."""
+        self.spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
+
     @staticmethod
     def view(name: str, df: DataFrame) -> DataFrame:
         df.createOrReplaceTempView(name)

@@ -68,3 +68,18 @@ def test_name_clash_is_refused(spark):
     instances = spark.createDataFrame([], "id bigint, e bigint, t timestamp_ntz, f double")
     with pytest.raises(ValueError, match="already have"):
         asof_join(instances, "e", "t", FeatureRows(features, "entity", "at", ["f"]))
+
+
+@pytest.mark.parametrize("per_feature", [False, True])
+def test_ties_do_not_depend_on_the_plan(spark, per_feature):
+    """Rows that share entity, time and tie: the greatest features count, whatever the order and the plan."""
+    rows = [(1, DAY, None, 1.0, 5), (1, DAY, None, 9.0, None), (1, DAY, None, 4.0, 7)]
+    rows += [(1, DAY + timedelta(hours=h), "x", float(h % 5), h % 3) for h in range(1, 40) for _ in range(2)]
+    instances = [(i, 1, DAY + timedelta(minutes=17 * i)) for i in range(150)]
+    answers = set()
+    for order, options in ((1, {}), (-1, {}), (1, {"limits": HOT, "slice_rows": 10}), (-1, {"limits": HOT, "slice_rows": 10})):
+        values = FeatureRows(spark.createDataFrame(rows[::order], FEATURES), "entity", "at", ["f", "g"], tie_break="tie")
+        got = asof_join(spark.createDataFrame(instances, INSTANCES), "e", "t", values, per_feature, **options)
+        answers.add(tuple(sorted((tuple(r) for r in got.collect()), key=repr)))
+    (answer,) = answers
+    assert answer[0][3:] == ((9.0, 7) if per_feature else (9.0, None))

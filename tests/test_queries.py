@@ -28,7 +28,7 @@ def duck():
 
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(rollfeat_queries) - set(ORACLE) == {"train_score", "importance_topk"}
+    assert set(rollfeat_queries) - set(ORACLE) == {"train_score", "importance_topk", "train_rounds"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

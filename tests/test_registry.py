@@ -10,7 +10,11 @@ from pyspark.sql import types as T
 
 from rollfeat.plans import registry
 from rollfeat.plans.config import ConfigError, load_config, parse_config
-from rollfeat.sources.tables import TableStore
+from rollfeat.plans.feature_table import load_features
+from rollfeat.plans.presets import PRESET_A, PRESET_B
+from rollfeat.plans.registry import FeatureStore, MappingError
+from rollfeat.queries import new_store
+from rollfeat.sources.tables import ColumnsDiffer, TableStore
 
 YAML = """
 version: 2
@@ -133,3 +137,102 @@ def test_missing_columns_stop_everything_before_a_change(spark, store):
     assert not store.exists(f"{store.database}.registry_features")
     with pytest.raises(registry.MappingError, match="type that cannot be a feature"):
         registry.feature_rows(spark, load_config(raw).mappings[1], store.read(f"{store.database}.source").schema)
+
+
+def numbered(spark, store, database, table, rows, schema="id long, at timestamp_ntz, a double, b double, n long"):
+    store.overwrite(f"{database}.{table}", spark.createDataFrame(rows, schema))
+    return f"{database}.{table}"
+
+
+def mapping_of(table, *names, entity="customer"):
+    return {
+        "entity_type_id": entity, "feature_time": "at", "entity_id_field": "id", "output_full_table_id": table,
+        "features": [{"feature_name": n, "column_name": c} for n, c in names],
+    }
+
+
+def config_of(database, *mappings):
+    return parse_config({"experimental_feature_store": {"id": database, "ingestion_mode": "ingest"}, "feature_mapping": list(mappings)})
+
+
+@pytest.fixture
+def database(spark):
+    store, name = new_store(spark)
+    yield store, name
+    store.drop_database(name)
+
+
+MORNING = datetime(2024, 1, 1)
+
+
+def test_numeric_ties_compare_as_numbers(spark, database):
+    store, name = database
+    table = numbered(spark, store, name, "t", [(1, MORNING, 1.5, 0.0, 9), (1, MORNING, 2.5, 0.0, 10)])
+    features = FeatureStore(store, name)
+    features.run(config_of(name, mapping_of(table, ("a", "a"))), tie_break="n")
+    features.run(config_of(name, mapping_of(table, ("a", "a"))), tie_break="n")  # again: rows repeat, the answer does not change
+    instances = spark.createDataFrame([(1, MORNING)], "customer long, timestamp timestamp_ntz")
+    assert features.serve(instances, {"customer": ["a"]}).first()["a"] == 2.5
+    with pytest.raises(ValueError, match="before the latest instance"):
+        features.serve(instances, {"customer": ["a"]}, until="2023-12-31")
+
+
+def test_each_mapping_reads_its_own_table(spark, database):
+    store, name = database
+    one = numbered(spark, store, name, "one", [(1, MORNING, 1.0, 0.0, 1)])
+    two = numbered(spark, store, name, "two", [(1, MORNING, 2.0, 0.0, 1)])
+    features = FeatureStore(store, name)
+    features.run(config_of(name, mapping_of(one, ("x", "a")), mapping_of(two, ("y", "a"))))
+    assert sorted((r["x"] or 0, r["y"] or 0) for r in features.values("customer").collect()) == [(0, 2.0), (1.0, 0)]
+    with pytest.raises(ConfigError, match="also mapped from another table"):
+        config_of(name, mapping_of(one, ("x", "a")), mapping_of(two, ("X", "a")))
+    with pytest.raises(ConfigError, match="reserved"):
+        config_of(name, mapping_of(one, ("entity_id", "a")))
+
+
+def test_nothing_is_written_when_a_mapping_is_bad(spark, database):
+    store, name = database
+    table = numbered(spark, store, name, "t", [(1, MORNING, 1.0, 0.0, 1)])
+    features = FeatureStore(store, name)
+    for bad in (mapping_of(table, ("x", "missing"), entity="terminal"),):
+        with pytest.raises(MappingError):
+            features.run(config_of(name, mapping_of(table, ("x", "a")), bad))
+    with pytest.raises(MappingError, match="tie break"):
+        features.run(config_of(name, mapping_of(table, ("x", "a"))), tie_break="missing")
+    assert not store.exists(f"{name}.registry_features") and not store.exists(f"{name}.values_customer")
+
+
+def test_append_never_drops_columns(spark, database):
+    store, name = database
+    target = f"{name}.t"
+    store.overwrite(target, spark.createDataFrame([(1, "a")], "id long, x string"))
+    wider = spark.createDataFrame([(2, "b", 3)], "id long, x string, y long")
+    with pytest.raises(ColumnsDiffer, match="not in the table: y"):
+        store.append(target, wider)
+    with pytest.raises(ColumnsDiffer, match="not in the new rows: x"):
+        store.append(target, wider.select("id"))
+    store.append(target, wider, widen=True)
+    store.append(target, wider.select("id"), widen=True)
+    assert sorted(map(tuple, store.read(target).collect()), key=repr) == [(1, "a", None), (2, "b", 3), (2, None, None)]
+
+
+def test_a_failed_overwrite_keeps_the_table(spark, database):
+    store, name = database
+    target = f"{name}.t"
+    store.overwrite(target, spark.createDataFrame([(1,)], "id long"))
+    with pytest.raises(Exception, match="no such row"):
+        store.overwrite(target, spark.range(3).selectExpr("raise_error('no such row') AS id"))
+    assert [r["id"] for r in store.read(target).collect()] == [1]
+    store.overwrite(target, store.read(target).selectExpr("id + 1 AS id"))
+    assert [r["id"] for r in store.read(target).collect()] == [2] and len(spark.catalog.listTables(name)) == 1
+
+
+def test_a_widened_preset_is_refused(spark, database):
+    store, name = database
+    rows = spark.sql("SELECT '1' AS tx_id, TIMESTAMP_NTZ '2024-01-01 00:00:00' AS tx_ts, 1L AS customer_id, 2L AS terminal_id, 3.0D AS tx_amount, 0 AS tx_fraud, DATE '2024-01-01' AS tx_date")
+    load_features(store, f"{name}.features", rows, PRESET_B)
+    later = rows.selectExpr("tx_id", "tx_ts + INTERVAL 1 DAY AS tx_ts", "customer_id", "terminal_id", "tx_amount", "tx_fraud", "DATE '2024-01-02' AS tx_date")
+    with pytest.raises(ColumnsDiffer, match="full refresh"):
+        load_features(store, f"{name}.features", rows.unionByName(later), PRESET_A)
+    load_features(store, f"{name}.features", rows.unionByName(later), PRESET_A, full_refresh=True)
+    assert store.read(f"{name}.features").count() == 2

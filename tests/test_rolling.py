@@ -6,10 +6,12 @@ import re
 import statistics
 from datetime import datetime, timedelta, timezone
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
+from rollfeat.functions.aggregates import AGGREGATES
 from rollfeat.functions.durations import parse_duration
 from rollfeat.operators.chunked import CHUNK_SECONDS, SHORT_SECONDS, plan_grids
 from rollfeat.operators.hotkeys import Limits, find_hot_keys
@@ -175,7 +177,7 @@ def test_against_brute_force(spark, strategy, exclude):
     df = spark.createDataFrame(rows, SCHEMA)
     blocks = [
         RollingBlock(["count", "avg", "min", "stddev", "var_pop"], ["v"], ["k"], ["1h", "1d", "36h", "5d", "1w"], exclude_current_row=exclude),
-        RollingBlock(["max", "sum"], ["w", "v"], ["k2", "k"], ["2m", "10m", "50m", "2d", "100001s"], exclude_current_row=exclude),
+        RollingBlock(["max", "sum"], ["w", "v"], ["k2", "k"], ["2m", "10m", "50m", "2d", "100001s"], exclude_current_row=exclude, exact_type="decimal(18,2)"),
     ]
     assert_matches(with_rolling(df, blocks, strategy, limits=EAGER), rows, blocks, exact=False)
 
@@ -243,6 +245,49 @@ def test_one_second_holding_a_third_of_all_rows(spark):
     assert tuple(row) == (20_000, 20_000 + before, 20_000 + before)
 
 
+@pytest.mark.parametrize("lookback", ["100003m", "86401s", "7919h", "3d", "259201s"])
+def test_any_lookback_in_chunks(spark, lookback):
+    df = spark.createDataFrame(random_rows(300, 2, 700, seed=31), SCHEMA)
+    blocks = [RollingBlock(["count", "sum", "min", "stddev", "approx_count_distinct"], ["v"], ["k"], [lookback, "28d"])]
+    assert sorted(map(repr, with_rolling(df, blocks, "direct").collect())) == sorted(map(repr, with_rolling(df, blocks, "chunked").collect()))
+
+
+def test_every_plan_gives_the_same_answer(spark):
+    """Thousands of distinct values, one dense key: direct, chunked and mixed, bit for bit, on every aggregate."""
+    rows = spark.range(6_000).select(
+        "id",
+        F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 40).alias("k"),
+        (F.lit(datetime(2024, 1, 1)).cast("timestamp") + F.make_interval(secs=F.col("id") * 90)).cast("timestamp_ntz").alias("tx_ts"),
+        (F.pmod(F.xxhash64("id"), F.lit(10**9)) / 1e6).alias("w"),
+        (F.col("id") * 7919 + 3_000_000_000_000_000_000).alias("big"),
+    )
+    names = [a for a in AGGREGATES if a not in ("stddev", "variance")]
+    blocks = [
+        RollingBlock(names, ["w"], ["k"], ["1h", "1d", "2d"], exact_type="decimal(24,6)"),
+        RollingBlock(["stddev", "var_pop", "sum", "approx_count_distinct"], ["big"], ["k"], ["2d"]),
+    ]
+    direct = sorted(map(repr, with_rolling(rows, blocks, "direct").collect()))
+    assert direct == sorted(map(repr, with_rolling(rows, blocks, "chunked").collect()))
+    assert direct == sorted(map(repr, with_rolling(rows, blocks, limits=Limits(rows_per_span=500, small_steps=0, small_steps_per_key=0)).collect()))
+
+
+def test_moments_of_large_numbers(spark):
+    start = 3 * 10**18
+    rows = [(i, 0, datetime(2024, 1, 1, 0, 0, i), start + (i * i) % 17) for i in range(60)] + [(100 + i, 1, datetime(2024, 1, 1, 0, 0, i), (-1) ** i * (start + i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, k long, tx_ts timestamp_ntz, v long")
+    got = {r["id"]: r[-1] for r in with_rolling(df, [RollingBlock(["var_samp"], ["v"], ["k"], ["1m"])], "chunked").collect()}
+    for first in (0, 100):
+        values = [v for i, _, _, v in rows if first <= i < first + 59]
+        assert got[first + 59] == pytest.approx(float(statistics.variance([Fraction(v) for v in values])), rel=1e-12)
+
+
+def test_floating_sums_need_an_exact_type(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    for aggregation in ("avg", "sum", "stddev"):
+        with pytest.raises(ValueError, match="exact_type"):
+            with_rolling(df, [RollingBlock([aggregation], ["w"], ["k"], ["1h"])])
+
+
 def test_grids_divide_their_lookbacks():
     day = 86400
     (grid,) = plan_grids([3600, 5 * day, 28 * day, 90 * day, 95 * day])
@@ -253,14 +298,13 @@ def test_grids_divide_their_lookbacks():
         grids = plan_grids(lookbacks)
         assert sorted(s for g in grids for s in g.long + g.nested + g.sliding) == sorted(lookbacks)
         for g in grids:
-            assert all(s % g.width == 0 for s in g.long) and all(g.width % s == 0 for s in g.nested)
-            assert g.width >= SHORT_SECONDS and (g.width <= CHUNK_SECONDS or g.width in g.long)
+            assert all(g.width % s == 0 for s in g.nested) and SHORT_SECONDS <= g.width <= CHUNK_SECONDS
 
 
 def test_preset_blocks_share_two_windows(spark):
     df = spark.createDataFrame([], "customer_id long, terminal_id long, tx_ts timestamp_ntz, tx_amount double")
     blocks = [
-        RollingBlock(["count", "avg", "min"], ["tx_amount"], ["customer_id"], ["1h", "5d", "28d"]),
+        RollingBlock(["count", "avg", "min"], ["tx_amount"], ["customer_id"], ["1h", "5d", "28d"], exact_type="decimal(18,2)"),
         RollingBlock(["max"], ["tx_amount"], ["terminal_id"], ["1h", "3d"]),
     ]
     plan = with_rolling(df, blocks, "direct")._jdf.queryExecution().optimizedPlan().toString()

@@ -24,8 +24,10 @@ from rollfeat.functions.durations import parse_duration
 from rollfeat.functions.scalars import epoch_seconds, same
 from rollfeat.operators import chunked
 from rollfeat.operators.hotkeys import Limits, find_hot_keys
+from rollfeat.session import scratch_dir
 
 _SEC = "__sec"
+_DENSE = "__dense"
 
 
 @dataclass(frozen=True)
@@ -205,12 +207,18 @@ def _features_by_second(df, block, strategy, keep, limits) -> DataFrame | None:
         if hot is None:
             return None
     seconds = chunked.per_second(rows, key_names, bound)
-    first_kept = None if keep is None else rows.where("__keep").select(F.min(_SEC)).scalar()
     if strategy == "chunked":
+        first_kept = None if keep is None else rows.where("__keep").select(F.min(_SEC)).scalar()
         return chunked.chunked_features(seconds, key_names, bound, first_kept)
+    # Both plans read the seconds several times over: they are computed once, with a mark on those of dense keys.
     on = [same(F.col(k), F.col(f"__hot{k}")) for k in key_names]
-    hot_keys = hot.keys(key_names, "__hot")
-    dense, sparse = (seconds.join(hot_keys, on, how) for how in ("left_semi", "left_anti"))
+    hot_keys = hot.keys(key_names, "__hot").withColumn(_DENSE, F.lit(True))
+    marked = seconds.join(hot_keys, on, "left").select(*seconds.columns, F.coalesce(_DENSE, F.lit(False)).alias(_DENSE))
+    path = scratch_dir(df.sparkSession, "seconds")
+    marked.write.partitionBy(_DENSE).parquet(path)
+    marked = df.sparkSession.read.schema(marked.schema).parquet(path)
+    first_kept = None if keep is None else marked.where("__keep").select(F.min(_SEC)).scalar()
+    dense, sparse = marked.where(_DENSE).drop(_DENSE), marked.where(~F.col(_DENSE)).drop(_DENSE)
     density = hot.peak / block.max_lookback
     return chunked.chunked_features(dense, key_names, bound, first_kept, density).unionByName(
         chunked.direct_features(sparse, key_names, bound)

@@ -188,9 +188,15 @@ def staging_join(spark, sf_dir):
     return spark.table(name)
 
 
+def staged_table(spark, sf_dir):
+    """The labelled transactions, joined once and stored by date."""
+    store, database = new_store(spark)
+    return stage(store, f"{database}.staged", samples.events_tx(spark, sf_dir), samples.events_labels(spark, sf_dir))
+
+
 @query
 def features_preset_a(spark, sf_dir):
-    return without_stamp(build_features(staged_events(spark, sf_dir), PRESET_A.summing_in(MONEY)))
+    return without_stamp(build_features(staged_table(spark, sf_dir), PRESET_A.summing_in(MONEY)))
 
 
 @query
@@ -203,7 +209,7 @@ def features_created_at(spark, sf_dir):
 
 @query
 def features_preset_b(spark, sf_dir):
-    return build_features(staged_events(spark, sf_dir), PRESET_B.summing_in(MONEY))
+    return build_features(staged_table(spark, sf_dir), PRESET_B.summing_in(MONEY)).drop("tx_date")
 
 
 @query

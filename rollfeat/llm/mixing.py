@@ -113,7 +113,7 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: floa
     cells = store.keep(counted.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")))
     wanted = {d: (targets or {}).get(d) if (targets or {}).get(d) is not None else flattened(cells, d, FLATTEN[d]) for d in DIMENSIONS}
     chosen = store.keep(probabilities(rake(cells, wanted, store), keep, store))
-    chosen = chosen.select(F.col("source").alias("__source"), F.col("lang").alias("__lang"), F.col("topic").alias("__topic"), "probability")
+    chosen = chosen.select(F.col("source").alias("__source"), F.col("lang").alias("__lang"), F.col("topic").alias("__topic"), F.col("probability").alias("__probability"))
     draw = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit("mix"), F.col("doc_id").cast("string"), F.md5(F.coalesce(text, F.lit(""))))), 1, 13), 16, 10).cast("double") / F.lit(2.0**52)
     joined = known.join(chosen, ["__source", "__lang", "__topic"])
-    return joined.select(*[F.col(f"`{c}`") for c in own], F.col("__topic").alias("topic"), F.col("__tokens").alias("n_tokens"), "probability", (draw < F.col("probability")).alias("sampled"))
+    return joined.select(*[F.col(f"`{c}`") for c in own], F.col("__topic").alias("topic"), F.col("__tokens").alias("n_tokens"), F.col("__probability").alias("probability"), (draw < F.col("__probability")).alias("sampled"))

@@ -11,16 +11,18 @@ nothing. Rows that repeat a ``doc_id`` are one document.
    rows, not of keys, so that no group is too large for a task. Within an order, a region (the rows that share a prefix)
    of at most ``REGION`` rows is compared whole, at the least depth where it is that small: sparse regions are compared
    from one shared minimum on, dense ones go deeper. In dense regions, each row is also compared with its ``NEIGHBOURS``
-   next rows, whose common prefix is the longest, and where all ``DEPTH`` minima agree, with the first row of the region.
+   next rows, whose common prefix is the longest, and at every depth with up to ``MEDOIDS`` central rows of its region.
    Rows at the ends of a range are compared once more together with those of the next range.
 3. A pair goes on if sizes allow the similarity and 28 of 64 signature bytes agree (at 0.75 a pair fails that with a chance below
    one in a million).
 4. *Confirmation* on full sets, from the texts, in three rounds: first each document with its likeliest partner, then
    the likeliest pair of any two components, then all pairs that are still between components. A pair within one
    component needs no confirmation, so a group of thousands of near copies costs about as many confirmations.
+5. What a dense region showed to be near a component, but no confirmed pair links to it, is compared with all members of
+   that component, in blocks.
 
-Outside dense regions a pair at 0.75 is missed with a chance of 0.25 ** TREES, about 6e-8; within them the chance depends on
-how much else the documents share. ``tests/llm`` measures against all pairs.
+Outside dense regions a pair at 0.75 is missed with a chance of 0.25 ** TREES, about 6e-8. ``tests/llm`` and the README
+compare with all pairs.
 """
 
 from __future__ import annotations
@@ -41,9 +43,13 @@ SHINGLE = 5
 TREES = 12
 DEPTH = 8
 REGION = 64
-NEIGHBOURS = 4
+NEIGHBOURS = 2
+MEDOIDS = 4
+BLOCK = 1024
+ASKING = 256
 SKETCH = 64
 LEAST_AGREEING = 28
+SAME = 52
 ROWS_PER_RANGE = 200_000
 
 _SHINGLE = constants("shingle", SHINGLE)
@@ -111,17 +117,40 @@ def _forest_rows(batches):
         yield pa.RecordBatch.from_arrays([packed.cast(pa.binary())], ["row"])
 
 
-def candidates(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (smaller id, larger id, agreeing bytes) of sorted forest rows that follow each other without a gap."""
+def _runs(region: np.ndarray, chosen: np.ndarray) -> list[tuple[int, int]]:
+    """Where the regions of the chosen rows begin and end."""
+    numbers = np.unique(region[chosen])
+    return list(zip(np.searchsorted(region, numbers).tolist(), np.searchsorted(region, numbers, side="right").tolist()))
+
+
+def medoids(signed: np.ndarray) -> list[int]:
+    """Up to ``MEDOIDS`` central rows of a region: those that agree most with its commonest bytes, first of all rows, then of
+    the rows that are far from the centres so far."""
+    columns = np.arange(SKETCH) * 256
+    far, out = np.ones(len(signed), bool), []
+    for _ in range(MEDOIDS):
+        counts = np.bincount((signed[far] + columns).ravel(), minlength=256 * SKETCH).reshape(SKETCH, 256)
+        centre = int((signed == counts.argmax(1).astype(np.uint8)).sum(1).argmax())
+        if centre in out:
+            break
+        out.append(centre)
+        far &= (signed == signed[centre]).sum(1) < SAME
+        if far.sum() < 2:
+            break
+    return out
+
+
+def candidates(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (smaller id, larger id, agreeing bytes, whether found in a region that is not compared whole) of sorted forest rows that follow each other without a gap."""
     prefixes = np.ascontiguousarray(rows[:, _PREFIX]).view(">u4")
     common = np.cumprod(prefixes[1:] == prefixes[:-1], axis=1).sum(1)
     common[rows[1:, _TREE] != rows[:-1, _TREE]] = 0
     ids = (np.ascontiguousarray(rows[:, _ID]).view(">u8")[:, 0].astype(np.uint64) ^ _SIGN).view(np.int64)
     sizes = np.ascontiguousarray(rows[:, _SIZE]).view(">u4")[:, 0].astype(np.int64)
     signed = np.ascontiguousarray(rows[:, _BYTES])
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
 
-    def compare(left: np.ndarray, right: np.ndarray) -> None:
+    def compare(left: np.ndarray, right: np.ndarray, crowded: bool = False) -> None:
         for at in range(0, len(left), 100_000):
             i, j = left[at : at + 100_000], right[at : at + 100_000]
             possible = (100 * np.minimum(sizes[i], sizes[j]) >= 75 * np.maximum(sizes[i], sizes[j])) & (ids[i] != ids[j])
@@ -129,7 +158,7 @@ def candidates(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             agreeing = (signed[i] == signed[j]).sum(1)
             likely = agreeing >= LEAST_AGREEING
             i, j = i[likely], j[likely]
-            found.append((np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), agreeing[likely]))
+            found.append((np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), agreeing[likely], np.full(likely.sum(), crowded)))
 
     dense = np.ones(len(rows), bool)
     for depth in range(1, DEPTH + 1):
@@ -142,19 +171,18 @@ def candidates(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 break
             compare(i, i + step)
         dense &= large
+        for a, b in _runs(region, dense):
+            for centre in medoids(signed[a:b]):
+                compare(np.full(b - a, a + centre), np.arange(a, b), True)
         if depth == 1:
             for step in range(1, NEIGHBOURS + 1):
                 i = np.flatnonzero(dense[:-step] & (region[step:] == region[:-step]))
-                compare(i, i + step)
+                compare(i, i + step, True)
         if not dense.any():
             break
-    if dense.any():
-        start = np.searchsorted(region, region[dense])
-        compare(start, np.flatnonzero(dense))
     if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-    a, b, agreeing = (np.concatenate(x) for x in zip(*found))
-    return a, b, agreeing
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _rows_of(columns) -> np.ndarray:
@@ -167,22 +195,22 @@ def _search_range(batches):
     rows = _rows_of([b.column("row") for b in batches])
     if not len(rows):
         return
-    a, b, agreeing = candidates(rows)
-    names = ["a", "b", "agreeing", "range", "head", "tail", "row"]
+    a, b, agreeing, crowded = candidates(rows)
+    names = ["a", "b", "agreeing", "crowded", "range", "head", "tail", "row"]
     nothing = pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.bool_()), pa.nulls(len(a), pa.bool_()), pa.nulls(len(a), pa.binary())
-    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(agreeing.astype(np.int32)), *nothing], names)
+    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(agreeing.astype(np.int32)), pa.array(crowded), *nothing], names)
     at = np.arange(len(rows))
     head, tail = at < REGION, at >= len(rows) - REGION
     ends = np.flatnonzero(head | tail)
     own = pa.array(np.full(len(ends), TaskContext.get().partitionId(), np.int32))
-    nothing = pa.nulls(len(ends), pa.int64()), pa.nulls(len(ends), pa.int64()), pa.nulls(len(ends), pa.int32())
+    nothing = pa.nulls(len(ends), pa.int64()), pa.nulls(len(ends), pa.int64()), pa.nulls(len(ends), pa.int32()), pa.nulls(len(ends), pa.bool_())
     yield pa.RecordBatch.from_arrays([*nothing, own, pa.array(head[ends]), pa.array(tail[ends]), pa.array([rows[i].tobytes() for i in ends], pa.binary())], names)
 
 
 def _search_seam(table: pa.Table) -> pa.Table:
     rows = _rows_of([pa.array(sorted(table.column("row").to_pylist()), pa.binary())])
-    a, b, agreeing = candidates(rows)
-    return pa.table([pa.array(a), pa.array(b), pa.array(agreeing.astype(np.int32))], ["a", "b", "agreeing"])
+    a, b, agreeing, crowded = candidates(rows)
+    return pa.table([pa.array(a), pa.array(b), pa.array(agreeing.astype(np.int32)), pa.array(crowded)], ["a", "b", "agreeing", "crowded"])
 
 
 def _seams(ranges: list[tuple[int, bool]]) -> list[tuple[int, int, int]]:
@@ -195,22 +223,22 @@ def _seams(ranges: list[tuple[int, bool]]) -> list[tuple[int, int, int]]:
 
 
 def candidate_pairs(classes: DataFrame, store: Store) -> DataFrame:
-    """``(a, b, agreeing)``, each pair once, of the representatives in ``(class_id, n_shingles, minima)``."""
+    """``(a, b, agreeing, crowded)``, each pair once, of the representatives in ``(class_id, n_shingles, minima)``."""
     spark = classes.sparkSession
     rows = classes.count() * TREES
     ranges = max(1, -(-rows // ROWS_PER_RANGE), min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // (8 * REGION)))
     forest = classes.mapInArrow(_forest_rows, "row binary").repartitionByRange(ranges, "row").sortWithinPartitions("row")
-    searched = store.keep(forest.mapInArrow(_search_range, "a long, b long, agreeing int, range int, head boolean, tail boolean, row binary"))
+    searched = store.keep(forest.mapInArrow(_search_range, "a long, b long, agreeing int, crowded boolean, range int, head boolean, tail boolean, row binary"))
     ends = searched.where("row IS NOT NULL")
     order = ends.groupBy("range").agg(F.min(F.col("head") & F.col("tail")).alias("short")).orderBy("range").collect()
-    pairs = searched.where("row IS NULL").select("a", "b", "agreeing")
+    pairs = searched.where("row IS NULL").select("a", "b", "agreeing", "crowded")
     if order:
         # One entry for each range: a number of the plan's, not of the data's.
         seams = spark.createDataFrame(_seams([(r["range"], r["short"]) for r in order]), "range int, before int, after int")
         tagged = ends.join(F.broadcast(seams), "range")
         at_seams = tagged.where("head").select(F.col("before").alias("seam"), "row").unionByName(tagged.where("tail AND (NOT head OR before <> after)").select(F.col("after").alias("seam"), "row"))
-        pairs = pairs.unionByName(at_seams.groupBy("seam").applyInArrow(_search_seam, "a long, b long, agreeing int"))
-    return pairs.groupBy("a", "b").agg(F.max("agreeing").alias("agreeing"))
+        pairs = pairs.unionByName(at_seams.groupBy("seam").applyInArrow(_search_seam, "a long, b long, agreeing int, crowded boolean"))
+    return pairs.groupBy("a", "b").agg(F.max("agreeing").alias("agreeing"), F.max("crowded").alias("crowded"))
 
 
 def _confirm(batches):
@@ -238,22 +266,23 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(of_b, "b").join(of_a, "a").select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long")
 
 
-def _relabel(labels: DataFrame, links: DataFrame, store: Store) -> DataFrame:
-    """Labels after the links, too, count."""
-    joined = store.keep(between(links, labels, "component"))
-    if joined.isEmpty():
-        return labels
+def _relabel(labels: DataFrame, links: DataFrame, store: Store, n: int) -> DataFrame:
+    """Labels of ``n`` documents after the links, too, count."""
+    joined = store.keep(between(links, labels, "component"), n)
     merged = components(joined, store).select(F.col("id").alias("component"), F.col("component").alias("root"))
-    return store.keep(labels.join(merged, "component", "left").select("id", F.coalesce("root", "component").alias("component")))
+    return store.keep(labels.join(merged, "component", "left").select("id", F.coalesce("root", "component").alias("component")), n)
 
 
 def linked_components(pairs: DataFrame, texts: DataFrame, store: Store) -> DataFrame:
     """``(id, component)`` of every document in ``pairs``, after all pairs that matter are confirmed."""
     ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     ends = store.keep(ends)
+    n = ends.count()
+    if not n:
+        return ends.withColumn("component", F.col("id"))
     texts = store.keep(texts.join(ends, texts["doc_id"] == ends["id"], "left_semi").dropDuplicates(["doc_id"]))
     best = pairs.groupBy("b").agg(F.max(F.struct("agreeing", (-F.col("a")).alias("a"))).alias("best"))
-    labels = _relabel(ends.withColumn("component", F.col("id")), store.keep(confirmed(best.select((-F.col("best.a")).alias("a"), "b"), texts)), store)
+    labels = _relabel(ends.withColumn("component", F.col("id")), store.keep(confirmed(best.select((-F.col("best.a")).alias("a"), "b"), texts)), store, n)
 
     def open_pairs():
         of_a = labels.select(F.col("id").alias("a"), F.col("component").alias("label_a"))
@@ -263,14 +292,67 @@ def linked_components(pairs: DataFrame, texts: DataFrame, store: Store) -> DataF
     left = store.keep(open_pairs())
     if left.isEmpty():
         return labels
+    # What is near a component in a dense region is compared with all of it in the end.
     apart = left.withColumn("low", F.least("label_a", "label_b")).withColumn("high", F.greatest("label_a", "label_b"))
     best = apart.groupBy("low", "high").agg(F.max(F.struct("agreeing", "a", "b")).alias("best"))
     tried = store.keep(best.select("best.a", "best.b"))
-    labels = _relabel(labels, store.keep(confirmed(tried, texts)), store)
+    labels = _relabel(labels, store.keep(confirmed(tried, texts)), store, n)
     left = store.keep(open_pairs().join(tried, ["a", "b"], "left_anti"))
-    if left.isEmpty():
+    if not left.isEmpty():
+        labels = _relabel(labels, store.keep(confirmed(left, texts)), store, n)
+    near = open_pairs().where("crowded").select(F.least("label_a", "label_b").alias("low"), F.greatest("label_a", "label_b").alias("high")).distinct()
+    near = store.keep(near)
+    if near.isEmpty():
         return labels
-    return _relabel(labels, store.keep(confirmed(left, texts)), store)
+    return _relabel(labels, store.keep(between_components(near, labels, texts, store)), store, n)
+
+
+def _meet(members: pa.Table, asking: pa.Table) -> pa.Table:
+    a, b = [], []
+    if members.num_rows and asking.num_rows:
+        hashes, bounds = word_hashes(as_bytes(members.column("text").combine_chunks()), lower=True)
+        sets = [shingles(hashes[x:y]) for x, y in zip(bounds[:-1], bounds[1:])]
+        sizes = np.array([len(s) for s in sets])
+        joined, starts = np.concatenate(sets), np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        ids = members.column("id").to_numpy()
+        hashes, bounds = word_hashes(as_bytes(asking.column("text").combine_chunks()), lower=True)
+        for k, other in enumerate(asking.column("id").to_pylist()):
+            own = shingles(hashes[bounds[k] : bounds[k + 1]])
+            place = np.minimum(np.searchsorted(own, joined), len(own) - 1)
+            common = np.add.reduceat((own[place] == joined).astype(np.int64), starts)
+            linked = ids[100 * common >= 75 * (sizes + len(own) - common)].tolist()
+            a += [min(other, i) for i in linked]
+            b += [max(other, i) for i in linked]
+    return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def between_components(near: DataFrame, labels: DataFrame, texts: DataFrame, store: Store) -> DataFrame:
+    """All links between the given pairs of components ``(low, high)``, by full sets.
+
+    The members of the larger component are dealt to blocks of about ``BLOCK``, those of all smaller ones near it to blocks of
+    about ``ASKING``, and each block of one meets each of the other. Two single documents have been confirmed as a pair.
+    """
+    sizes = store.keep(labels.groupBy("component").agg(F.count("*").alias("n")))
+    size = lambda c: sizes.select(F.col("component").alias(c), F.col("n").alias(f"n_{c}"))
+    sized = near.join(size("low"), "low").join(size("high"), "high").where("n_low > 1 OR n_high > 1")
+    larger = F.col("n_low") >= F.col("n_high")
+    sides = sized.select(F.when(larger, F.col("low")).otherwise(F.col("high")).alias("asked"), F.when(larger, F.col("high")).otherwise(F.col("low")).alias("component"), F.greatest("n_low", "n_high").alias("n_asked"))
+    sides = store.keep(sides)
+    asking = store.keep(sides.join(labels, "component").select("asked", "n_asked", "id"))
+    grid = asking.groupBy("asked").agg(F.count("*").alias("n_asking"), F.max("n_asked").alias("n_asked"))
+    parts = lambda n, each: F.ceil(F.col(n) / each).cast("int")
+    grid = store.keep(grid.select("asked", parts("n_asked", BLOCK).alias("blocks"), parts("n_asking", ASKING).alias("turns")))
+    deal = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    text = texts.select(F.col("doc_id").alias("id"), "text")
+    members = labels.withColumnRenamed("component", "asked").join(grid, "asked").select("asked", "id", deal("blocks").alias("block"), "turns")
+    members = members.join(text, "id").select("asked", "block", every("turns").alias("turn"), "id", "text")
+    askers = asking.select("asked", "id").join(grid, "asked").select("asked", "id", deal("turns").alias("turn"), "blocks")
+    askers = askers.join(text, "id").select("asked", every("blocks").alias("block"), "turn", "id", "text")
+    # The two sides come from the same tables; new names keep Spark from taking their columns for one another's.
+    askers = askers.toDF(*[f"{c}_" for c in askers.columns]).select(*[F.col(f"{c}_").alias(c) for c in askers.columns])
+    keys = ("asked", "block", "turn")
+    return members.groupBy(*keys).cogroup(askers.groupBy(*keys)).applyInArrow(_meet, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

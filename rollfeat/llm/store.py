@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from rollfeat.session import scratch_dir
 
 
+ROWS_PER_TASK = 250_000
+
+
 def workers_find_package(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package from where the driver did, if they have that folder."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -26,9 +29,12 @@ class Store:
         self._root = scratch_dir(spark, purpose)
         self._count = 0
 
-    def keep(self, df: DataFrame) -> DataFrame:
-        """Write the frame once; the result reads it back."""
+    def keep(self, df: DataFrame, most_rows: int | None = None) -> DataFrame:
+        """Write the frame once; the result reads it back. Where at most so many rows are known to come, no more tasks than
+        they need write them."""
         self._count += 1
         path = f"{self._root}/{self._count}"
+        if most_rows is not None:
+            df = df.coalesce(max(1, -(-most_rows // ROWS_PER_TASK)))
         df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)

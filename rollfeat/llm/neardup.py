@@ -42,9 +42,9 @@ from rollfeat.llm.text import as_bytes, constants, grams, slices, word_hashes
 SHINGLE = 5
 TREES = 12
 DEPTH = 8
-REGION = 64
+REGION = 32
 NEIGHBOURS = 2
-MEDOIDS = 4
+MEDOIDS = 1
 BLOCK = 1024
 ASKING = 256
 SKETCH = 64

@@ -7,7 +7,7 @@ document with a smaller ``doc_id``; every window is judged on the input.
    representatives once to the cells of a count-min sketch, in several rows with hashes of their own. Tasks emit the
    cells they hit, cells are merged by block, and what remains is one bit for each cell: hit by two documents or more.
    Equal windows have equal representatives, so the estimate of a window is never below the number of documents with it.
-2. *Exact pass.* Windows estimated at two documents or more become rows keyed by a 128-bit hash of the window. Where a
+2. *Exact pass.* Windows estimated at two documents or more become rows keyed by a 96-bit hash of the window. Where a
    task holds a window in several documents, it settles all but the first of them itself, so that a key has at most a
    few rows per task, however many documents share a passage. The least ``doc_id`` of each key settles the rest.
 3. Positions go back to their documents, and words are dropped.
@@ -146,7 +146,7 @@ def repeated_windows(docs: DataFrame, table: np.ndarray, bits: int) -> DataFrame
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(table)
-    schema = "h1 long, h2 long, doc_id long, copy long, start int, settled binary"
+    schema = "h1 long, h2 int, doc_id long, copy long, start int, settled binary"
 
     def hit(values: np.ndarray) -> np.ndarray:
         seen = np.ones(len(values), bool)
@@ -207,7 +207,7 @@ def repeated_windows(docs: DataFrame, table: np.ndarray, bits: int) -> DataFrame
 
 def _windows(h1, h2, doc, copy, start, settled):
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.ascontiguousarray(h1).view(np.int64)), pa.array(np.ascontiguousarray(h2).view(np.int64)), pa.array(doc), pa.array(copy), pa.array(start.astype(np.int32)), pa.array(settled, pa.binary()) if settled is not None else pa.nulls(len(doc), pa.binary())],
+        [pa.array(np.ascontiguousarray(h1).view(np.int64)), pa.array((h2 >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(doc), pa.array(copy), pa.array(start.astype(np.int32)), pa.array(settled, pa.binary()) if settled is not None else pa.nulls(len(doc), pa.binary())],
         ["h1", "h2", "doc_id", "copy", "start", "settled"],
     )
 

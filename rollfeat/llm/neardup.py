@@ -20,9 +20,12 @@ nothing. Rows that repeat a ``doc_id`` are one document.
    component needs no confirmation, so a group of thousands of near copies costs about as many confirmations.
 5. What a dense region showed to be near a component, but no confirmed pair links to it, is compared with all members of
    that component, in blocks.
+6. *Crowded documents*, which lie in dense regions of ``CROWDED`` or more trees, are joined exactly, see ``crowded_links``:
+   whatever two of them still are in different components and similar enough is found, however much they share with others.
 
-Outside dense regions a pair at 0.75 is missed with a chance of 0.25 ** TREES, about 6e-8. ``tests/llm`` and the README
-compare with all pairs.
+A document that is not crowded is compared with its whole region in more than ``TREES - CROWDED`` trees, so a pair with
+such a document is missed with a chance of at most 0.25 ** (TREES - CROWDED + 1), about 1e-6, as in step 3. ``tests/llm`` and
+the README compare with all pairs.
 """
 
 from __future__ import annotations
@@ -45,6 +48,9 @@ DEPTH = 8
 REGION = 32
 NEIGHBOURS = 2
 MEDOIDS = 1
+CROWDED = 3
+RARE = 64
+MOST_FREQUENT = 4_000_000
 BLOCK = 1024
 ASKING = 256
 SKETCH = 64
@@ -141,7 +147,10 @@ def medoids(signed: np.ndarray) -> list[int]:
 
 
 def candidates(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (smaller id, larger id, agreeing bytes, whether found in a region that is not compared whole) of sorted forest rows that follow each other without a gap."""
+    """Pairs (smaller id, larger id, agreeing bytes, whether found in a region that is not compared whole) of sorted forest rows that follow each other without a gap.
+
+    A row whose region is not compared whole at the first minimum is there as a pair with itself.
+    """
     prefixes = np.ascontiguousarray(rows[:, _PREFIX]).view(">u4")
     common = np.cumprod(prefixes[1:] == prefixes[:-1], axis=1).sum(1)
     common[rows[1:, _TREE] != rows[:-1, _TREE]] = 0
@@ -175,6 +184,7 @@ def candidates(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
             for centre in medoids(signed[a:b]):
                 compare(np.full(b - a, a + centre), np.arange(a, b), True)
         if depth == 1:
+            found.append((ids[dense], ids[dense], np.zeros(dense.sum(), np.int64), np.ones(dense.sum(), bool)))
             for step in range(1, NEIGHBOURS + 1):
                 i = np.flatnonzero(dense[:-step] & (region[step:] == region[:-step]))
                 compare(i, i + step, True)
@@ -223,7 +233,10 @@ def _seams(ranges: list[tuple[int, bool]]) -> list[tuple[int, int, int]]:
 
 
 def candidate_pairs(classes: DataFrame, store: Store) -> DataFrame:
-    """``(a, b, agreeing, crowded)``, each pair once, of the representatives in ``(class_id, n_shingles, minima)``."""
+    """``(a, b, agreeing, crowded)``, each pair once, of the representatives in ``(class_id, n_shingles, minima)``.
+
+    Crowded documents are there as ``(a, a)``.
+    """
     spark = classes.sparkSession
     rows = classes.count() * TREES
     ranges = max(1, -(-rows // ROWS_PER_RANGE), min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // (8 * REGION)))
@@ -238,7 +251,8 @@ def candidate_pairs(classes: DataFrame, store: Store) -> DataFrame:
         tagged = ends.join(F.broadcast(seams), "range")
         at_seams = tagged.where("head").select(F.col("before").alias("seam"), "row").unionByName(tagged.where("tail AND (NOT head OR before <> after)").select(F.col("after").alias("seam"), "row"))
         pairs = pairs.unionByName(at_seams.groupBy("seam").applyInArrow(_search_seam, "a long, b long, agreeing int, crowded boolean"))
-    return pairs.groupBy("a", "b").agg(F.max("agreeing").alias("agreeing"), F.max("crowded").alias("crowded"))
+    once = pairs.groupBy("a", "b").agg(F.max("agreeing").alias("agreeing"), F.max("crowded").alias("crowded"), F.count("*").alias("n"))
+    return once.where(f"a <> b OR n >= {CROWDED}").drop("n")
 
 
 def _confirm(batches):
@@ -275,12 +289,21 @@ def _relabel(labels: DataFrame, links: DataFrame, store: Store, n: int) -> DataF
 
 def linked_components(pairs: DataFrame, texts: DataFrame, store: Store) -> DataFrame:
     """``(id, component)`` of every document in ``pairs``, after all pairs that matter are confirmed."""
+    crowd = pairs.where("a = b").select(F.col("a").alias("id"))
     ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     ends = store.keep(ends)
     n = ends.count()
     if not n:
         return ends.withColumn("component", F.col("id"))
     texts = store.keep(texts.join(ends, texts["doc_id"] == ends["id"], "left_semi").dropDuplicates(["doc_id"]))
+    labels = _forest_components(pairs.where("a <> b"), ends, n, texts, store)
+    if crowd.isEmpty():
+        return labels
+    return _relabel(labels, store.keep(crowded_links(crowd, labels, texts, store)), store, n)
+
+
+def _forest_components(pairs: DataFrame, ends: DataFrame, n: int, texts: DataFrame, store: Store) -> DataFrame:
+    """Steps 4 and 5."""
     best = pairs.groupBy("b").agg(F.max(F.struct("agreeing", (-F.col("a")).alias("a"))).alias("best"))
     labels = _relabel(ends.withColumn("component", F.col("id")), store.keep(confirmed(best.select((-F.col("best.a")).alias("a"), "b"), texts)), store, n)
 
@@ -307,6 +330,86 @@ def linked_components(pairs: DataFrame, texts: DataFrame, store: Store) -> DataF
     return _relabel(labels, store.keep(between_components(near, labels, texts, store)), store, n)
 
 
+def _least_common(n):
+    """How many shingles a set of ``n`` has in common with any that it is linked with, at least."""
+    return -(-75 * n // 100)
+
+
+def _sets(batches):
+    """Ids and sets of the documents of each slice of the batches."""
+    for batch in slices(batches, "text"):
+        hashes, bounds = word_hashes(as_bytes(batch.column("text")), lower=True)
+        yield batch.column("id"), [shingles(hashes[x:y]) for x, y in zip(bounds[:-1], bounds[1:])]
+
+
+def _count_shingles(batches):
+    for _, sets in _sets(batches):
+        found, n = np.unique(np.concatenate(sets), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["h", "n"])
+
+
+def frequent_shingles(texts: DataFrame, store: Store) -> np.ndarray:
+    """The shingles that more than ``RARE`` of the documents hold, sorted; more than that, if they were over ``MOST_FREQUENT``."""
+    counts = texts.mapInArrow(_count_shingles, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > RARE)
+    counts, least = store.keep(counts), RARE
+    while counts.where(F.col("n") > least).count() > MOST_FREQUENT:
+        least *= 2
+    found = counts.where(F.col("n") > least).select("h").toArrow().column("h").to_numpy()
+    return np.sort(found.view(np.uint64))
+
+
+def crowded_links(crowd: DataFrame, labels: DataFrame, texts: DataFrame, store: Store) -> DataFrame:
+    """All links between documents of ``crowd`` that are in different components of ``labels``, by a prefix-filtered join.
+
+    Shingles are ordered: rare ones first, then frequent ones, each by their hash. Linked sets share three quarters of either, so the
+    first shingle they share is among the first quarter (and one more) of both.
+
+    * If it is rare, the pair meets at that shingle, where at most ``RARE`` documents meet.
+    * If not, they share frequent shingles only, which then make three quarters of both sets, and, as the common part is at least
+      3/7 of both sizes, 6/7 of the smaller one. Documents with that much in frequent shingles are near copies of each other and so few
+      components, which are compared with all components that they share a first frequent shingle with.
+    """
+    own = crowd.join(labels, "id").join(texts.select(F.col("doc_id").alias("id"), "text"), "id").select("id", "component", "text")
+    own = store.keep(own)
+    frequent = own.sparkSession.sparkContext.broadcast(frequent_shingles(own.select("id", "text"), store))
+
+    def keys(batches):
+        for ids, sets in _sets(batches):
+            hashes, row, first = [], [], []
+            for k, found in enumerate(sets):
+                known = frequent.value
+                place = np.minimum(np.searchsorted(known, found), max(len(known) - 1, 0))
+                often = known[place] == found if len(known) else np.zeros(len(found), bool)
+                rare, common, least = found[~often], found[often], _least_common(len(found))
+                prefix = rare[: len(found) - least + 1]
+                late = common[: max(len(common) - least + 1, 0)]
+                hashes += [prefix, late]
+                row.append(np.full(len(prefix) + len(late), k))
+                # 0: rare; 1: frequent; 2: frequent, of a document that holds hardly anything else
+                first += [np.zeros(len(prefix), np.int8), np.full(len(late), 2 if 7 * len(common) >= 6 * len(found) else 1, np.int8)]
+            row = np.concatenate(row)
+            size = np.array([len(s) for s in sets])[row]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)), ids.take(pa.array(row)), pa.array(size), pa.array(np.concatenate(first))], ["h", "id", "size", "kind"])
+
+    rows = store.keep(own.select("id", "text").mapInArrow(keys, "h long, id long, size long, kind byte").join(labels, "id").select("h", "id", "component", "size", "kind"))
+    rare = rows.where("kind = 0")
+    several = rare.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("h")
+    rare = store.keep(rare.join(several, "h", "left_semi"))
+    one = rare.select("h", *[F.col(c).alias(f"{c}_a") for c in ("id", "component", "size")])
+    other = rare.select("h", *[F.col(c).alias(f"{c}_b") for c in ("id", "component", "size")])
+    met = one.join(other, "h").where("component_a < component_b AND 100 * least(size_a, size_b) >= 75 * greatest(size_a, size_b)")
+    met = store.keep(met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct())
+    links = confirmed(met, texts)
+    late = rows.where("kind > 0").groupBy("h", "component").agg(F.max("kind").alias("kind"))
+    late = store.keep(late)
+    full = late.where("kind = 2").select("h", F.col("component").alias("full"))
+    near = late.join(full, "h").where("component <> full").select(F.least("component", "full").alias("low"), F.greatest("component", "full").alias("high")).distinct()
+    near = store.keep(near)
+    if near.isEmpty():
+        return links
+    return links.unionByName(between_components(near, labels, texts, store, singles=True))
+
+
 def _meet(members: pa.Table, asking: pa.Table) -> pa.Table:
     a, b = [], []
     if members.num_rows and asking.num_rows:
@@ -326,15 +429,17 @@ def _meet(members: pa.Table, asking: pa.Table) -> pa.Table:
     return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def between_components(near: DataFrame, labels: DataFrame, texts: DataFrame, store: Store) -> DataFrame:
+def between_components(near: DataFrame, labels: DataFrame, texts: DataFrame, store: Store, singles: bool = False) -> DataFrame:
     """All links between the given pairs of components ``(low, high)``, by full sets.
 
     The members of the larger component are dealt to blocks of about ``BLOCK``, those of all smaller ones near it to blocks of
-    about ``ASKING``, and each block of one meets each of the other. Two single documents have been confirmed as a pair.
+    about ``ASKING``, and each block of one meets each of the other. Two single documents are left out, as they have been confirmed
+    as a pair, unless ``singles`` asks for them.
     """
     sizes = store.keep(labels.groupBy("component").agg(F.count("*").alias("n")))
     size = lambda c: sizes.select(F.col("component").alias(c), F.col("n").alias(f"n_{c}"))
-    sized = near.join(size("low"), "low").join(size("high"), "high").where("n_low > 1 OR n_high > 1")
+    sized = near.join(size("low"), "low").join(size("high"), "high")
+    sized = sized if singles else sized.where("n_low > 1 OR n_high > 1")
     larger = F.col("n_low") >= F.col("n_high")
     sides = sized.select(F.when(larger, F.col("low")).otherwise(F.col("high")).alias("asked"), F.when(larger, F.col("high")).otherwise(F.col("low")).alias("component"), F.greatest("n_low", "n_high").alias("n_asked"))
     sides = store.keep(sides)

@@ -109,6 +109,25 @@ def test_neardup_many_copies_and_chains(spark):
     check_neardup(spark, rows)
 
 
+def template_pairs():
+    """Two documents each link with one another only (0.755 to 0.788), inside a group of 1,000 that share a template of 80 %."""
+    rows, template = [], words(50, 192, 1_000_000).split()
+    for k in range(500):
+        own = words(10_000 + k, 48, 1_000_000).split()
+        n = 24 + k % 6
+        other = own[:12] + words(20_000 + k, n, 1_000_000).split() + own[12 + n :]
+        rows += [(2 * k, " ".join(template + own), "en", "a", 1), (2 * k + 1, " ".join(template + other), "en", "a", 1)]
+    return rows
+
+
+def test_neardup_pairs_within_a_template(spark):
+    rows = template_pairs()
+    sets = shingle_sets(rows)
+    assert all(100 * len(sets[i] & sets[i + 1]) >= 75 * len(sets[i] | sets[i + 1]) for i in range(0, 1000, 2))
+    got = neardup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i - i % 2 for i in range(1000)}
+
+
 def test_seams_chain_short_ranges():
     assert neardup._seams([(0, False), (1, True), (2, True), (5, False)]) == [(0, 0, 1), (1, 1, 1), (2, 1, 1), (5, 1, 2)]
 

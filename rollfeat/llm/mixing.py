@@ -1,12 +1,15 @@
 """Mixing sources to target weights by iterative proportional fitting, with DataFrame functions only.
 
 Documents are counted into cells of (source, language, topic), by tokens. The cells' weights are raked in turn to
-the target share of each source, language and topic, ``SWEEPS`` times. A cell's factor is its raked weight over its
-own share; documents are then kept with probability ``min(1, scale * factor)``, where ``scale`` makes the expected tokens
-``keep`` of all. Whether a document is kept depends on a hash of its id and text only.
-
-Targets without documents are left out and the others take their share. Where cells that do not exist make the targets
-contradict each other, raking ends near them. Null source, language or topic is a category of its own, as ``NULL_NAME``. Null
+the target share of each source, language and topic, until all are met within ``MISS`` or ``SWEEPS`` times. No cell gets
+more than it has: its weight is at most its tokens over the tokens to keep, and the other cells of its source, language or topic
+take what is beyond. Documents are then kept with the probability that makes a cell's expected tokens its weight, ``keep`` of
+all tokens in sum. Whether a document is kept depends on a hash of its id and text only.
+
+Targets without documents are left out and the others take their share. A category cannot have a larger share than its natural
+one over ``keep``; where its target is beyond, it is kept whole and the others divide the rest as their targets are. Where cells
+that do not exist or are too small make the targets contradict each other, raking ends near them. Each row states the target
+and the reached (expected) share of its source, language and topic, so that any miss is seen. Null source, language or topic is a category of its own, as ``NULL_NAME``. Null
 texts have no tokens and stay out of the sums, but are kept or dropped like others of their cell. Rows that repeat are
 kept or dropped together.
 """
@@ -18,7 +21,8 @@ from pyspark.sql import functions as F
 
 from rollfeat.llm.store import Store
 
-SWEEPS = 5
+SWEEPS = 12
+MISS = 5e-4
 FILLS = 6
 KEEP = 0.8
 NULL_NAME = "(none)"
@@ -50,32 +54,58 @@ def flattened(cells: DataFrame, dimension: str, power: float = 1.0) -> DataFrame
     return shares.select(dimension, F.pow(F.col("tokens").cast("double"), F.lit(power)).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], store: Store, sweeps: int = SWEEPS) -> DataFrame:
+def wanted_shares(cells: DataFrame, dimension: str, target: DataFrame, keep: float) -> DataFrame:
+    """``(dimension, wanted, target)``: targets as shares of those with documents, and what of them ``keep`` leaves possible."""
+    there = cells.groupBy(dimension).agg(F.sum("tokens").alias("tokens")).where("tokens > 0").join(target, dimension)
+    sums = there.agg(F.sum("target").alias("target")).first()
+    total = cells.agg(F.sum("tokens").alias("tokens")).first()["tokens"] or 1
+    share, most, scale = F.col("target") / F.lit(sums["target"] or 1.0), F.col("tokens") / F.lit(keep * total), 1.0
+    for _ in range(FILLS):
+        whole = share * F.lit(scale) >= most
+        sums = there.agg(F.sum(F.when(whole, most)).alias("whole"), F.sum(F.when(~whole, share)).alias("open")).first()
+        if not sums["open"] or sums["whole"] is None:
+            break
+        scale = max(scale, (1.0 - sums["whole"]) / sums["open"])
+    return there.select(dimension, share.alias("wanted"), F.least(share * F.lit(scale), most).alias("target"))
+
+
+def rake(cells: DataFrame, targets: dict[str, DataFrame], store: Store, keep: float = KEEP, sweeps: int = SWEEPS) -> DataFrame:
     """``cells`` (the dimensions, ``tokens``) with ``weight``: shares of the whole that meet the targets.
 
-    A weight is the cell's tokens times one factor for each dimension. A step renews the factors of one dimension from
-    the sums of the cells under the others' factors, and keeps them; sums begin before the shuffle, so a category that most
-    cells share is no burden.
+    A weight is the cell's share of the tokens times one factor for each dimension, or ``1 / keep`` of that share if this is
+    less. A step renews the factors of one dimension from the sums of the cells under the others' factors, and keeps them;
+    sums begin before the shuffle, so a category that most cells share is no burden. A sum grows with its factor, ever slower
+    as cells reach their bound, so the line through the present sum never leads too far, nor does that through no bound at all.
     """
-    wanted, factors = {}, {}
-    for dimension, target in targets.items():
-        there = cells.where("tokens > 0").select(dimension).distinct().join(target, dimension)
-        total = there.agg(F.sum("target").alias("total")).first()["total"] or 1.0
-        wanted[dimension] = store.keep(there.select(dimension, (F.col("target") / F.lit(total)).alias("target")))
-        factors[dimension] = store.keep(cells.select(dimension).distinct().withColumn(f"{dimension}_factor", F.lit(1.0)))
-
-    def weighed(others) -> DataFrame:
-        out, weight = cells, F.col("tokens").cast("double")
-        for dimension in others:
+    total = cells.agg(F.sum("tokens").alias("tokens")).first()["tokens"] or 1
+    share = F.col("tokens") / F.lit(float(total))
+    most = share / F.lit(keep)
+    factors = {d: store.keep(cells.select(d).distinct().withColumn(f"{d}_factor", F.lit(1.0))) for d in targets}
+
+    def weighed(dimensions) -> DataFrame:
+        out, weight = cells, share
+        for dimension in dimensions:
             out, weight = out.join(factors[dimension], dimension), weight * F.col(f"{dimension}_factor")
         return out.withColumn("weight", weight)
 
     for _ in range(sweeps):
+        miss = 0.0
         for dimension in targets:
-            sums = weighed([d for d in targets if d != dimension]).groupBy(dimension).agg(F.sum("weight").alias("sum")).join(wanted[dimension], dimension, "left")
-            factor = F.when(F.col("sum") > 0, F.coalesce("target", F.lit(0.0)) / F.col("sum")).otherwise(0.0)
-            factors[dimension] = store.keep(sums.select(dimension, factor.alias(f"{dimension}_factor")))
-    return weighed(targets).select(*cells.columns, "weight")
+            own = F.col(f"{dimension}_factor")
+            base = weighed([d for d in targets if d != dimension]).join(factors[dimension], dimension)
+            whole = F.col("weight") * own >= most
+            sums = base.groupBy(dimension).agg(F.sum("weight").alias("sum"), F.coalesce(F.sum(F.when(whole, most)), F.lit(0.0)).alias("whole"), F.coalesce(F.sum(F.when(~whole, F.col("weight"))), F.lit(0.0)).alias("open"), F.first(own).alias("own"))
+            sums = sums.join(targets[dimension], dimension, "left").withColumn("target", F.coalesce("target", F.lit(0.0)))
+            free = F.when(F.col("sum") > 0, F.col("target") / F.col("sum")).otherwise(0.0)
+            full = (F.col("open") <= 0) & (F.col("whole") <= F.col("target") * (1 + 1e-9))
+            factor = F.when(full, F.greatest("own", free)).when(F.col("open") > 0, F.greatest(free, (F.col("target") - F.col("whole")) / F.col("open"))).otherwise(free)
+            missed = F.abs(F.col("whole") + F.col("open") * F.col("own") - F.col("target"))
+            step = store.keep(sums.select(dimension, factor.alias(f"{dimension}_factor"), missed.alias("missed")))
+            factors[dimension] = step.drop("missed")
+            miss = max(miss, step.agg(F.max("missed").alias("missed")).first()["missed"] or 0.0)
+        if miss <= MISS:
+            break
+    return weighed(targets).withColumn("weight", F.least("weight", most)).select(*cells.columns, "weight")
 
 
 def probabilities(weighted: DataFrame, keep: float, store: Store) -> DataFrame:
@@ -98,13 +128,13 @@ def probabilities(weighted: DataFrame, keep: float, store: Store) -> DataFrame:
 
 
 def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP, topic: Column | None = None) -> DataFrame:
-    """All columns of ``docs``, and ``topic, n_tokens, probability, sampled``.
+    """All columns of ``docs``, and ``topic, n_tokens, probability, sampled, target_shares, reached_shares``.
 
     ``targets`` gives ``(dimension, target)`` for ``source``, ``lang`` and ``topic``; those not given are the natural shares
     to the power in ``FLATTEN``. ``topic`` is an expression, by default the form of the text.
     """
     store = Store(docs.sparkSession, "mixing")
-    new = ("topic", "n_tokens", "probability", "sampled")
+    new = ("topic", "n_tokens", "probability", "sampled", "target_shares", "reached_shares")
     own = [c for c in docs.columns if c not in new]
     text = F.col("text").cast("string")
     name = lambda c: F.coalesce(c.cast("string"), F.lit(NULL_NAME))
@@ -112,8 +142,16 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: floa
     counted = known.select(F.col("__source").alias("source"), F.col("__lang").alias("lang"), F.col("__topic").alias("topic"), F.col("__tokens").alias("tokens"))
     cells = store.keep(counted.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")))
     wanted = {d: (targets or {}).get(d) if (targets or {}).get(d) is not None else flattened(cells, d, FLATTEN[d]) for d in DIMENSIONS}
-    chosen = store.keep(probabilities(rake(cells, wanted, store), keep, store))
-    chosen = chosen.select(F.col("source").alias("__source"), F.col("lang").alias("__lang"), F.col("topic").alias("__topic"), F.col("probability").alias("__probability"))
+    wanted = {d: store.keep(wanted_shares(cells, d, target, keep)) for d, target in wanted.items()}
+    chosen = store.keep(probabilities(rake(cells, {d: t.drop("wanted") for d, t in wanted.items()}, store, keep), keep, store))
+    expected = F.col("tokens") * F.col("probability")
+    total = chosen.agg(F.sum(expected).alias("tokens")).first()["tokens"] or 1.0
+    stated = chosen
+    for d in DIMENSIONS:
+        reached = chosen.groupBy(d).agg((F.sum(expected) / F.lit(total)).alias(f"{d}_reached"))
+        stated = stated.join(reached.join(wanted[d].select(d, F.col("wanted").alias(f"{d}_wanted")), d, "left"), d)
+    shares = [F.struct(*[F.coalesce(f"{d}_{kind}", F.lit(0.0)).alias(d) for d in DIMENSIONS]).alias(name) for kind, name in (("wanted", "__target"), ("reached", "__reached"))]
+    chosen = store.keep(stated.select(*[F.col(d).alias(f"__{d}") for d in DIMENSIONS], F.col("probability").alias("__probability"), *shares))
     draw = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit("mix"), F.col("doc_id").cast("string"), F.md5(F.coalesce(text, F.lit(""))))), 1, 13), 16, 10).cast("double") / F.lit(2.0**52)
     joined = known.join(chosen, ["__source", "__lang", "__topic"])
-    return joined.select(*[F.col(f"`{c}`") for c in own], F.col("__topic").alias("topic"), F.col("__tokens").alias("n_tokens"), F.col("__probability").alias("probability"), (draw < F.col("__probability")).alias("sampled"))
+    return joined.select(*[F.col(f"`{c}`") for c in own], F.col("__topic").alias("topic"), F.col("__tokens").alias("n_tokens"), F.col("__probability").alias("probability"), (draw < F.col("__probability")).alias("sampled"), F.col("__target").alias("target_shares"), F.col("__reached").alias("reached_shares"))

@@ -101,7 +101,7 @@ def op5_nbsvm_quality(spark, sf_dir):
 @query
 def op6_ipf_mixing(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 6).alias("probability"), "sampled")
+    return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 6).alias("probability"), "sampled", "target_shares", "reached_shares")
 
 
 @query

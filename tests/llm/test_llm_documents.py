@@ -468,6 +468,29 @@ def test_mixing_meets_targets(spark):
             assert abs(share[name] - target) < 1e-3 and abs(kept[name] - target) < 0.06
 
 
+def test_mixing_meets_targets_where_cells_are_full(spark):
+    """At the production share: a cell cannot give what raking asks of it and others of its categories must; one target is too large."""
+    rows = [(i, "w " * 9 + "w", "en" if i % 10 < 8 else "de", "ab"[i % 2] if i % 10 < 8 else "aaab"[i % 4], 1) for i in range(4000)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    topic = F.when(F.col("doc_id") % 3 == 0, "x").otherwise("y")
+    for lang, reached in (({"en": 0.76, "de": 0.24}, {"en": 0.76, "de": 0.24}), ({"en": 0.5, "de": 0.5}, {"en": 0.75, "de": 0.25})):
+        targets = {
+            "source": spark.createDataFrame([("a", 0.45), ("b", 0.55)], "source string, target double"),
+            "lang": spark.createDataFrame(list(lang.items()), "lang string, target double"),
+            "topic": spark.createDataFrame([("x", 0.39), ("y", 0.61)], "topic string, target double"),
+        }
+        got = mixing.mix(docs, targets, topic=topic).toPandas()
+        got["expected"] = got.probability * got.n_tokens
+        assert got.probability.max() <= 1 and abs(got.expected.sum() / got.n_tokens.sum() - mixing.KEEP) < 1e-6
+        for dimension, wanted in (("source", {"a": 0.45, "b": 0.55}), ("lang", reached), ("topic", {"x": 0.39, "y": 0.61})):
+            share = got.groupby(dimension).expected.sum() / got.expected.sum()
+            for name, target in wanted.items():
+                assert abs(share[name] - target) < 2e-3, (dimension, name, share[name])
+                one = got[got[dimension] == name].iloc[0]
+                assert abs(one.reached_shares[dimension] - share[name]) < 1e-9
+        assert abs(got[got.lang == "de"].iloc[0].target_shares["lang"] - lang["de"]) < 1e-9
+
+
 def test_mixing_hard(spark):
     docs = hard_documents(spark, extra=True)
     got = mixing.mix(docs).collect()

@@ -136,7 +136,8 @@ def sketch_bits(docs: DataFrame, most_bits: int) -> int:
     """Bits of a cell's number in one row. A representative comes about every twenty bytes and gets eight bits in all."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     row = min(max(size * 8 // 20, 1), most_bits) // ROWS
-    return max(BLOCK_BITS, int(row).bit_length())
+    # Never more than the bound, except where that is below one block.
+    return max(BLOCK_BITS, min(int(row).bit_length(), (most_bits // ROWS).bit_length() - 1))
 
 
 def repeated_windows(docs: DataFrame, table: np.ndarray, bits: int) -> DataFrame:

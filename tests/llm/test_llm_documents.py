@@ -177,6 +177,11 @@ def test_substring_hard(spark, monkeypatch, flush, most_bits):
     assert sorted(map(tuple, got), key=str) == without_repeats(rows)
 
 
+def test_sketch_keeps_its_bound(spark):
+    docs = spark.createDataFrame([(1, "x" * 1_000_000)], "doc_id long, text string")
+    assert substring.ROWS << substring.sketch_bits(docs, 300_000) <= 300_000
+
+
 def test_substring_empty_and_extra(spark):
     assert substring.remove_repeats(no_documents(spark)).count() == 0
     got = substring.remove_repeats(hard_documents(spark, extra=True))

@@ -70,3 +70,126 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(places),
        sha256(coalesce(array_to_string(CASE WHEN places IS NULL THEN ws ELSE [ws[i] FOR i IN range(1, len(ws) + 1) IF NOT list_contains(places, i)] END, ' '), '')) AS kept_sha256
 FROM w LEFT JOIN gone ON w.doc_id = gone.doc_id
 """
+
+ORACLE["op11_source_divergence"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
+), w AS (
+  SELECT id, lang, source, unnest(regexp_extract_all({_A_TO_Z}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT id) AS docs FROM w GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS lang_n FROM c GROUP BY ALL HAVING sum(docs) >= 30),
+groups_ AS (SELECT DISTINCT lang, source FROM d),
+k AS (
+  SELECT g.lang, g.source, kept.term, lang_n, coalesce(c.n, 0) AS n
+  FROM groups_ g JOIN kept ON g.lang = kept.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+), p AS (
+  SELECT lang, source, term, n, 1 + (1000000000 * (n + 5)) // (sum(n) OVER own + 5 * count(*) OVER own) AS p,
+         1 + (1000000000 * (lang_n + 5)) // (sum(lang_n) OVER own + 5 * count(*) OVER own) AS q
+  FROM k WINDOW own AS (PARTITION BY lang, source)
+), pairs AS (
+  SELECT g.lang, g.source, 'pair' AS part, o.source AS item, coalesce(sum(abs(a.p - b.p)), 0) AS value
+  FROM groups_ g JOIN groups_ o ON g.lang = o.lang AND g.source <> o.source
+  LEFT JOIN p a ON a.lang = g.lang AND a.source = g.source
+  LEFT JOIN p b ON b.lang = o.lang AND b.source = o.source AND b.term = a.term
+  GROUP BY g.lang, g.source, o.source
+), both_ AS (
+  SELECT * FROM pairs UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM both_)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR r <= 50
+"""
+
+
+def _url_level(level: int) -> str:
+    """The branches of one level of the template tree, and the nodes one level down."""
+    return f"""
+here{level} AS (SELECT *, segments[{level + 1}] AS segment FROM shapes{level}),
+children{level} AS (SELECT host, node, segment, sum(pages) AS pages, sum(good) AS good, sum(bad) AS bad FROM here{level} WHERE segment IS NOT NULL GROUP BY ALL),
+marked{level} AS (
+  SELECT *, CASE WHEN pages >= 5 AND pages * 50 >= sum(pages) OVER (PARTITION BY host, node) THEN segment ELSE '*' END AS branch FROM children{level}
+),
+branches{level} AS (SELECT host, node, branch, CAST(sum(good) AS DOUBLE) AS g, CAST(sum(bad) AS DOUBLE) AS b FROM marked{level} GROUP BY ALL),
+groups{level} AS (
+  SELECT host, node, unnest(list_reduce(list([{{'name': branch, 'members': [branch], 'g': g, 'b': b}}] ORDER BY g / (g + b), branch), lambda acc, x:
+    CASE WHEN pow(acc[len(acc)].g * x[1].b - acc[len(acc)].b * x[1].g, 2) * (acc[len(acc)].g + acc[len(acc)].b + (x[1].g + x[1].b))
+              <= 3.841 * (acc[len(acc)].g + acc[len(acc)].b) * (x[1].g + x[1].b) * (acc[len(acc)].g + x[1].g) * (acc[len(acc)].b + x[1].b)
+    THEN acc[1:len(acc) - 1] || [{{'name': least(acc[len(acc)].name, x[1].name), 'members': acc[len(acc)].members || x[1].members, 'g': acc[len(acc)].g + x[1].g, 'b': acc[len(acc)].b + x[1].b}}]
+    ELSE acc || x END)) AS one
+  FROM branches{level} WHERE g + b > 0 GROUP BY host, node
+),
+named{level} AS (
+  SELECT host, node, unnest(one.members) AS branch, CASE WHEN len(one.members) > 1 THEN '~' ELSE '' END || one.name AS name FROM groups{level}
+  UNION ALL SELECT host, node, branch, branch FROM branches{level} WHERE g + b = 0
+),
+shapes{level + 1} AS (
+  SELECT h.host, h.segments, h.pages, h.good, h.bad, CASE WHEN h.segment IS NULL THEN h.node ELSE h.node || '/' || name END AS node
+  FROM here{level} h LEFT JOIN marked{level} m ON m.host = h.host AND m.node = h.node AND m.segment = h.segment
+  LEFT JOIN named{level} n ON n.host = m.host AND n.node = m.node AND n.branch = m.branch
+),"""
+
+
+ORACLE["op12_url_template_tree"] = rf"""
+WITH parted AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages
+), rules(verdict, rule_host, rule_path) AS (
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), ruled AS (
+  SELECT *, (SELECT arg_max(struct_pack(rule := rule_host || rule_path, verdict := r.verdict), length(rule_host || rule_path)) FROM rules r
+             WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS fit,
+         list_filter(string_split(path, '/'), lambda s: s <> '') AS found
+  FROM parted
+), cut AS (
+  SELECT *, list_transform(found[1:3], lambda s: CASE WHEN regexp_matches(s, '^[0-9a-f\-]{{8,}}$') AND regexp_matches(s, '[0-9]') AND regexp_matches(s, '[a-f]')
+         THEN '{{id}}' ELSE regexp_replace(s, '[0-9]+', '{{n}}', 'g') END) || CASE WHEN len(found) > 3 THEN ['**'] ELSE [] END AS segments
+  FROM ruled
+), shapes0 AS (
+  SELECT host, segments, count(*) AS pages, count(*) FILTER (fit.verdict = 'allow') AS good, count(*) FILTER (fit.verdict = 'block') AS bad, '' AS node FROM cut GROUP BY ALL
+),{"".join(_url_level(level) for level in range(4))}
+everywhere AS (SELECT (CAST(sum(good) AS DOUBLE) + 1.0) / (CAST(sum(good) + sum(bad) AS DOUBLE) + 1.0) AS purity FROM shapes4),
+of_shape AS (
+  SELECT segments, (CAST(sum(good) AS DOUBLE) + 10.0 * (SELECT purity FROM everywhere)) / (CAST(sum(good) AS DOUBLE) + CAST(sum(bad) AS DOUBLE) + 10.0) AS purity
+  FROM shapes4 GROUP BY segments
+), of_template AS (SELECT host, node, CAST(sum(good) AS DOUBLE) AS good, CAST(sum(bad) AS DOUBLE) AS bad FROM shapes4 GROUP BY ALL),
+judged AS (
+  SELECT s.host, s.segments, CASE WHEN s.node = '' THEN '/' ELSE s.node END AS template, round((t.good + 10.0 * o.purity) / (t.good + t.bad + 10.0), 6) AS purity
+  FROM shapes4 s JOIN of_template t ON t.host = s.host AND t.node = s.node JOIN of_shape o ON o.segments = s.segments
+)
+SELECT page_id, c.host, path, fit.rule AS rule, coalesce(fit.verdict, CASE WHEN purity < 0.5 THEN 'block' ELSE 'allow' END) AS verdict, template, purity
+FROM cut c JOIN judged j ON j.host = c.host AND j.segments = c.segments
+"""
+
+# The checksum is taken byte by byte with the table of the polynomial 0xEDB88320; letters from U+00C0 to U+00FF are two bytes of UTF-8.
+ORACLE["op13_spelling_variants"] = rf"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(range(8), lambda c, step: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i) ORDER BY i) AS entries
+  FROM (SELECT unnest(range(256)) AS i)
+), runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all({_A_TO_Z}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents
+), counted AS (SELECT id, run, count(*) AS n FROM runs GROUP BY ALL),
+marked AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+           flatten(list_transform(string_split(id || ':' || run, ''), lambda c: CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)] ELSE [195, CAST(ord(c) AS BIGINT) - 64] END)),
+           lambda crc, byte: xor(entries[(xor(crc, byte) & 255) + 1], crc >> 8), 4294967295)) AS mark
+  FROM counted, crc_table
+), words AS (
+  SELECT CASE WHEN mark % 199 = 0 THEN substring(run, 1, mark % length(run)) || substring(run, mark % length(run) + 2) ELSE run END AS word, n FROM marked
+), vocabulary AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM words WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), cuts AS (
+  SELECT word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)
+), longer AS (SELECT DISTINCT v.word AS a, v.n AS a_n, c.word AS b, c.n AS b_n FROM vocabulary v JOIN cuts c ON c.rest = v.word),
+near AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION ALL SELECT a, a_n, b, b_n FROM longer UNION ALL SELECT b, b_n, a, a_n FROM longer
+), best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM near GROUP BY word
+), formed AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * v.n THEN near END AS form, CASE WHEN near_n >= 5 * v.n THEN near_n END AS form_n
+  FROM vocabulary v LEFT JOIN best ON best.word = v.word
+), chain AS (
+  SELECT word, coalesce(form, word) AS at, form IS NULL AS ended FROM formed
+  UNION ALL SELECT c.word, coalesce(f.form, f.word), f.form IS NULL FROM chain c JOIN formed f ON f.word = c.at WHERE NOT c.ended
+)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n FROM formed f JOIN chain c ON c.word = f.word AND c.ended
+"""

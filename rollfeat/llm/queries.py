@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollfeat.llm import chat, language, licenses, mixing, neardup, packing, quality, rules, substring, topk
+from rollfeat.llm import chat, divergence, language, licenses, mixing, neardup, packing, quality, rules, spelling, substring, topk, urls
 from rollfeat.llm.store import Store, workers_find_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,6 +129,32 @@ def op10_fuzzy_license_scan(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", F.size("spans").alias("n_spans"))
 
 
+@query
+def op11_source_divergence(spark, sf_dir):
+    return divergence.divergence(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+URL_RULES = [
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
+
+
+@query
+def op12_url_template_tree(spark, sf_dir):
+    """The tables hold no labels of URLs, so the templates learn from the URLs that a rule judges."""
+    judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline

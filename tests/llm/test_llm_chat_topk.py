@@ -112,4 +112,4 @@ def test_query_against_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"} == set(range(1, 11)) and set(ORACLE) <= set(QUERIES)
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"} == set(range(1, 14)) and set(ORACLE) <= set(QUERIES)

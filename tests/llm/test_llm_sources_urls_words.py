@@ -183,7 +183,7 @@ def test_templates_learn(spark):
     # Branches with like labels are one, slugs are one wildcard, and deep paths end in one.
     assert by_url["http://a.net/news/3"].template == "/~*/~*"
     assert by_url["http://a.net/item/slug-a/p"].template.startswith("/~*/~*/")
-    assert by_url["http://a.net/" + "deep/" * 3000].template.endswith("/**")
+    assert by_url["http://a.net/" + "deep/" * 3000].template.count("/") == 4
     assert by_url[None].template == "/" and by_url[None].host == ""
 
 

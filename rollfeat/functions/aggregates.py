@@ -15,6 +15,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollfeat.functions import exactsum
+from rollfeat.functions.exactsum import BITS, HALF_BITS, Magnitudes
+
 
 @dataclass(frozen=True)
 class State:
@@ -56,10 +59,76 @@ STATES = {
 }
 
 
+# Sums of limbs of doubles; the place of a limb is part of the state's name.
+_LIMBS = State(F.sum, F.sum, _add)
+STATES["marks"] = State(F.bit_or, F.bit_or, lambda a, b: F.coalesce(a.bitwiseOR(b), a, b))
+
+
+def state(name: str) -> State:
+    return STATES[name] if name in STATES else _LIMBS
+
+
+def _limb_state(kind: str, place: int) -> str:
+    return f"{kind}_{place}".replace("-", "m")
+
+
+def is_wide(name: str) -> bool:
+    return name == "marks" or name.split("_")[0] in ("limb", "half", "square")
+
+
+def wide_input(name: str, column: str, seen: Magnitudes) -> Column:
+    """What a state of a floating-point column is built from."""
+    if name == "marks":
+        return exactsum.marks(column)
+    kind, _, place = name.partition("_")
+    place = int(place.replace("m", "-"))
+    if kind == "square":
+        return exactsum.limb_of_squares(column, place, seen.places(HALF_BITS))
+    return exactsum.limb_of_sum(column, place, BITS if kind == "limb" else HALF_BITS, seen)
+
+
+@dataclass(frozen=True)
+class Wide:
+    """An aggregate of doubles that have no decimal type, over limbs at the places that the column has bits in."""
+
+    states: Callable[[Magnitudes], list[str]]
+    finish: Callable[[dict[str, str], Magnitudes], Column]  # of the columns that hold the states
+
+
+def _wide_sum(mean: bool) -> Wide:
+    def states(seen):
+        return ["count", "marks", *[_limb_state("limb", p) for p in seen.places(BITS)]]
+
+    def finish(s, seen):
+        limbs = [s[_limb_state("limb", p)] for p in seen.places(BITS)]
+        return exactsum.finish_sum(limbs, seen.places(BITS), s["marks"], s["count"] if mean else None)
+
+    return Wide(states, finish)
+
+
+def _wide_variance(lost: int, root: bool = False) -> Wide:
+    def squares(places):
+        return [_limb_state("square", p) for p in range(2 * places.start, 2 * places.stop - 1)]
+
+    def states(seen):
+        places = seen.places(HALF_BITS)
+        if len(places) > exactsum.MOST_SQUARED:
+            raise ValueError(f"moments of values from {seen.least} to {seen.most} need exact_type, the decimal type in which they are taken")
+        return ["count", "marks", *[_limb_state("half", p) for p in places], *squares(places)]
+
+    def finish(s, seen):
+        places = seen.places(HALF_BITS)
+        found = exactsum.finish_variance(s["count"], [s[_limb_state("half", p)] for p in places], [s[n] for n in squares(places)], places, s["marks"], lost)
+        return F.sqrt(found) if root else found
+
+    return Wide(states, finish)
+
+
 @dataclass(frozen=True)
 class Aggregate:
     states: tuple[str, ...]
     finish: Callable[[dict[str, Column], int], Column]  # states and the decimal scale of the summed values
+    wide: Wide | None = None  # in its place for doubles whose sums no decimal type holds
 
 
 def _count(s, scale):
@@ -138,7 +207,7 @@ def _root(finish):
 _MOMENTS = ("count", "high", "low", "high_high", "high_low", "low_low")
 # States that are built from values scaled to whole numbers.
 SCALED = frozenset(_MOMENTS) - {"count"}
-# States that depend on row order unless their values are exact.
+# States that sum values; those of doubles without decimal type are replaced by limbs.
 SUMMED = SCALED | {"sum"}
 
 
@@ -150,16 +219,16 @@ def _estimate(s, scale):
 
 AGGREGATES = {
     "count": Aggregate(("count",), _count),
-    "avg": Aggregate(("count", "sum"), _mean),
+    "avg": Aggregate(("count", "sum"), _mean, _wide_sum(mean=True)),
     "min": Aggregate(("min",), lambda s, _: s["min"].cast("double")),
     "max": Aggregate(("max",), lambda s, _: s["max"].cast("double")),
-    "sum": Aggregate(("sum",), lambda s, _: s["sum"].cast("double")),
-    "stddev": Aggregate(_MOMENTS, _root(_variance(1))),
-    "stddev_samp": Aggregate(_MOMENTS, _root(_variance(1))),
-    "stddev_pop": Aggregate(_MOMENTS, _root(_variance(0))),
-    "variance": Aggregate(_MOMENTS, _variance(1)),
-    "var_samp": Aggregate(_MOMENTS, _variance(1)),
-    "var_pop": Aggregate(_MOMENTS, _variance(0)),
+    "sum": Aggregate(("sum",), lambda s, _: s["sum"].cast("double"), _wide_sum(mean=False)),
+    "stddev": Aggregate(_MOMENTS, _root(_variance(1)), _wide_variance(1, root=True)),
+    "stddev_samp": Aggregate(_MOMENTS, _root(_variance(1)), _wide_variance(1, root=True)),
+    "stddev_pop": Aggregate(_MOMENTS, _root(_variance(0)), _wide_variance(0, root=True)),
+    "variance": Aggregate(_MOMENTS, _variance(1), _wide_variance(1)),
+    "var_samp": Aggregate(_MOMENTS, _variance(1), _wide_variance(1)),
+    "var_pop": Aggregate(_MOMENTS, _variance(0), _wide_variance(0)),
     "approx_count_distinct": Aggregate(("sketch",), _estimate),
 }
 
@@ -175,8 +244,8 @@ def aggregate(name: str) -> Aggregate:
 def exact_decimal(data_type: T.DataType, exact_type: str | None) -> T.DecimalType | None:
     """The decimal type values are summed in, or None for floating-point values that have none.
 
-    Decimals and whole numbers always sum exactly. Floating-point values do when ``exact_type`` (for example
-    ``decimal(18,2)``) says how many digits matter; without it their sums would depend on the plan in the last bits.
+    Decimals and whole numbers always sum exactly. Floating-point values do in the decimal type that ``exact_type`` names
+    (for example ``decimal(18,2)``), which is cheapest, and otherwise bit by bit, see :mod:`rollfeat.functions.exactsum`.
     """
     if isinstance(data_type, T.DecimalType):
         return data_type

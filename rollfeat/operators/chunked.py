@@ -31,7 +31,7 @@ from math import gcd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollfeat.functions.aggregates import STATES
+from rollfeat.functions.aggregates import state as state_of
 from rollfeat.functions.scalars import same
 
 # The shortest chunk.
@@ -93,7 +93,7 @@ def _chunk_width(seconds: int) -> int | None:
 
 def per_second(rows: DataFrame, keys: list[str], bound) -> DataFrame:
     """One row of states per (key, second)."""
-    states = [STATES[s.state].build(bound.input(s)).alias(s.name) for s in bound.states]
+    states = [state_of(s.state).build(bound.input(s)).alias(s.name) for s in bound.states]
     return rows.groupBy(*keys, _SEC).agg(F.max(_KEEP).alias(_KEEP), *states)
 
 
@@ -107,7 +107,7 @@ def direct_features(seconds: DataFrame, keys: list[str], bound) -> DataFrame:
         for s in bound.states_of(f)
     }
     outputs = [
-        bound.finish(f, {s.state: F.col(_name(s, f.seconds)) for s in bound.states_of(f)}) for f in bound.features
+        bound.finish(f, {s.state: _name(s, f.seconds) for s in bound.states_of(f)}) for f in bound.features
     ]
     windowed = seconds.select("*", *[c.alias(n) for n, c in frames.items()]).where(_KEEP)
     return windowed.select(*keys, _SEC, *outputs)
@@ -179,12 +179,13 @@ def _grid_features(seconds: DataFrame, keys: list[str], bound, grid: Grid, first
     def frame(f, s):
         value = F.col(_name(s, f.seconds))
         if f.seconds not in grid.sliding:
-            value = STATES[s.state].join(F.col(_before(s, f, grid)), value)
+            value = state_of(s.state).join(F.col(_before(s, f, grid)), value)
         # Rows without a time are each other's whole frame.
         return F.when(pos.isNull(), F.col(s.name)).otherwise(value)
 
-    outputs = [bound.finish(f, {s.state: frame(f, s) for s in bound.states_of(f)}) for f in features]
-    return windowed.select(*keys, F.col(_POS).alias(_SEC), *outputs)
+    framed = {_framed(s, f): frame(f, s) for f in features for s in bound.states_of(f)}
+    outputs = [bound.finish(f, {s.state: _framed(s, f) for s in bound.states_of(f)}) for f in features]
+    return windowed.select(*keys, F.col(_POS).alias(_SEC), *[c.alias(n) for n, c in framed.items()]).select(*keys, _SEC, *outputs)
 
 
 def _whole_chunks(seconds: DataFrame, keys: list[str], bound, grid: Grid) -> DataFrame | None:
@@ -210,7 +211,7 @@ def _whole_chunks(seconds: DataFrame, keys: list[str], bound, grid: Grid) -> Dat
             parts.append(_merge(state, F.col(state.name)).over(window.rangeBetween(1 - chunks, -1)))
         if rest:
             parts.append(_merge(state, F.col(_tail(state, lookback))).over(window.rangeBetween(-chunks, -chunks)))
-        return reduce(STATES[state.state].join, parts)
+        return reduce(state_of(state.state).join, parts)
 
     sums = []
     for lookback in spans:
@@ -251,10 +252,14 @@ def _name(state, seconds: int) -> str:
     return f"{state.name}_{seconds}"
 
 
+def _framed(state, feature) -> str:
+    return f"{state.name}_framed_{feature.seconds}"
+
+
 def _before(state, feature, grid: Grid) -> str:
     """The running aggregate up to a row; all long look-backs have the same."""
     return f"{state.name}_before_{feature.seconds}" if feature.seconds in grid.nested else f"{state.name}_before"
 
 
 def _merge(state, value: Column) -> Column:
-    return STATES[state.state].merge(value)
+    return state_of(state.state).merge(value)

@@ -19,8 +19,9 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollfeat.functions.aggregates import SCALED, STATES, SUMMED, Aggregate, aggregate, exact_decimal
+from rollfeat.functions.aggregates import SCALED, SUMMED, Aggregate, aggregate, exact_decimal, is_wide, state as state_of, wide_input
 from rollfeat.functions.durations import parse_duration
+from rollfeat.functions.exactsum import measure
 from rollfeat.functions.scalars import epoch_seconds, same
 from rollfeat.operators import chunked
 from rollfeat.operators.hotkeys import Limits, find_hot_keys
@@ -40,7 +41,7 @@ class RollingBlock:
     lookbacks: Sequence[str]
     timestamp: str = "tx_ts"
     exclude_current_row: bool = True
-    exact_type: str | None = None  # decimal type in which floating-point columns are summed; sums of them need it
+    exact_type: str | None = None  # decimal type in which floating-point columns are summed; without it, bit by bit
 
     def __post_init__(self):
         if isinstance(self.partition, str) or not self.partition:
@@ -91,27 +92,32 @@ class StateColumn:
 
 
 class BoundBlock:
-    """A block together with the types of the frame it runs on."""
+    """A block together with the types of the frame it runs on.
+
+    Floating-point columns that are summed without a decimal type are measured first, by one pass over them.
+    """
 
     def __init__(self, block: RollingBlock, df: DataFrame):
         self.block = block
         self.features = block.features()
         types = {c: df.schema[df.select(c).columns[0]].dataType for c in dict.fromkeys(block.columns)}
         self._exact = {c: exact_decimal(t, block.exact_type) for c, t in types.items()}
-        for f in self.features:
-            if SUMMED & set(f.spec.states) and self._exact[f.column] is None:
-                raise ValueError(
-                    f"{f.name}: {f.aggregation} over floating-point column {f.column!r} needs exact_type, "
-                    "the decimal type in which its sums are taken"
-                )
+        wide = [c for c in types if any(self._is_wide(f) for f in self.features if f.column == c)]
+        self._seen = measure(df, wide) if wide else {}
+        self._needs = {f.name: f.spec.wide.states(self._seen[f.column]) if self._is_wide(f) else list(f.spec.states) for f in self.features}
         self.states = [
             StateColumn(f"__{state}_{i}", column, state)
             for i, column in enumerate(types)
-            for state in dict.fromkeys(s for f in self.features if f.column == column for s in f.spec.states)
+            for state in dict.fromkeys(s for f in self.features if f.column == column for s in self._needs[f.name])
         ]
 
+    def _is_wide(self, feature: Feature) -> bool:
+        return bool(SUMMED & set(feature.spec.states)) and self._exact[feature.column] is None
+
     def input(self, state: StateColumn) -> Column:
-        """What a state is built from: the decimal form where it is summed, the plain column otherwise."""
+        """What a state is built from: limbs of doubles, the decimal form where it is summed, the plain column otherwise."""
+        if is_wide(state.state):
+            return wide_input(state.state, state.column, self._seen[state.column])
         exact = self._exact[state.column]
         value = F.col(state.column)
         if exact is None or state.state not in SUMMED:
@@ -120,19 +126,30 @@ class BoundBlock:
         return (value * F.lit(Decimal(10**exact.scale))).cast("decimal(38,0)") if state.state in SCALED else value
 
     def states_of(self, feature: Feature) -> list[StateColumn]:
-        return [s for s in self.states if s.column == feature.column and s.state in feature.spec.states]
-
-    def finish(self, feature: Feature, values: dict[str, Column]) -> Column:
-        """The feature from its states, given by state name."""
+        return [s for s in self.states if s.column == feature.column and s.state in self._needs[feature.name]]
+
+    def finish(self, feature: Feature, columns: dict[str, str]) -> Column:
+        """The feature from the columns that hold its states."""
+        if self._is_wide(feature):
+            quoted = {state: f"`{column}`" for state, column in columns.items()}
+            return feature.spec.wide.finish(quoted, self._seen[feature.column]).alias(feature.name)
+        return self.finish_exact(feature, {state: F.col(column) for state, column in columns.items()})
+
+    def finish_exact(self, feature: Feature, values: dict[str, Column]) -> Column:
+        """The same from expressions, for all but doubles that are summed without a decimal type."""
+        if self._is_wide(feature):
+            raise ValueError(f"{feature.name}: sums of doubles without exact_type need with_rolling")
         exact = self._exact[feature.column]
         return feature.spec.finish(values, exact.scale if exact is not None else 0).alias(feature.name)
 
 
 def rolling_columns(df: DataFrame, block: RollingBlock) -> list[Column]:
-    """The features of a block as window expressions over raw rows, ready for one ``df.select("*", *columns)``."""
+    """The features of a block as window expressions over raw rows, ready for one ``df.select("*", *columns)``.
+
+    Sums of doubles need ``exact_type`` here; :func:`with_rolling` does without."""
     bound = BoundBlock(block, df)
     return [
-        bound.finish(f, {s.state: _raw_window(bound, s, f) for s in bound.states_of(f)}) for f in bound.features
+        bound.finish_exact(f, {s.state: _raw_window(bound, s, f) for s in bound.states_of(f)}) for f in bound.features
     ]
 
 
@@ -140,18 +157,17 @@ def _raw_window(bound: BoundBlock, state: StateColumn, feature: Feature) -> Colu
     order = epoch_seconds(bound.block.timestamp)
     window = Window.partitionBy(*bound.block.partition).orderBy(order)
     frame = window.rangeBetween(-feature.seconds, bound.block.last_offset)
-    return STATES[state.state].build(bound.input(state)).over(frame)
+    return state_of(state.state).build(bound.input(state)).over(frame)
 
 
-def _direct(df: DataFrame, blocks: Sequence[RollingBlock]) -> DataFrame:
+def _direct(df: DataFrame, bounds: Sequence[BoundBlock]) -> DataFrame:
     """All blocks by plain windows; features that share a state (avg and count, say) share its window."""
     windows, outputs = {}, []
-    for i, block in enumerate(blocks):
-        bound = BoundBlock(block, df)
+    for i, bound in enumerate(bounds):
         for f in bound.features:
             names = {s.state: f"__{i}{s.name}_{f.seconds}" for s in bound.states_of(f)}
             windows.update({names[s.state]: _raw_window(bound, s, f) for s in bound.states_of(f)})
-            outputs.append(bound.finish(f, {state: F.col(name) for state, name in names.items()}))
+            outputs.append(bound.finish(f, names))
     windowed = df.select("*", *[c.alias(n) for n, c in windows.items()])
     return windowed.select(*df.columns, *outputs)
 
@@ -177,9 +193,10 @@ def with_rolling(
 
     direct, by_second = [], []
     for block in blocks:
-        features = None if strategy == "direct" else _features_by_second(df, block, strategy, keep, limits)
+        bound = BoundBlock(block, df)
+        features = None if strategy == "direct" else _features_by_second(df, bound, strategy, keep, limits)
         if features is None:
-            direct.append(block)
+            direct.append(bound)
         else:
             by_second.append((block, features))
 
@@ -191,9 +208,9 @@ def with_rolling(
     return result.select(*df.columns, *names)
 
 
-def _features_by_second(df, block, strategy, keep, limits) -> DataFrame | None:
+def _features_by_second(df, bound, strategy, keep, limits) -> DataFrame | None:
     """Features per (key, second) when some key is dense; None when plain windows over the rows do."""
-    bound = BoundBlock(block, df)
+    block = bound.block
     keys = list(block.partition)
     key_names = [f"__key_{i}" for i in range(len(keys))]
     rows = df.select(

@@ -218,6 +218,57 @@ def rolled(source: str, *blocks: RollingBlock) -> str:
     return with_features(source, *blocks, columns="tx_id")
 
 
+def exact_sum_sql(source: str, limbs: list[str], first_place: int, divisor: str) -> str:
+    """``source`` with the double next to a sum of whole numbers ``limbs[i] * 2**(60 * (first_place + i))``, divided, as ``value``."""
+    base = "1152921504606846976::HUGEINT"
+
+    def carried(numbers: str) -> str:
+        digit = f"(a.c % {base} + {base}) % {base}"
+        return (
+            f"list_reduce(list_transform({numbers}, lambda x: {{'c': x, 'd': []::HUGEINT[]}}), "
+            f"lambda a, x: {{'c': x.c + (a.c - {digit}) // {base}, 'd': a.d || [{digit}]}})"
+        )
+
+    unit = "CAST(pow(2.0, shift) AS HUGEINT)"
+    return f"""
+SELECT *, sign * (CAST(leading_bits + CASE WHEN leading_bits % 2 = 0 AND more THEN 1 ELSE 0 END AS DOUBLE) * pow(2.0, shift) / {divisor})
+       * pow(2.0, place // 2) * pow(2.0, place - place // 2) AS value
+FROM (SELECT *, CAST(high * CAST(pow(2.0, 60 - shift) AS HUGEINT) + low // {unit} AS BIGINT) AS leading_bits,
+             len(list_filter(n.d[1:greatest(at_place - 2, 0)], lambda d: d <> 0)) > 0 OR low % {unit} <> 0 AS more, 60 * ({first_place} + at_place - 2) AS place
+FROM (SELECT *, n.d[at_place] AS high, CASE WHEN at_place > 1 THEN n.d[at_place - 1] ELSE 0 END AS low, greatest(length(bin(CAST(n.d[at_place] AS BIGINT))) - 2, 0) AS shift
+FROM (SELECT *, list_max(list_transform(n.d, lambda d, i: CASE WHEN d <> 0 THEN i END)) AS at_place
+FROM (SELECT *, CASE WHEN r.c < 0 THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END AS sign, CASE WHEN r.c < 0 THEN {carried("list_transform(l, lambda x: -x)")} ELSE r END AS n
+FROM (SELECT *, {carried("l")} AS r FROM (SELECT *, [{', '.join(limbs)}, 0, 0, 0] AS l FROM ({source})))))))"""
+
+
+def all_magnitudes_sql() -> str:
+    places = range(-18, 18)
+    limbs = []
+    for place in places:
+        a, b = -60 * place // 2, -60 * place - -60 * place // 2
+        scaled = f"(wide * pow(2.0, {a}) * pow(2.0, {b}))"
+        part = f"CAST(trunc({scaled}) - trunc({scaled} / pow(2.0, 60)) * pow(2.0, 60) AS HUGEINT)"
+        beyond = 60 * (place + 1) + 53
+        limbs.append(f"{f'CASE WHEN abs(wide) < pow(2.0, {beyond}) THEN {part} ELSE 0::HUGEINT END' if beyond < 1024 else part} AS p{place - places.start}")
+    wide = f"SELECT *, tx_amount * CASE WHEN tx_id::BIGINT % 2 = 0 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END * pow(2.0, tx_id::BIGINT % 1993 - 996) AS wide FROM ({TX})"
+    frames = []
+    for lookback, seconds in (("1h", 3600), ("5d", 432000)):
+        over = f"OVER (PARTITION BY customer_id ORDER BY {SECOND.format('tx_ts')} NULLS FIRST RANGE BETWEEN {seconds} PRECEDING AND 1 PRECEDING)"
+        sums = ", ".join(f"coalesce(CAST(sum(p{i}) {over} AS HUGEINT), 0) AS s{i}" for i in range(len(places)))
+        frames.append(f"SELECT tx_id, '{lookback}' AS lookback, count(wide) {over} AS n, {sums} FROM limbs")
+    finished = []
+    for name, divisor in (("sum", "1.0"), ("avg", "rows_")):
+        value = exact_sum_sql("SELECT * RENAME (n AS rows_) FROM frames WHERE n > 0", [f"s{i}" for i in range(len(places))], places.start, divisor)
+        finished.append(f"SELECT tx_id, lookback, '{name}' AS name, coalesce(value, 0.0) AS value FROM ({value})")
+    columns = ", ".join(
+        f"max(value) FILTER (name = '{name}' AND lookback = '{lookback}') AS {name}_wide_by_customer_id_{lookback}_1s" for name in ("avg", "sum") for lookback in ("1h", "5d")
+    )
+    return f"""
+WITH wide AS ({wide}), limbs AS (SELECT *, {', '.join(limbs)} FROM wide), frames AS ({' UNION ALL '.join(frames)}),
+finished AS ({' UNION ALL '.join(finished)}), wanted AS (SELECT tx_id, {columns} FROM finished GROUP BY tx_id)
+SELECT w.* REPLACE (t.tx_id AS tx_id), plan FROM ({TX}) t LEFT JOIN wanted w ON t.tx_id = w.tx_id CROSS JOIN (VALUES ('direct'), ('chunked')) AS p(plan)"""
+
+
 ORACLE: dict[str, str] = {
     "scan_tx": TX,
     "scan_txlabels": "SELECT cast(doc_id AS varchar) AS tx_id, toxic AS tx_fraud FROM labels",
@@ -322,6 +373,7 @@ UNION ALL SELECT customer_id, tx_ts, tx_id, NULL, count_tx_amount_by_customer_id
     ) + f" FROM ({EVENTS})",
     "roll_odd_lookback": rolled(ORDERS, block(["count", "avg", "max"], ["100003m", "28d"], partition=["terminal_id"])),
     "roll_stddev_double": moments_sql(),
+    "roll_avg_double": all_magnitudes_sql(),
     "train_split_stats": " UNION ALL ".join(
         f"SELECT '{name}' AS split, count(*) AS n_rows, avg(cast(tx_fraud AS double)) AS label_mean FROM ({between(STAGED, bounds)}) WHERE tx_fraud IS NOT NULL"
         for name, bounds in (("train", LABELLED_TRAIN), ("validation", LABELLED_VALIDATION))

@@ -184,8 +184,8 @@ def typed_read(spark, sf_dir):
 @query
 def staging_join(spark, sf_dir):
     name = f"rollfeat_staging_{uuid.uuid4().hex}"
-    TableStore.view(name, staged_events(spark, sf_dir))
-    return spark.table(name)
+    with TableStore(spark, scratch_dir(spark, "tables")).view(name, staged_events(spark, sf_dir)):
+        return spark.sql(f"SELECT * FROM {name}")
 
 
 def staged_table(spark, sf_dir):
@@ -347,6 +347,22 @@ def roll_stddev_double(spark, sf_dir):
     return rolled(rows, *moments, strategy="chunked")
 
 
+def of_all_magnitudes(rows: DataFrame) -> DataFrame:
+    """Amounts of either sign, times a power of two between 2**-996 and 2**996."""
+    n = F.col("tx_id").cast("bigint")
+    sign = F.when(n % 2 == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
+    return rows.withColumn("wide", F.col("tx_amount") * sign * F.pow(F.lit(2.0), (n % 1993 - 996).cast("double")))
+
+
+@query
+def roll_avg_double(spark, sf_dir):
+    """Sums of doubles from 1e-300 to 1e300 without a decimal type, in each plan."""
+    rows = of_all_magnitudes(samples.events_tx(spark, sf_dir))
+    wide = RollingBlock(["avg", "sum"], ["wide"], ["customer_id"], ["1h", "5d"])
+    plans = [rolled(rows, wide, strategy=plan).withColumn("plan", F.lit(plan)) for plan in ("direct", "chunked")]
+    return plans[0].unionByName(plans[1])
+
+
 @query
 def roll_include_current(spark, sf_dir):
     return rolled(

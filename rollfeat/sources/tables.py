@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,10 +94,14 @@ class TableStore:
         """The database with all its tables and their files."""
         self.spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
 
-    @staticmethod
-    def view(name: str, df: DataFrame) -> DataFrame:
-        df.createOrReplaceTempView(name)
-        return df
+    @contextmanager
+    def view(self, name: str, df: DataFrame) -> Iterator[DataFrame]:
+        """The rows under a name that SQL can use, for as long as the block lasts. Frames made of it outlive it."""
+        df.createTempView(name)
+        try:
+            yield self.spark.table(name)
+        finally:
+            self.spark.catalog.dropTempView(name)
 
     @staticmethod
     def _writer(df: DataFrame, partition_by: Sequence[str]):

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollfeat.operators.incremental import halo_start, high_date, newer_than
+from rollfeat.plans.late import load_late
 from rollfeat.plans.presets import Preset, build_features, label_transactions
 from rollfeat.sources.tables import TableStore
 
@@ -33,6 +36,9 @@ def load_features(
     full_refresh: bool = False,
     strategy: str = "auto",
     created_at: Column | None = None,
+    late_rows: bool = False,
+    batch_id: str | None = None,
+    checks: Mapping[str, Column] | None = None,
 ) -> None:
     """Bring ``target`` up to date with ``staged`` (which carries ``tx_date``).
 
@@ -43,25 +49,53 @@ def load_features(
       in a full build;
     * ``history="delta"`` lets windows see only the new rows. Cheap, but features lose what happened before.
 
+    With ``late_rows``, rows that came in for dates the target already holds are merged first, and everything they reach is
+    computed again (:func:`rollfeat.plans.late.load_late`); this needs ``history="full"``.
+
+    With a ``batch_id`` the load counts as a whole or not at all: one that failed is repeated under the same id, and one
+    that was committed is not done again. ``checks`` (conditions on every row) then keep a bad load from being committed. A target keeps to
+    one way of loading, with batches or without.
+
     Rows without a timestamp enter with a first load or a full refresh only.
     """
     if history not in ("full", "delta"):
         raise ValueError(f"history must be 'full' or 'delta', not {history!r}")
+    if batch_id is None and checks:
+        raise ValueError("checks decide on a commit, so they need a batch_id")
+    if batch_id is not None:
+        if late_rows:
+            raise ValueError("committed batches are never changed; late rows need a target without batches")
+        if store.is_committed(target, batch_id):
+            return
+
+    def add(features: DataFrame) -> None:
+        if batch_id is None:
+            store.append(target, features, partition_by=["tx_date"])
+        else:
+            store.append_once(target, features, batch_id, partition_by=["tx_date"], replace=full_refresh, checks=checks)
+
+    if batch_id is not None and (full_refresh or not store.exists(target)):
+        add(build_features(staged, preset, strategy, created_at=created_at))
+        return
     if full_refresh or not store.exists(target):
         features = build_features(staged, preset, strategy, created_at=created_at)
         store.overwrite(target, features, partition_by=["tx_date"])
         return
+    if late_rows:
+        if history != "full":
+            raise ValueError("late rows change earlier features, which needs history='full'")
+        load_late(store, target, staged, preset, strategy=strategy, created_at=created_at)
     relation = store.read(target) if relation is None else relation
     column = "tx_date" if "tx_date" in relation.columns else "tx_ts"
     if history == "delta":
         delta = newer_than(staged, "tx_date", relation, column)
-        store.append(target, build_features(delta, preset, strategy, created_at=created_at), partition_by=["tx_date"])
+        add(build_features(delta, preset, strategy, created_at=created_at))
         return
     high = high_date(relation, column)
     if high is None:
-        store.append(target, build_features(staged, preset, strategy, created_at=created_at), partition_by=["tx_date"])
+        add(build_features(staged, preset, strategy, created_at=created_at))
         return
     with_halo = staged.where(F.col("tx_date") >= F.lit(halo_start(high, preset.max_lookback)))
     new = F.col("tx_date") > F.lit(high)
     features = build_features(with_halo, preset, strategy, keep=new, created_at=created_at)
-    store.append(target, features, partition_by=["tx_date"])
+    add(features)

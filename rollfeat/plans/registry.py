@@ -170,18 +170,25 @@ class FeatureStore:
                 + "; ".join(f"feature {r.feature_name} is {r.stored_type}, column {r.column_name} is {r.table_type}" for r in found)
             )
 
-    def ingest(self, mapping: EntityMapping, df: DataFrame, tie_break: str | None = None) -> None:
+    def ingest(self, mapping: EntityMapping, df: DataFrame, tie_break: str | None = None, batch_id: str | None = None) -> None:
         """Append exactly the mapped features. Features that are new to the entity type become columns, NULL in older
-        rows; features left out are NULL in the new ones. Ingesting a table again repeats its rows, which does not change
-        what is served: of rows with equal entity and time, one is chosen by tie and values."""
+        rows; features left out are NULL in the new ones.
+
+        With a ``batch_id`` the rows count as a whole or not at all, and ingesting the same batch again is a no-op
+        (:meth:`TableStore.append_once`). Without one, ingesting a table again repeats its rows, which does not change what is served: of
+        rows with equal entity and time, one is chosen by tie and values."""
         rows = ingest_rows(df, mapping, tie_break).select("*", F.to_date("feature_time").alias("feature_date"))
-        self.tables.append(self._values(mapping.entity_type), rows, partition_by=["feature_date"], widen=True)
+        if batch_id is None:
+            self.tables.append(self._values(mapping.entity_type), rows, partition_by=["feature_date"], widen=True)
+        else:
+            self.tables.append_once(self._values(mapping.entity_type), rows, batch_id, partition_by=["feature_date"], widen=True)
 
     def values(self, entity_type: str) -> DataFrame:
         return self.tables.read(self._values(entity_type))
 
-    def run(self, config: StoreConfig, tie_break: str | None = None) -> None:
-        """Register everything a (checked) configuration names, then check types or ingest, as its mode says."""
+    def run(self, config: StoreConfig, tie_break: str | None = None, batch_id: str | None = None) -> None:
+        """Register everything a (checked) configuration names, then check types or ingest, as its mode says. A run that failed
+        half-way can be repeated under the same ``batch_id``: what it had ingested is not ingested again."""
         sources = [(mapping, self.tables.read(mapping.table)) for mapping in config.mappings]
         for mapping, frame in sources:  # all mappings before any change
             feature_rows(self.spark, mapping, frame.schema)
@@ -191,7 +198,7 @@ class FeatureStore:
         for mapping, frame in sources:
             self.register(mapping, frame.schema)
             if config.mode == "ingest":
-                self.ingest(mapping, frame, tie_break)
+                self.ingest(mapping, frame, tie_break, None if batch_id is None else f"{batch_id}:{mapping.table}")
             else:
                 self.check_types(mapping, frame.schema)
 

@@ -443,6 +443,36 @@ def incremental_delta(spark, sf_dir):
     return without_stamp(incremental(spark, sf_dir, "delta"))
 
 
+@query
+def incremental_late(spark, sf_dir):
+    """A first load that lacks every ninth row of its dates; these come in with the increment."""
+    store, database = new_store(spark)
+    copy_transactions(store, f"{database}.tx", samples.events_tx(spark, sf_dir))
+    staged = label_transactions(store.read(f"{database}.tx"), samples.events_labels(spark, sf_dir))
+    target, preset = f"{database}.features", PRESET_B.summing_in(MONEY)
+    in_time = (F.col("tx_date") <= F.lit(FIRST_LOAD_UNTIL)) & (F.col("tx_id").cast("bigint") % 9 != 0)
+    load_features(store, target, staged.where(in_time), preset)
+    load_features(store, target, staged, preset, late_rows=True)
+    return without_stamp(store.read(target))
+
+
+@query
+def incremental_batches(spark, sf_dir):
+    """Loads as batches: one is refused by a check, then repeated, and then asked for once more."""
+    store, database = new_store(spark)
+    staged = staged_events(spark, sf_dir).withColumn("tx_date", F.to_date("tx_ts"))
+    target, preset = f"{database}.features", PRESET_B.summing_in(MONEY)
+    load_features(store, target, staged.where(F.col("tx_date") <= F.lit(FIRST_LOAD_UNTIL)), preset, batch_id="first")
+    try:
+        load_features(store, target, staged, preset, batch_id="second", checks={"labelled": F.col("tx_fraud").isNotNull()})
+        raise AssertionError("rows without a label were not noticed")
+    except quality.ChecksFailed:
+        pass
+    for _ in range(2):
+        load_features(store, target, staged, preset, batch_id="second", checks={"tx_id": F.col("tx_id").isNotNull()})
+    return without_stamp(store.read(target))
+
+
 @query
 def incremental_first_load(spark, sf_dir):
     store, database = new_store(spark)
@@ -571,10 +601,10 @@ def type_check(spark, sf_dir):
     return with_counts(mismatches, features)
 
 
-def run_mappings(store, database, mappings) -> registry.FeatureStore:
+def run_mappings(store, database, mappings, batch_id=None) -> registry.FeatureStore:
     raw = {"experimental_feature_store": {"id": database, "ingestion_mode": "ingest"}, "feature_mapping": mappings}
     features = registry.FeatureStore(store, database)
-    features.run(parse_config(raw), tie_break="tx_id")
+    features.run(parse_config(raw), tie_break="tx_id", batch_id=batch_id)
     return features
 
 
@@ -590,6 +620,16 @@ def ingest_customer(spark, sf_dir):
     return ingested(spark, sf_dir, "customer")[0].values("customer").drop("feature_date")
 
 
+@query
+def ingest_batch_twice(spark, sf_dir):
+    """The second run of a batch adds nothing."""
+    store, database, _ = stored_features(spark, sf_dir)
+    customer = {**MAPPING["feature_mapping"][0], "output_full_table_id": f"{database}.features"}
+    for _ in range(2):
+        features = run_mappings(store, database, [customer], batch_id="2024-01")
+    return features.values("customer").drop("feature_date")
+
+
 @query
 def ingest_terminal(spark, sf_dir):
     return ingested(spark, sf_dir, "terminal")[0].values("terminal").drop("feature_date")

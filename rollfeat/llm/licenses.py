@@ -3,17 +3,23 @@
 Texts are lower-cased (A-Z) and cut into words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``; null is empty. Base phrases are places
 where a phrase's words stand consecutively. Notices are searched in the words joined by single spaces, with up to one edit (a
 character put in, left out or changed) for every ten characters, three at most: a notice with ``e`` edits is cut into
-``e + 1`` pieces, one of which any occurrence must hold unchanged. Where a piece is found, the text around it is matched
-against the whole notice with bounded errors, between word ends. Matches are reported with label, place in words, place in
-the joined text (code points, end exclusive) and number of edits.
-
-``score`` is 1 for an exact phrase or notice, else the best match's share of unchanged characters, 0 without any.
+``e + 1`` pieces, one of which any occurrence must hold unchanged. Where a piece is found, the notice is matched with bounded errors,
+between word ends, in a window of its own: as many characters as the notice has, and the edits on either side. So the work grows with
+the number of pieces found, whatever the length of a text or of its words. Of overlapping matches of one notice the one with fewer edits
+stays, then the first. Matches are reported with label, place in words, place in the joined text (code points, end exclusive)
+and number of edits.
+
+``score`` is 1 for an exact phrase or notice, else the best match's share of unchanged characters, 0 without any. Texts that are null or
+hold no word have no matches and score 0; repeated rows keep their results; an empty table gives an empty one. Columns of
+the input that are named like a result are replaced by it.
 """
 
 from __future__ import annotations
 
-from functools import cache
+from collections.abc import Iterator
+from functools import cache, cached_property, lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -61,7 +67,7 @@ def searchers() -> list[tuple[str, str, int, list[tuple[int, str]], regex.Patter
         edits = allowed_edits(notice)
         cuts = [len(notice) * i // (edits + 1) for i in range(edits + 2)]
         pieces = [(a, notice[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
-        pattern = regex.compile(rf"(?b)(?<![^ ])(?:{regex.escape(notice, literal_spaces=True)}){{e<={edits}}}(?![^ ])")
+        pattern = regex.compile(rf"(?b)(?<= )(?:{regex.escape(notice, literal_spaces=True)}){{e<={edits}}}(?= )")
         out.append((notice, label, edits, pieces, pattern))
     return out
 
@@ -70,39 +76,61 @@ def to_words(text: bytes | None) -> list[bytes]:
     return text.translate(_TO_WORDS).split() if text else []
 
 
-def base_places(joined: str) -> list[tuple[int, str]]:
-    """(place in words, label) of every base phrase."""
-    padded, out = f" {joined} ", []
-    for phrase, label in BASE_PHRASES.items():
-        at = padded.find(f" {phrase} ")
+class Joined:
+    """Words joined by single spaces, with a space at either end; places count from the first word."""
+
+    def __init__(self, words: list[bytes]):
+        self.padded = b" ".join([b"", *words, b""]).decode() if words else " "
+
+    @cached_property
+    def _spaces(self) -> np.ndarray:
+        return np.flatnonzero(np.frombuffer(self.padded.encode("utf-32-le"), np.uint32) == 32)
+
+    def words_before(self, places: list[int]) -> list[int]:
+        return (np.searchsorted(self._spaces, np.array(places, np.int64) + 1) - 1).tolist()
+
+    def find_all(self, part: str) -> Iterator[int]:
+        """Places of all occurrences of a part, overlapping ones included."""
+        at = self.padded.find(part)
         while at >= 0:
-            out.append((padded.count(" ", 0, at + 1) - 1, label))
-            at = padded.find(f" {phrase} ", at + 1)
-    return out
+            yield at - 1
+            at = self.padded.find(part, at + 1)
 
 
-def notices(joined: str) -> list[tuple[str, int, int, int, int]]:
+def base_places(joined: Joined) -> list[tuple[int, str]]:
+    """(place in words, label) of every base phrase."""
+    found = [(at + 1, label) for phrase, label in BASE_PHRASES.items() for at in joined.find_all(f" {phrase} ")]
+    return list(zip(joined.words_before([at for at, _ in found]), [label for _, label in found])) if found else []
+
+
+@lru_cache(maxsize=65_536)
+def _best_match(number: int, window: str) -> tuple[int, int, int] | None:
+    """Start, end and edits of the best match of a notice in a window; texts that repeat themselves repeat their windows."""
+    m = searchers()[number][4].search(window)
+    return m and (m.start(), m.end(), sum(m.fuzzy_counts))
+
+
+def notices(joined: Joined) -> list[tuple[str, int, int, int, int]]:
     """(label, word, start, end, edits) of every notice found."""
-    out = set()
-    for notice, label, edits, pieces, pattern in searchers():
-        spans = []
+    out = []
+    for number, (notice, label, edits, pieces, _) in enumerate(searchers()):
+        found = set()
         for offset, piece in pieces:
-            at = joined.find(piece)
-            while at >= 0:
-                left = joined.rfind(" ", 0, max(0, at - offset - edits) + 1) + 1
-                right = joined.find(" ", min(len(joined), at - offset + len(notice) + edits))
-                spans.append((left, right if right >= 0 else len(joined)))
-                at = joined.find(piece, at + 1)
-        start = end = -1
-        for a, b in [*sorted(spans), (len(joined) + 1, 0)]:
-            if a <= end:
-                end = max(end, b)
-                continue
-            if end >= 0:
-                for m in pattern.finditer(joined, start, end, overlapped=False):
-                    out.add((label, joined.count(" ", 0, m.start()), m.start(), m.end(), sum(m.fuzzy_counts)))
-            start, end = a, b
-    return sorted(out, key=lambda m: (m[2], m[3], m[0], m[4]))
+            for at in joined.find_all(piece):
+                # One character more on either side, which the match must find to be a space.
+                left = max(at - offset - edits, 0)
+                match = _best_match(number, joined.padded[left : at - offset + len(notice) + edits + 2])
+                if match:
+                    found.add((left - 1 + match[0], left - 1 + match[1], match[2]))
+        kept: list[tuple[int, int, int]] = []
+        for m in sorted(found):
+            if not kept or m[0] >= kept[-1][1]:
+                kept.append(m)
+            elif m[2] < kept[-1][2]:
+                kept[-1] = m
+        out += [(label, *m) for m in kept]
+    words = joined.words_before([m[1] for m in out]) if out else []
+    return sorted(((label, word, start, end, edits) for (label, start, end, edits), word in zip(out, words)), key=lambda m: (m[2], m[3], m[0], m[4]))
 
 
 _SPANS = T.ArrayType(
@@ -117,7 +145,7 @@ _ARROW = [pa.int64()] * 4 + [pa.string(), pa.string(), pa.float64(), pa.list_(pa
 
 def scan_text(text: bytes | None) -> tuple:
     found = to_words(text)
-    joined = b" ".join(found).decode()
+    joined = Joined(found)
     base = base_places(joined)
     fuzzy = notices(joined)
     base_labels = {label for _, label in base}

@@ -3,6 +3,7 @@
 import os
 import re
 import sys
+import time
 
 import numpy as np
 import pytest
@@ -420,6 +421,63 @@ def test_license_notices():
     assert joined[span["start"] : span["end"]] == "mozila public license" and span["edits"] == 1 and span["word"] == 1
 
 
+def plain_notices(text, notice, label):
+    """All runs of words within the allowed edits of a notice; of overlapping ones the better stays, then the first."""
+    found, most = licenses.to_words(text.encode()), licenses.allowed_edits(notice)
+    found = [w.decode() for w in found]
+    starts = np.concatenate(([0], np.cumsum([len(w) + 1 for w in found]))).tolist()
+    runs = []
+    for i in range(len(found)):
+        for j in range(i + 1, len(found) + 1):
+            run = " ".join(found[i:j])
+            if abs(len(run) - len(notice)) <= most and edits_between(run, notice) <= most:
+                runs.append((edits_between(run, notice), starts[i], starts[j] - 1, i))
+    best = []
+    for run in sorted(runs):
+        if all(run[2] <= b[1] or b[2] <= run[1] for b in best):
+            best.append(run)
+    return sorted((label, i, a, b, e) for e, a, b, i in best)
+
+
+ADJACENT = [
+    "apache licence apache licence apache license",
+    "apache license apache license",
+    "the apache licence, apache license; apche license",
+    "mozila public license mozilla public licence mozilla publc license mozilla public license",
+    "released into the public domain dedicated to the public domain released into teh public domain",
+    "Mozilla Public License/Eclipse Public Licence-Boost Softwar License",
+    "apache licenseapache license apache license x",
+    "gnu general public license gnu lesser general public license gnu affero general public licence",
+]
+
+
+@pytest.mark.parametrize("text", ADJACENT)
+def test_license_notices_side_by_side(text):
+    got = licenses.notices(licenses.Joined(licenses.to_words(text.encode())))
+    want = {(label, i, a, b) for notice, label in licenses.NOTICES.items() for label, i, a, b, _ in plain_notices(text, notice, label)}
+    assert {m[:4] for m in got} == want
+
+
+@pytest.mark.parametrize("part,n", [("apache licence ", 700_000), ("apachelicense", 400_000), ("apache license ", 300_000), ("mozilla public ", 300_000), ("a" * 5_000_000 + " mit license ", 1)])
+def test_license_search_is_linear(part, n):
+    """Megabytes of notices, or of what looks like their beginnings, take seconds."""
+    started = time.perf_counter()
+    row = licenses.scan_text((part * n).encode())
+    assert time.perf_counter() - started < 20
+    if part == "apache licence ":
+        assert len(row[7]) == n and row[7][-1]["word"] == 2 * (n - 1)
+    if part == "apache license ":
+        assert row[1] == len(row[7]) == n and row[2:4] == (0, 2 * (n - 1))
+
+
+def test_license_extra_and_empty(spark):
+    df = hard_documents(spark, extra=True)
+    found = licenses.scan(df.withColumn("spans", F.lit(1)).withColumn("n_base", F.lit("x")))
+    assert found.count() == df.count() and found.schema["n_base"].dataType.simpleString() == "bigint" and found.schema["labels"].dataType.simpleString() == "string"
+    assert found.where("text IS NULL").select("n_words", "n_base", "first_word", "score", "labels").distinct().collect() == [(0, 0, None, 0.0, "")]
+    assert licenses.scan(no_documents(spark)).collect() == []
+
+
 def edits_between(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -446,7 +504,7 @@ def test_license_search_finds_every_notice_with_allowed_edits():
             damaged = " ".join("".join(letters).split())
             if edits_between(damaged, notice) > licenses.allowed_edits(notice):
                 continue  # a space that goes joins two words
-            assert label in {m[0] for m in licenses.notices(f"some words {damaged} more words")}, damaged
+            assert label in {m[0] for m in licenses.notices(licenses.Joined(f"some words {damaged} more words".encode().split()))}, damaged
 
 
 # --- mixing ----------------------------------------------------------------------------------------------------------

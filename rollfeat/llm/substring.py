@@ -228,7 +228,7 @@ def remove_repeats(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     bits = sketch_bits(texts, most_bits)
     table = np.zeros(ROWS << (bits - 3), np.uint8)
     size = 1 << (BLOCK_BITS - 3)
-    for block in sketch(texts, bits).collect():
+    for block in sketch(texts, bits).toLocalIterator():  # one partition of blocks at a time
         table[block.block * size : (block.block + 1) * size] = np.frombuffer(block.cells, np.uint8)
     found = repeated_windows(texts, table, bits)
 

@@ -147,7 +147,7 @@ def repeated_windows(docs: DataFrame, table: np.ndarray, bits: int) -> DataFrame
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(table)
-    schema = "h1 long, h2 int, doc_id long, copy long, start int, settled binary"
+    schema = "h1 long, h2 int, doc_id long, copy long, start int, settled binary, more binary"
 
     def hit(values: np.ndarray) -> np.ndarray:
         seen = np.ones(len(values), bool)
@@ -170,7 +170,7 @@ def repeated_windows(docs: DataFrame, table: np.ndarray, bits: int) -> DataFrame
         first = np.empty_like(doc)
         first[order] = doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
         open_ = doc == first
-        yield _windows(h1[open_], h2[open_], doc[open_], copies[row[open_]], start[open_], None)
+        yield _first_windows(h1[open_], h2[open_], doc[open_], copies[row[open_]], start[open_], row[open_])
         rest = ~open_
         if rest.any():
             by = np.lexsort((start[rest], row[rest]))
@@ -202,14 +202,28 @@ def repeated_windows(docs: DataFrame, table: np.ndarray, bits: int) -> DataFrame
     first = F.expr("min(CASE WHEN settled IS NULL THEN doc_id END) OVER (PARTITION BY h1, h2)")
     later = rows.withColumn("first", first).where("settled IS NOT NULL OR first < doc_id")
     return later.groupBy("doc_id", "copy").agg(
-        F.collect_list(F.when(F.col("settled").isNull(), F.col("start"))).alias("starts"), F.collect_list("settled").alias("settled")
+        F.collect_list(F.when(F.col("settled").isNull(), F.col("start"))).alias("starts"), F.collect_list(F.coalesce("settled", "more")).alias("settled")
     )
 
 
-def _windows(h1, h2, doc, copy, start, settled):
+def _first_windows(h1, h2, doc, copy, start, row):
+    """One row for each window of a row, in the order of the texts; where the row repeats it, the other starts go along packed."""
+    by = np.lexsort((start, row, h2, h1))
+    new = np.ones(len(by), bool)
+    new[1:] = (h1[by][1:] != h1[by][:-1]) | (h2[by][1:] != h2[by][:-1]) | (row[by][1:] != row[by][:-1])
+    heads = np.flatnonzero(new)
+    n = np.diff(np.concatenate((heads, [len(by)])))
+    more = [start[by[a + 1 : a + m]].astype("<i4").tobytes() if m > 1 else None for a, m in zip(heads.tolist(), n.tolist())]
+    at = by[heads]
+    in_text = np.argsort(at)
+    at = at[in_text]
+    return _windows(h1[at], h2[at], doc[at], copy[at], start[at], None, [more[i] for i in in_text.tolist()])
+
+
+def _windows(h1, h2, doc, copy, start, settled, more=None):
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.ascontiguousarray(h1).view(np.int64)), pa.array((h2 >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(doc), pa.array(copy), pa.array(start.astype(np.int32)), pa.array(settled, pa.binary()) if settled is not None else pa.nulls(len(doc), pa.binary())],
-        ["h1", "h2", "doc_id", "copy", "start", "settled"],
+        [pa.array(np.ascontiguousarray(h1).view(np.int64)), pa.array((h2 >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(doc), pa.array(copy), pa.array(start.astype(np.int32)), *(pa.array(x, pa.binary()) if x is not None else pa.nulls(len(doc), pa.binary()) for x in (settled, more))],
+        ["h1", "h2", "doc_id", "copy", "start", "settled", "more"],
     )
 
 

@@ -178,6 +178,17 @@ def test_substring_hard(spark, monkeypatch, flush, most_bits):
     assert sorted(map(tuple, got), key=str) == without_repeats(rows)
 
 
+def test_a_document_of_one_word(spark):
+    """All its windows are one key, which is one row for each document that has it."""
+    rows = [(1, "a " * 200_000, "en", "s", 1), (2, "b c " + "a " * 100_000 + "d", "en", "s", 1), (3, "x y z", "en", "s", 1)]
+    found = {r["doc_id"]: r for r in substring.remove_repeats(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [(found[i]["n_words"], found[i]["n_removed"]) for i in (1, 2, 3)] == [(200_000, 0), (100_003, 100_000), (3, 0)]
+    assert found[2]["kept_text"] == "b c d"
+    hashes = np.arange(3, dtype=np.uint64)
+    batch = substring._first_windows(np.repeat(hashes, 4), np.zeros(12, np.uint64), np.full(12, 7), np.full(12, 8), np.arange(12, dtype=np.int32), np.zeros(12, int))
+    assert batch.num_rows == 3 and [len(m) for m in batch.column("more").to_pylist()] == [12] * 3
+
+
 def test_sketch_keeps_its_bound(spark):
     docs = spark.createDataFrame([(1, "x" * 1_000_000)], "doc_id long, text string")
     assert substring.ROWS << substring.sketch_bits(docs, 300_000) <= 300_000

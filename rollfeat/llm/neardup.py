@@ -45,9 +45,9 @@ from rollfeat.llm.text import as_bytes, constants, grams, slices, word_hashes
 SHINGLE = 5
 TREES = 12
 DEPTH = 8
-REGION = 32
+REGION = 64
 NEIGHBOURS = 2
-MEDOIDS = 1
+MEDOIDS = 4
 CROWDED = 3
 RARE = 64
 MOST_FREQUENT = 4_000_000

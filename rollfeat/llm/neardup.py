@@ -17,7 +17,9 @@ nothing. Rows that repeat a ``doc_id`` are one document.
    one in a million).
 4. *Confirmation* on full sets, from the texts, in three rounds: first each document with its likeliest partner, then
    the likeliest pair of any two components, then all pairs that are still between components. A pair within one
-   component needs no confirmation, so a group of thousands of near copies costs about as many confirmations.
+   component needs no confirmation, so a group of thousands of near copies costs about as many confirmations. The forest is
+   walked twice: first only the likeliest pairs leave a task, then, with the components of the first round in its rows, all
+   pairs between different ones; pairs that no round would look at are never written.
 5. What a dense region showed to be near a component, but no confirmed pair links to it, is compared with all members of
    that component, in blocks.
 6. *Crowded documents*, which lie in dense regions of ``CROWDED`` or more trees, are joined exactly, see ``crowded_links``:
@@ -31,6 +33,8 @@ the README compare with all pairs.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -63,8 +67,9 @@ _WHOLE = constants("whole text", SHINGLE)
 _MINIMA = (constants("minima", TREES * DEPTH) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 # Layout of a row of the forest; its bytes sort as tree, minima, document.
-_TREE, _PREFIX, _ID, _SIZE, _BYTES = 0, slice(1, 1 + 4 * DEPTH), slice(1 + 4 * DEPTH, 9 + 4 * DEPTH), slice(9 + 4 * DEPTH, 13 + 4 * DEPTH), slice(13 + 4 * DEPTH, None)
-_ROW = 13 + 4 * DEPTH + SKETCH
+_TREE, _PREFIX, _ID, _SIZE, _BYTES = 0, slice(1, 1 + 4 * DEPTH), slice(1 + 4 * DEPTH, 9 + 4 * DEPTH), slice(9 + 4 * DEPTH, 13 + 4 * DEPTH), slice(13 + 4 * DEPTH, 13 + 4 * DEPTH + SKETCH)
+_COMPONENT = slice(13 + 4 * DEPTH + SKETCH, None)
+_ROW = 21 + 4 * DEPTH + SKETCH
 _SIGN = np.uint64(1 << 63)
 
 
@@ -113,6 +118,7 @@ def _forest_rows(batches):
         signed = np.frombuffer(b"".join(batch.column("minima").to_pylist()), np.uint32).reshape(n, TREES * DEPTH)
         ids = batch.column("class_id").to_numpy().view(np.uint64) ^ _SIGN
         rows = np.empty((TREES, n, _ROW), np.uint8)
+        rows[:, :, _COMPONENT] = np.ascontiguousarray(batch.column("component").to_numpy()).view(np.uint8).reshape(n, 8)
         rows[:, :, _ID] = ids.astype(">u8").view(np.uint8).reshape(n, 8)
         rows[:, :, _SIZE] = np.minimum(batch.column("n_shingles").to_numpy(), 0xFFFFFFFF).astype(">u4").view(np.uint8).reshape(n, 4)
         rows[:, :, _BYTES] = ((signed[:, :SKETCH] * np.uint32(2654435761)) >> np.uint32(24)).astype(np.uint8)
@@ -146,10 +152,12 @@ def medoids(signed: np.ndarray) -> list[int]:
     return out
 
 
-def candidates(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (smaller id, larger id, agreeing bytes, whether found in a region that is not compared whole) of sorted forest rows that follow each other without a gap.
+def candidates(rows: np.ndarray, best: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (smaller id, larger id, agreeing bytes, whether found in a region that is not compared whole) of sorted forest rows that
+    follow each other without a gap and are in different components.
 
-    A row whose region is not compared whole at the first minimum is there as a pair with itself.
+    With ``best``, only pairs that are the likeliest of either of their ends, and rows whose region is not compared whole at the
+    first minimum as pairs with themselves.
     """
     prefixes = np.ascontiguousarray(rows[:, _PREFIX]).view(">u4")
     common = np.cumprod(prefixes[1:] == prefixes[:-1], axis=1).sum(1)
@@ -157,19 +165,20 @@ def candidates(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     ids = (np.ascontiguousarray(rows[:, _ID]).view(">u8")[:, 0].astype(np.uint64) ^ _SIGN).view(np.int64)
     sizes = np.ascontiguousarray(rows[:, _SIZE]).view(">u4")[:, 0].astype(np.int64)
     signed = np.ascontiguousarray(rows[:, _BYTES])
+    component = np.ascontiguousarray(rows[:, _COMPONENT]).view(np.int64)[:, 0]
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
 
     def compare(left: np.ndarray, right: np.ndarray, crowded: bool = False) -> None:
         for at in range(0, len(left), 100_000):
             i, j = left[at : at + 100_000], right[at : at + 100_000]
-            possible = (100 * np.minimum(sizes[i], sizes[j]) >= 75 * np.maximum(sizes[i], sizes[j])) & (ids[i] != ids[j])
+            possible = (100 * np.minimum(sizes[i], sizes[j]) >= 75 * np.maximum(sizes[i], sizes[j])) & (ids[i] != ids[j]) & (component[i] != component[j])
             i, j = i[possible], j[possible]
             agreeing = (signed[i] == signed[j]).sum(1)
             likely = agreeing >= LEAST_AGREEING
             i, j = i[likely], j[likely]
             found.append((np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), agreeing[likely], np.full(likely.sum(), crowded)))
 
-    dense = np.ones(len(rows), bool)
+    dense, crowd = np.ones(len(rows), bool), np.empty(0, np.int64)
     for depth in range(1, DEPTH + 1):
         region = np.concatenate(([0], np.cumsum(common < depth)))
         large = np.bincount(region)[region] > REGION
@@ -184,15 +193,22 @@ def candidates(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
             for centre in medoids(signed[a:b]):
                 compare(np.full(b - a, a + centre), np.arange(a, b), True)
         if depth == 1:
-            found.append((ids[dense], ids[dense], np.zeros(dense.sum(), np.int64), np.ones(dense.sum(), bool)))
+            crowd = ids[dense]
             for step in range(1, NEIGHBOURS + 1):
                 i = np.flatnonzero(dense[:-step] & (region[step:] == region[:-step]))
                 compare(i, i + step, True)
         if not dense.any():
             break
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
-    return tuple(np.concatenate(x) for x in zip(*found))
+    found.append((np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)))
+    if not best:
+        return tuple(np.concatenate(x) for x in zip(*found))
+    a, b, agreeing, crowded = (np.concatenate(x) for x in zip(*found))
+    chosen = np.zeros(len(a), bool)
+    for own, other in ((a, b), (b, a)):
+        order = np.lexsort((other, -agreeing, own))
+        chosen[order[np.flatnonzero(np.diff(own[order], prepend=own[order[:1]] - 1))]] = True
+    alone = np.zeros(len(crowd), np.int64)
+    return np.concatenate((a[chosen], crowd)), np.concatenate((b[chosen], crowd)), np.concatenate((agreeing[chosen], alone)), np.concatenate((crowded[chosen], alone == 0))
 
 
 def _rows_of(columns) -> np.ndarray:
@@ -200,12 +216,12 @@ def _rows_of(columns) -> np.ndarray:
     return np.frombuffer(joined, np.uint8).reshape(-1, _ROW)
 
 
-def _search_range(batches):
+def _search_range(batches, best):
     """Candidates within a range of an order, and the rows at its two ends."""
     rows = _rows_of([b.column("row") for b in batches])
     if not len(rows):
         return
-    a, b, agreeing, crowded = candidates(rows)
+    a, b, agreeing, crowded = candidates(rows, best)
     names = ["a", "b", "agreeing", "crowded", "range", "head", "tail", "row"]
     nothing = pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.bool_()), pa.nulls(len(a), pa.bool_()), pa.nulls(len(a), pa.binary())
     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(agreeing.astype(np.int32)), pa.array(crowded), *nothing], names)
@@ -217,9 +233,9 @@ def _search_range(batches):
     yield pa.RecordBatch.from_arrays([*nothing, own, pa.array(head[ends]), pa.array(tail[ends]), pa.array([rows[i].tobytes() for i in ends], pa.binary())], names)
 
 
-def _search_seam(table: pa.Table) -> pa.Table:
+def _search_seam(table: pa.Table, best: bool) -> pa.Table:
     rows = _rows_of([pa.array(sorted(table.column("row").to_pylist()), pa.binary())])
-    a, b, agreeing, crowded = candidates(rows)
+    a, b, agreeing, crowded = candidates(rows, best)
     return pa.table([pa.array(a), pa.array(b), pa.array(agreeing.astype(np.int32)), pa.array(crowded)], ["a", "b", "agreeing", "crowded"])
 
 
@@ -232,16 +248,17 @@ def _seams(ranges: list[tuple[int, bool]]) -> list[tuple[int, int, int]]:
     return out
 
 
-def candidate_pairs(classes: DataFrame, store: Store) -> DataFrame:
-    """``(a, b, agreeing, crowded)``, each pair once, of the representatives in ``(class_id, n_shingles, minima)``.
+def candidate_pairs(classes: DataFrame, store: Store, best: bool) -> DataFrame:
+    """``(a, b, agreeing, crowded)``, each pair once, of the representatives in ``(class_id, n_shingles, minima, component)``.
 
-    Crowded documents are there as ``(a, a)``.
+    Pairs within one component are never written. With ``best``, only the likeliest pairs of each document in each order are, and crowded
+    documents as ``(a, a)``.
     """
     spark = classes.sparkSession
     rows = classes.count() * TREES
     ranges = max(1, -(-rows // ROWS_PER_RANGE), min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // (8 * REGION)))
     forest = classes.mapInArrow(_forest_rows, "row binary").repartitionByRange(ranges, "row").sortWithinPartitions("row")
-    searched = store.keep(forest.mapInArrow(_search_range, "a long, b long, agreeing int, crowded boolean, range int, head boolean, tail boolean, row binary"))
+    searched = store.keep(forest.mapInArrow(partial(_search_range, best=best), "a long, b long, agreeing int, crowded boolean, range int, head boolean, tail boolean, row binary"))
     ends = searched.where("row IS NOT NULL")
     order = ends.groupBy("range").agg(F.min(F.col("head") & F.col("tail")).alias("short")).orderBy("range").collect()
     pairs = searched.where("row IS NULL").select("a", "b", "agreeing", "crowded")
@@ -250,7 +267,7 @@ def candidate_pairs(classes: DataFrame, store: Store) -> DataFrame:
         seams = spark.createDataFrame(_seams([(r["range"], r["short"]) for r in order]), "range int, before int, after int")
         tagged = ends.join(F.broadcast(seams), "range")
         at_seams = tagged.where("head").select(F.col("before").alias("seam"), "row").unionByName(tagged.where("tail AND (NOT head OR before <> after)").select(F.col("after").alias("seam"), "row"))
-        pairs = pairs.unionByName(at_seams.groupBy("seam").applyInArrow(_search_seam, "a long, b long, agreeing int, crowded boolean"))
+        pairs = pairs.unionByName(at_seams.groupBy("seam").applyInArrow(lambda table: _search_seam(table, best), "a long, b long, agreeing int, crowded boolean"))
     once = pairs.groupBy("a", "b").agg(F.max("agreeing").alias("agreeing"), F.max("crowded").alias("crowded"), F.count("*").alias("n"))
     return once.where(f"a <> b OR n >= {CROWDED}").drop("n")
 
@@ -287,8 +304,11 @@ def _relabel(labels: DataFrame, links: DataFrame, store: Store, n: int) -> DataF
     return store.keep(labels.join(merged, "component", "left").select("id", F.coalesce("root", "component").alias("component")), n)
 
 
-def linked_components(pairs: DataFrame, texts: DataFrame, store: Store) -> DataFrame:
-    """``(id, component)`` of every document in ``pairs``, after all pairs that matter are confirmed."""
+def linked_components(pairs: DataFrame, between_labels: Callable[[DataFrame], DataFrame], texts: DataFrame, store: Store) -> DataFrame:
+    """``(id, component)`` of every document in ``pairs``, after all pairs that matter are confirmed.
+
+    ``pairs`` are the likeliest of each document; ``between_labels`` finds all candidates between the components that these give.
+    """
     crowd = pairs.where("a = b").select(F.col("a").alias("id"))
     ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     ends = store.keep(ends)
@@ -296,16 +316,17 @@ def linked_components(pairs: DataFrame, texts: DataFrame, store: Store) -> DataF
     if not n:
         return ends.withColumn("component", F.col("id"))
     texts = store.keep(texts.join(ends, texts["doc_id"] == ends["id"], "left_semi").dropDuplicates(["doc_id"]))
-    labels = _forest_components(pairs.where("a <> b"), ends, n, texts, store)
+    labels = _forest_components(pairs.where("a <> b"), between_labels, ends, n, texts, store)
     if crowd.isEmpty():
         return labels
     return _relabel(labels, store.keep(crowded_links(crowd, labels, texts, store)), store, n)
 
 
-def _forest_components(pairs: DataFrame, ends: DataFrame, n: int, texts: DataFrame, store: Store) -> DataFrame:
+def _forest_components(likeliest: DataFrame, between_labels: Callable[[DataFrame], DataFrame], ends: DataFrame, n: int, texts: DataFrame, store: Store) -> DataFrame:
     """Steps 4 and 5."""
-    best = pairs.groupBy("b").agg(F.max(F.struct("agreeing", (-F.col("a")).alias("a"))).alias("best"))
+    best = likeliest.groupBy("b").agg(F.max(F.struct("agreeing", (-F.col("a")).alias("a"))).alias("best"))
     labels = _relabel(ends.withColumn("component", F.col("id")), store.keep(confirmed(best.select((-F.col("best.a")).alias("a"), "b"), texts)), store, n)
+    pairs = store.keep(between_labels(labels))
 
     def open_pairs():
         of_a = labels.select(F.col("id").alias("a"), F.col("component").alias("label_a"))
@@ -473,8 +494,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("class_id"), F.max(F.struct("n_shingles", "minima")).alias("one")
     )
     classes = store.keep(classes.select("set_key", "class_id", "one.n_shingles", "one.minima"))
-    pairs = store.keep(candidate_pairs(classes.select("class_id", "n_shingles", "minima"), store))
-    labels = linked_components(pairs, texts, store)
+    forest = classes.select("class_id", "n_shingles", "minima")
+
+    def between_labels(labels):
+        known = labels.select(F.col("id").alias("class_id"), "component")
+        joined = forest.join(known, "class_id", "left").select("class_id", "n_shingles", "minima", F.coalesce("component", "class_id").alias("component"))
+        return candidate_pairs(joined, store, best=False)
+
+    pairs = store.keep(candidate_pairs(forest.withColumn("component", F.col("class_id")), store, best=True))
+    labels = linked_components(pairs, between_labels, texts, store)
     roots = classes.select("set_key", "class_id").join(labels.withColumnRenamed("id", "class_id"), "class_id", "left")
     roots = roots.select("set_key", F.coalesce("component", "class_id").alias("root"))
     out = signed.select("doc_id", "n_shingles", "set_key").join(roots, "set_key", "left")

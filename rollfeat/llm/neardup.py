@@ -19,7 +19,8 @@ nothing. Rows that repeat a ``doc_id`` are one document.
    the likeliest pair of any two components, then all pairs that are still between components. A pair within one
    component needs no confirmation, so a group of thousands of near copies costs about as many confirmations. The forest is
    walked twice: first only the likeliest pairs leave a task, then, with the components of the first round in its rows, all
-   pairs between different ones; pairs that no round would look at are never written.
+   pairs between different ones, each with its two components. What became of them is then joined with pairs of components,
+   not of documents.
 5. What a dense region showed to be near a component, but no confirmed pair links to it, is compared with all members of
    that component, in blocks.
 6. *Crowded documents*, which lie in dense regions of ``CROWDED`` or more trees, are joined exactly, see ``crowded_links``:
@@ -72,6 +73,10 @@ _COMPONENT = slice(13 + 4 * DEPTH + SKETCH, None)
 _ROW = 21 + 4 * DEPTH + SKETCH
 _SIGN = np.uint64(1 << 63)
 
+# A candidate pair; low and high are the components of its documents.
+PAIR = {"a": "long", "b": "long", "agreeing": "int", "crowded": "boolean", "low": "long", "high": "long"}
+_PAIR = ", ".join(f"{name} {kind}" for name, kind in PAIR.items())
+
 
 def shingles(hashes: np.ndarray) -> np.ndarray:
     """The set of a document as sorted 64-bit hashes, from the hashes of its words."""
@@ -152,9 +157,9 @@ def medoids(signed: np.ndarray) -> list[int]:
     return out
 
 
-def candidates(rows: np.ndarray, best: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (smaller id, larger id, agreeing bytes, whether found in a region that is not compared whole) of sorted forest rows that
-    follow each other without a gap and are in different components.
+def candidates(rows: np.ndarray, best: bool = False) -> tuple[np.ndarray, ...]:
+    """Pairs (smaller id, larger id, agreeing bytes, whether found in a region that is not compared whole, smaller component, larger
+    component) of sorted forest rows that follow each other without a gap and are in different components.
 
     With ``best``, only pairs that are the likeliest of either of their ends, and rows whose region is not compared whole at the
     first minimum as pairs with themselves.
@@ -166,7 +171,7 @@ def candidates(rows: np.ndarray, best: bool = False) -> tuple[np.ndarray, np.nda
     sizes = np.ascontiguousarray(rows[:, _SIZE]).view(">u4")[:, 0].astype(np.int64)
     signed = np.ascontiguousarray(rows[:, _BYTES])
     component = np.ascontiguousarray(rows[:, _COMPONENT]).view(np.int64)[:, 0]
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+    found: list[tuple[np.ndarray, ...]] = []
 
     def compare(left: np.ndarray, right: np.ndarray, crowded: bool = False) -> None:
         for at in range(0, len(left), 100_000):
@@ -176,9 +181,10 @@ def candidates(rows: np.ndarray, best: bool = False) -> tuple[np.ndarray, np.nda
             agreeing = (signed[i] == signed[j]).sum(1)
             likely = agreeing >= LEAST_AGREEING
             i, j = i[likely], j[likely]
-            found.append((np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), agreeing[likely], np.full(likely.sum(), crowded)))
+            apart = np.minimum(component[i], component[j]), np.maximum(component[i], component[j])
+            found.append((np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), agreeing[likely], np.full(likely.sum(), crowded), *apart))
 
-    dense, crowd = np.ones(len(rows), bool), np.empty(0, np.int64)
+    dense, crowd = np.ones(len(rows), bool), np.zeros(len(rows), bool)
     for depth in range(1, DEPTH + 1):
         region = np.concatenate(([0], np.cumsum(common < depth)))
         large = np.bincount(region)[region] > REGION
@@ -193,22 +199,28 @@ def candidates(rows: np.ndarray, best: bool = False) -> tuple[np.ndarray, np.nda
             for centre in medoids(signed[a:b]):
                 compare(np.full(b - a, a + centre), np.arange(a, b), True)
         if depth == 1:
-            crowd = ids[dense]
+            crowd = dense.copy()
             for step in range(1, NEIGHBOURS + 1):
                 i = np.flatnonzero(dense[:-step] & (region[step:] == region[:-step]))
                 compare(i, i + step, True)
         if not dense.any():
             break
-    found.append((np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)))
+    found.append((*[np.empty(0, np.int64)] * 3, np.empty(0, bool), *[np.empty(0, np.int64)] * 2))
+    a, b, agreeing, crowded, low, high = (np.concatenate(x) for x in zip(*found))
     if not best:
-        return tuple(np.concatenate(x) for x in zip(*found))
-    a, b, agreeing, crowded = (np.concatenate(x) for x in zip(*found))
+        return a, b, agreeing, crowded, low, high
     chosen = np.zeros(len(a), bool)
     for own, other in ((a, b), (b, a)):
         order = np.lexsort((other, -agreeing, own))
         chosen[order[np.flatnonzero(np.diff(own[order], prepend=own[order[:1]] - 1))]] = True
-    alone = np.zeros(len(crowd), np.int64)
-    return np.concatenate((a[chosen], crowd)), np.concatenate((b[chosen], crowd)), np.concatenate((agreeing[chosen], alone)), np.concatenate((crowded[chosen], alone == 0))
+    alone = np.zeros(crowd.sum(), np.int64)
+    selves = ids[crowd], ids[crowd], alone, alone == 0, component[crowd], component[crowd]
+    return tuple(np.concatenate((x[chosen], y)) for x, y in zip((a, b, agreeing, crowded, low, high), selves))
+
+
+def _pairs(found: tuple[np.ndarray, ...]) -> list[pa.Array]:
+    a, b, agreeing, crowded, low, high = found
+    return [pa.array(a), pa.array(b), pa.array(agreeing.astype(np.int32)), pa.array(crowded), pa.array(low), pa.array(high)]
 
 
 def _rows_of(columns) -> np.ndarray:
@@ -221,22 +233,21 @@ def _search_range(batches, best):
     rows = _rows_of([b.column("row") for b in batches])
     if not len(rows):
         return
-    a, b, agreeing, crowded = candidates(rows, best)
-    names = ["a", "b", "agreeing", "crowded", "range", "head", "tail", "row"]
-    nothing = pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.bool_()), pa.nulls(len(a), pa.bool_()), pa.nulls(len(a), pa.binary())
-    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(agreeing.astype(np.int32)), pa.array(crowded), *nothing], names)
+    pairs = _pairs(candidates(rows, best))
+    names = [*PAIR, "range", "head", "tail", "row"]
+    n = len(pairs[0])
+    yield pa.RecordBatch.from_arrays([*pairs, pa.nulls(n, pa.int32()), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.binary())], names)
     at = np.arange(len(rows))
     head, tail = at < REGION, at >= len(rows) - REGION
     ends = np.flatnonzero(head | tail)
     own = pa.array(np.full(len(ends), TaskContext.get().partitionId(), np.int32))
-    nothing = pa.nulls(len(ends), pa.int64()), pa.nulls(len(ends), pa.int64()), pa.nulls(len(ends), pa.int32()), pa.nulls(len(ends), pa.bool_())
+    nothing = [pa.nulls(len(ends), column.type) for column in pairs]
     yield pa.RecordBatch.from_arrays([*nothing, own, pa.array(head[ends]), pa.array(tail[ends]), pa.array([rows[i].tobytes() for i in ends], pa.binary())], names)
 
 
 def _search_seam(table: pa.Table, best: bool) -> pa.Table:
     rows = _rows_of([pa.array(sorted(table.column("row").to_pylist()), pa.binary())])
-    a, b, agreeing, crowded = candidates(rows, best)
-    return pa.table([pa.array(a), pa.array(b), pa.array(agreeing.astype(np.int32)), pa.array(crowded)], ["a", "b", "agreeing", "crowded"])
+    return pa.table(_pairs(candidates(rows, best)), list(PAIR))
 
 
 def _seams(ranges: list[tuple[int, bool]]) -> list[tuple[int, int, int]]:
@@ -249,7 +260,7 @@ def _seams(ranges: list[tuple[int, bool]]) -> list[tuple[int, int, int]]:
 
 
 def candidate_pairs(classes: DataFrame, store: Store, best: bool) -> DataFrame:
-    """``(a, b, agreeing, crowded)``, each pair once, of the representatives in ``(class_id, n_shingles, minima, component)``.
+    """``(a, b, agreeing, crowded, low, high)``, each pair once, of the representatives in ``(class_id, n_shingles, minima, component)``.
 
     Pairs within one component are never written. With ``best``, only the likeliest pairs of each document in each order are, and crowded
     documents as ``(a, a)``.
@@ -258,17 +269,17 @@ def candidate_pairs(classes: DataFrame, store: Store, best: bool) -> DataFrame:
     rows = classes.count() * TREES
     ranges = max(1, -(-rows // ROWS_PER_RANGE), min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // (8 * REGION)))
     forest = classes.mapInArrow(_forest_rows, "row binary").repartitionByRange(ranges, "row").sortWithinPartitions("row")
-    searched = store.keep(forest.mapInArrow(partial(_search_range, best=best), "a long, b long, agreeing int, crowded boolean, range int, head boolean, tail boolean, row binary"))
+    searched = store.keep(forest.mapInArrow(partial(_search_range, best=best), f"{_PAIR}, range int, head boolean, tail boolean, row binary"))
     ends = searched.where("row IS NOT NULL")
     order = ends.groupBy("range").agg(F.min(F.col("head") & F.col("tail")).alias("short")).orderBy("range").collect()
-    pairs = searched.where("row IS NULL").select("a", "b", "agreeing", "crowded")
+    pairs = searched.where("row IS NULL").select(*PAIR)
     if order:
         # One entry for each range: a number of the plan's, not of the data's.
         seams = spark.createDataFrame(_seams([(r["range"], r["short"]) for r in order]), "range int, before int, after int")
         tagged = ends.join(F.broadcast(seams), "range")
         at_seams = tagged.where("head").select(F.col("before").alias("seam"), "row").unionByName(tagged.where("tail AND (NOT head OR before <> after)").select(F.col("after").alias("seam"), "row"))
-        pairs = pairs.unionByName(at_seams.groupBy("seam").applyInArrow(lambda table: _search_seam(table, best), "a long, b long, agreeing int, crowded boolean"))
-    once = pairs.groupBy("a", "b").agg(F.max("agreeing").alias("agreeing"), F.max("crowded").alias("crowded"), F.count("*").alias("n"))
+        pairs = pairs.unionByName(at_seams.groupBy("seam").applyInArrow(lambda table: _search_seam(table, best), _PAIR))
+    once = pairs.groupBy("a", "b").agg(*[F.max(c).alias(c) for c in ("agreeing", "crowded", "low", "high")], F.count("*").alias("n"))
     return once.where(f"a <> b OR n >= {CROWDED}").drop("n")
 
 
@@ -297,11 +308,16 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(of_b, "b").join(of_a, "a").select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long")
 
 
-def _relabel(labels: DataFrame, links: DataFrame, store: Store, n: int) -> DataFrame:
-    """Labels of ``n`` documents after the links, too, count."""
+def _merge(labels: DataFrame, links: DataFrame, store: Store, n: int) -> tuple[DataFrame, DataFrame]:
+    """Labels of ``n`` documents after the links, too, count, and ``(component, root)`` of the components that these joined."""
     joined = store.keep(between(links, labels, "component"), n)
     merged = components(joined, store).select(F.col("id").alias("component"), F.col("component").alias("root"))
-    return store.keep(labels.join(merged, "component", "left").select("id", F.coalesce("root", "component").alias("component")), n)
+    merged = store.keep(merged, n)
+    return store.keep(labels.join(merged, "component", "left").select("id", F.coalesce("root", "component").alias("component")), n), merged
+
+
+def _relabel(labels: DataFrame, links: DataFrame, store: Store, n: int) -> DataFrame:
+    return _merge(labels, links, store, n)[0]
 
 
 def linked_components(pairs: DataFrame, between_labels: Callable[[DataFrame], DataFrame], texts: DataFrame, store: Store) -> DataFrame:
@@ -327,30 +343,35 @@ def _forest_components(likeliest: DataFrame, between_labels: Callable[[DataFrame
     best = likeliest.groupBy("b").agg(F.max(F.struct("agreeing", (-F.col("a")).alias("a"))).alias("best"))
     labels = _relabel(ends.withColumn("component", F.col("id")), store.keep(confirmed(best.select((-F.col("best.a")).alias("a"), "b"), texts)), store, n)
     pairs = store.keep(between_labels(labels))
-
-    def open_pairs():
-        of_a = labels.select(F.col("id").alias("a"), F.col("component").alias("label_a"))
-        of_b = labels.select(F.col("id").alias("b"), F.col("component").alias("label_b"))
-        return pairs.join(of_a, "a").join(of_b, "b").where("label_a <> label_b")
-
-    left = store.keep(open_pairs())
-    if left.isEmpty():
+    if pairs.isEmpty():
         return labels
-    # What is near a component in a dense region is compared with all of it in the end.
-    apart = left.withColumn("low", F.least("label_a", "label_b")).withColumn("high", F.greatest("label_a", "label_b"))
-    best = apart.groupBy("low", "high").agg(F.max(F.struct("agreeing", "a", "b")).alias("best"))
-    tried = store.keep(best.select("best.a", "best.b"))
-    labels = _relabel(labels, store.keep(confirmed(tried, texts)), store, n)
-    left = store.keep(open_pairs().join(tried, ["a", "b"], "left_anti"))
+    # From here on it is components that are joined with what became of them; of each two, all pairs are in the same state.
+    met = pairs.groupBy("low", "high").agg(F.max(F.struct("agreeing", "a", "b")).alias("best"), F.max("crowded").alias("crowded"), F.count("*").alias("n"))
+    met = store.keep(met.select("low", "high", "best.a", "best.b", "crowded", "n"))
+    labels, roots = _merge(labels, store.keep(confirmed(met.select("a", "b"), texts)), store, n)
+    met = store.keep(_still_apart(met, roots))
+    left = pairs.join(met.where("n > 1").select("low", "high", F.col("a").alias("tried_a"), F.col("b").alias("tried_b")), ["low", "high"])
+    left = store.keep(left.where("a <> tried_a OR b <> tried_b").select("a", "b"))
     if not left.isEmpty():
-        labels = _relabel(labels, store.keep(confirmed(left, texts)), store, n)
-    near = open_pairs().where("crowded").select(F.least("label_a", "label_b").alias("low"), F.greatest("label_a", "label_b").alias("high")).distinct()
+        labels, more = _merge(labels, store.keep(confirmed(left, texts)), store, n)
+        met = _still_apart(met, more, "root_")
+    # What is near a component in a dense region is compared with all of it in the end.
+    near = met.where("crowded").select(F.least("root_low", "root_high").alias("low"), F.greatest("root_low", "root_high").alias("high")).distinct()
     near = store.keep(near)
     if near.isEmpty():
         return labels
     return _relabel(labels, store.keep(between_components(near, labels, texts, store)), store, n)
 
 
+def _still_apart(met: DataFrame, roots: DataFrame, known: str = "") -> DataFrame:
+    """The rows of ``met`` whose components (columns ``low`` and ``high`` after ``known``) have different roots, ``root_low`` and ``root_high``."""
+    for end in ("low", "high"):
+        of_end = roots.select(F.col("component").alias("__component"), F.col("root").alias(f"__{end}"))
+        met = met.join(of_end, F.col(f"{known}{end}") == F.col("__component"), "left").drop("__component")
+        met = met.withColumn(f"root_{end}", F.coalesce(f"__{end}", f"{known}{end}")).drop(f"__{end}")
+    return met.where("root_low <> root_high")
+
+
 def _least_common(n):
     """How many shingles a set of ``n`` has in common with any that it is linked with, at least."""
     return -(-75 * n // 100)
@@ -413,6 +434,7 @@ def crowded_links(crowd: DataFrame, labels: DataFrame, texts: DataFrame, store:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)), ids.take(pa.array(row)), pa.array(size), pa.array(np.concatenate(first))], ["h", "id", "size", "kind"])
 
     rows = store.keep(own.select("id", "text").mapInArrow(keys, "h long, id long, size long, kind byte").join(labels, "id").select("h", "id", "component", "size", "kind"))
+    frequent.destroy()
     rare = rows.where("kind = 0")
     several = rare.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("h")
     rare = store.keep(rare.join(several, "h", "left_semi"))

@@ -378,10 +378,10 @@ def _least_common(n):
 
 
 def _sets(batches):
-    """Ids and sets of the documents of each slice of the batches."""
+    """Each slice of the batches and the sets of its documents."""
     for batch in slices(batches, "text"):
         hashes, bounds = word_hashes(as_bytes(batch.column("text")), lower=True)
-        yield batch.column("id"), [shingles(hashes[x:y]) for x, y in zip(bounds[:-1], bounds[1:])]
+        yield batch, [shingles(hashes[x:y]) for x, y in zip(bounds[:-1], bounds[1:])]
 
 
 def _count_shingles(batches):
@@ -412,11 +412,12 @@ def crowded_links(crowd: DataFrame, labels: DataFrame, texts: DataFrame, store:
       components, which are compared with all components that they share a first frequent shingle with.
     """
     own = crowd.join(labels, "id").join(texts.select(F.col("doc_id").alias("id"), "text"), "id").select("id", "component", "text")
-    own = store.keep(own)
+    # Documents of one component come together, so that a task sends a key once for each component.
+    own = store.keep(store.keep(own).repartitionByRange("component", "id"))
     frequent = own.sparkSession.sparkContext.broadcast(frequent_shingles(own.select("id", "text"), store))
 
     def keys(batches):
-        for ids, sets in _sets(batches):
+        for batch, sets in _sets(batches):
             hashes, row, first = [], [], []
             for k, found in enumerate(sets):
                 known = frequent.value
@@ -429,15 +430,24 @@ def crowded_links(crowd: DataFrame, labels: DataFrame, texts: DataFrame, store:
                 row.append(np.full(len(prefix) + len(late), k))
                 # 0: rare; 1: frequent; 2: frequent, of a document that holds hardly anything else
                 first += [np.zeros(len(prefix), np.int8), np.full(len(late), 2 if 7 * len(common) >= 6 * len(found) else 1, np.int8)]
-            row = np.concatenate(row)
+            row, hashes, first = np.concatenate(row), np.concatenate(hashes), np.concatenate(first)
+            component, ids = batch.column("component").to_numpy()[row], batch.column("id").to_numpy()[row]
+            order = np.lexsort((ids, first, component, hashes))
+            hashes, component, first = hashes[order], component[order], first[order]
+            new = np.ones(len(order), bool)
+            new[1:] = (hashes[1:] != hashes[:-1]) | (component[1:] != component[:-1]) | (first[1:] != first[:-1])
+            starts = np.flatnonzero(new)
+            bounds = pa.array(np.append(starts, len(order)).astype(np.int32))
             size = np.array([len(s) for s in sets])[row]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)), ids.take(pa.array(row)), pa.array(size), pa.array(np.concatenate(first))], ["h", "id", "size", "kind"])
+            lists = [pa.ListArray.from_arrays(bounds, pa.array(values[order])) for values in (ids, size)]
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[starts].view(np.int64)), pa.array(component[starts]), pa.array(first[starts]), *lists], ["h", "component", "kind", "ids", "sizes"])
 
-    rows = store.keep(own.select("id", "text").mapInArrow(keys, "h long, id long, size long, kind byte").join(labels, "id").select("h", "id", "component", "size", "kind"))
+    rows = store.keep(own.mapInArrow(keys, "h long, component long, kind byte, ids array<long>, sizes array<long>"))
     frequent.destroy()
     rare = rows.where("kind = 0")
     several = rare.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("h")
-    rare = store.keep(rare.join(several, "h", "left_semi"))
+    rare = rare.join(several, "h", "left_semi").select("h", "component", F.explode(F.arrays_zip("ids", "sizes")).alias("one"))
+    rare = store.keep(rare.select("h", "component", F.col("one.ids").alias("id"), F.col("one.sizes").alias("size")))
     one = rare.select("h", *[F.col(c).alias(f"{c}_a") for c in ("id", "component", "size")])
     other = rare.select("h", *[F.col(c).alias(f"{c}_b") for c in ("id", "component", "size")])
     met = one.join(other, "h").where("component_a < component_b AND 100 * least(size_a, size_b) >= 75 * greatest(size_a, size_b)")

@@ -57,13 +57,15 @@ class Grid:
     sliding: list[int] = field(default_factory=list)
 
 
-def plan_grids(lookbacks: list[int], rows_per_second: float = 1.0) -> list[Grid]:
+def plan_grids(lookbacks: list[int], rows_per_second: float = 1.0, stored_width: int | None = None) -> list[Grid]:
     """Put look-backs on as few grids as possible, with chunks no shorter than the short look-backs.
 
     ``rows_per_second`` is the measured density of the densest key; there is never more than one state row a second.
+    Where totals of chunks of ``stored_width`` are kept, the look-backs that they divide share the first grid.
     """
+    stored = sorted({s for s in lookbacks if stored_width and s % stored_width == 0}, reverse=True)
     grids: list[Grid] = []
-    for seconds in sorted({s for s in lookbacks if s > SHORT_SECONDS}, reverse=True):
+    for seconds in sorted({s for s in lookbacks if s > SHORT_SECONDS} - set(stored), reverse=True):
         for grid in grids:
             if gcd(grid.width, seconds) >= SHORT_SECONDS:
                 grid.width = gcd(grid.width, seconds)
@@ -75,6 +77,8 @@ def plan_grids(lookbacks: list[int], rows_per_second: float = 1.0) -> list[Grid]
                 grids[0].long.append(seconds)
             else:
                 grids.append(Grid(width or CHUNK_SECONDS, [seconds]))
+    if stored:
+        grids.insert(0, Grid(stored_width, stored))
     short = sorted({s for s in lookbacks if s <= SHORT_SECONDS})
     if short:
         if not grids:
@@ -114,18 +118,30 @@ def direct_features(seconds: DataFrame, keys: list[str], bound) -> DataFrame:
 
 
 def chunked_features(
-    seconds: DataFrame, keys: list[str], bound, first_kept: Column | None = None, rows_per_second: float = 1.0
+    seconds: DataFrame,
+    keys: list[str],
+    bound,
+    first_kept: Column | None = None,
+    rows_per_second: float = 1.0,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
     """Features per (key, second) for keys of any size.
 
     ``first_kept`` is the earliest second that features are wanted for: copies into chunks before it are not made.
+    ``stored`` holds the states of chunks of :data:`CHUNK_SECONDS`, one row per key and chunk. For look-backs that such chunks
+    divide, ``seconds`` then needs the ends of the frames only.
     """
-    grids = plan_grids([f.seconds for f in bound.features], rows_per_second)
-    parts = [_grid_features(seconds, keys, bound, grid, first_kept) for grid in grids]
+    grids = plan_grids([f.seconds for f in bound.features], rows_per_second, None if stored is None else CHUNK_SECONDS)
+    parts = []
+    for i, grid in enumerate(grids):
+        from_stored = stored is not None and i == 0 and grid.long and not any(s % CHUNK_SECONDS for s in grid.long)
+        parts.append(_grid_features(seconds, keys, bound, grid, first_kept, stored if from_stored else None))
     return reduce(lambda left, right: _join_seconds(left, right, keys), parts)
 
 
-def _grid_features(seconds: DataFrame, keys: list[str], bound, grid: Grid, first_kept: Column | None) -> DataFrame:
+def _grid_features(
+    seconds: DataFrame, keys: list[str], bound, grid: Grid, first_kept: Column | None, stored: DataFrame | None = None
+) -> DataFrame:
     names = [s.name for s in bound.states]
     sec, width = F.col(_SEC), F.lit(grid.width).cast("bigint")
     chunk = F.floor(sec / width)
@@ -145,7 +161,7 @@ def _grid_features(seconds: DataFrame, keys: list[str], bound, grid: Grid, first
         placed = placed.where(F.col(_CHUNK).isNull() | (F.col(_CHUNK) >= F.floor(first_kept / width)))
     rows = placed.select(*columns)
     # No filter here: the totals then read the very shuffle that the copies are made from.
-    totals = _whole_chunks(seconds.withColumn(_CHUNK, chunk), keys, bound, grid)
+    totals = _whole_chunks(seconds.withColumn(_CHUNK, chunk), keys, bound, grid, stored)
     if totals is not None:
         rows = rows.unionByName(totals.select(*columns))
 
@@ -188,7 +204,7 @@ def _grid_features(seconds: DataFrame, keys: list[str], bound, grid: Grid, first
     return windowed.select(*keys, F.col(_POS).alias(_SEC), *[c.alias(n) for n, c in framed.items()]).select(*keys, _SEC, *outputs)
 
 
-def _whole_chunks(seconds: DataFrame, keys: list[str], bound, grid: Grid) -> DataFrame | None:
+def _whole_chunks(seconds: DataFrame, keys: list[str], bound, grid: Grid, stored: DataFrame | None = None) -> DataFrame | None:
     """For every chunk and long look-back, the states of the chunks that lie wholly inside all its frames."""
     spans = {lookback: divmod(lookback, grid.width) for lookback in grid.long if lookback > grid.width}
     if not spans:
@@ -199,7 +215,7 @@ def _whole_chunks(seconds: DataFrame, keys: list[str], bound, grid: Grid) -> Dat
         if rest:
             in_tail = F.pmod(F.col(_SEC), F.lit(grid.width)) >= grid.width - rest
             tails += [_merge(s, F.when(in_tail, F.col(s.name))).alias(_tail(s, lookback)) for s in bound.states if s.name in used[lookback]]
-    totals = seconds.groupBy(*keys, _CHUNK).agg(
+    totals = stored if stored is not None else seconds.groupBy(*keys, _CHUNK).agg(
         F.max(_KEEP).alias(_KEEP), *[_merge(s, F.col(s.name)).alias(s.name) for s in bound.states], *tails
     )
     window = Window.partitionBy(*keys).orderBy(_CHUNK)

@@ -128,6 +128,12 @@ class BoundBlock:
     def states_of(self, feature: Feature) -> list[StateColumn]:
         return [s for s in self.states if s.column == feature.column and s.state in self._needs[feature.name]]
 
+    def stored_name(self, state: StateColumn) -> str:
+        """A name under which a state can be kept: it tells the state, its column and the decimal type it is summed in."""
+        exact = self._exact[state.column] if state.state in SUMMED else None
+        kind = "" if exact is None else f"__{exact.precision}_{exact.scale}"
+        return f"{state.state}__{state.column.lower()}{kind}"
+
     def finish(self, feature: Feature, columns: dict[str, str]) -> Column:
         """The feature from the columns that hold its states."""
         if self._is_wide(feature):
@@ -204,21 +210,30 @@ def with_rolling(
     if keep is not None:
         result = result.where(keep)
     for block, features in by_second:
-        result = _attach(result, block, features)
+        result = attach(result, block, features)
     return result.select(*df.columns, *names)
 
 
-def _features_by_second(df, bound, strategy, keep, limits) -> DataFrame | None:
-    """Features per (key, second) when some key is dense; None when plain windows over the rows do."""
-    block = bound.block
-    keys = list(block.partition)
-    key_names = [f"__key_{i}" for i in range(len(keys))]
-    rows = df.select(
-        *[F.col(k).alias(n) for k, n in zip(keys, key_names)],
+def key_columns(block: RollingBlock) -> list[str]:
+    """What the keys of a block are called between the stages."""
+    return [f"__key_{i}" for i in range(len(block.partition))]
+
+
+def keyed_rows(df: DataFrame, block: RollingBlock, keep: Column | None) -> DataFrame:
+    """Keys, second and values of the rows, and whether features are wanted for them."""
+    return df.select(
+        *[F.col(k).alias(n) for k, n in zip(block.partition, key_columns(block))],
         epoch_seconds(block.timestamp).alias(_SEC),
         *[F.col(c) for c in dict.fromkeys(block.columns)],
         (F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))).alias("__keep"),
     )
+
+
+def _features_by_second(df, bound, strategy, keep, limits) -> DataFrame | None:
+    """Features per (key, second) when some key is dense; None when plain windows over the rows do."""
+    block = bound.block
+    key_names = key_columns(block)
+    rows = keyed_rows(df, block, keep)
     if strategy == "auto":
         hot = find_hot_keys(rows, key_names, _SEC, block.max_lookback, limits)
         if hot is None:
@@ -242,10 +257,10 @@ def _features_by_second(df, bound, strategy, keep, limits) -> DataFrame | None:
     )
 
 
-def _attach(df: DataFrame, block: RollingBlock, features: DataFrame) -> DataFrame:
+def attach(df: DataFrame, block: RollingBlock, features: DataFrame) -> DataFrame:
     """Put per-second features back on the rows. A second may hold any number of rows: only the features side is
     unique, and adaptive execution splits an oversized join partition on the rows side."""
-    keys = [f"__key_{i}" for i in range(len(block.partition))]
+    keys = key_columns(block)
     on = [same(F.col(k), F.col(n)) for k, n in zip(block.partition, keys)]
     on.append(same(epoch_seconds(block.timestamp), F.col(_SEC)))
     return df.join(features, on, "left").drop(*keys, _SEC)

@@ -319,6 +319,7 @@ SELECT tx_id, tx_ts, cast(cast(tx_amount AS decimal(18,2)) AS double) AS tx_amou
     "incremental_full": incremental_sql("full"),
     "incremental_delta": incremental_sql("delta"),
     "incremental_late": incremental_sql("full"),
+    "incremental_states": incremental_sql("full"),
     "incremental_batches": incremental_sql("full"),
     "ingest_batch_twice": mapped(CUSTOMER),
     "incremental_first_load": incremental_sql("full"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollfeat.operators.incremental import halo_start, high_date, newer_than
+from rollfeat.plans.daystates import features_from_states, refresh_states
 from rollfeat.plans.late import load_late
 from rollfeat.plans.presets import Preset, build_features, label_transactions
 from rollfeat.sources.tables import TableStore
@@ -39,6 +40,7 @@ def load_features(
     late_rows: bool = False,
     batch_id: str | None = None,
     checks: Mapping[str, Column] | None = None,
+    states: str | None = None,
 ) -> None:
     """Bring ``target`` up to date with ``staged`` (which carries ``tx_date``).
 
@@ -56,10 +58,15 @@ def load_features(
     that was committed is not done again. ``checks`` (conditions on every row) then keep a bad load from being committed. A target keeps to
     one way of loading, with batches or without.
 
+    With ``states``, a prefix of table names, states per key and day are kept beside the target, and an increment reads them in place
+    of the raw rows of earlier days (:mod:`rollfeat.plans.daystates`); this needs ``history="full"``. The result is the same.
+
     Rows without a timestamp enter with a first load or a full refresh only.
     """
     if history not in ("full", "delta"):
         raise ValueError(f"history must be 'full' or 'delta', not {history!r}")
+    if states is not None and history != "full":
+        raise ValueError("kept states hold all of history, which is history='full'")
     if batch_id is None and checks:
         raise ValueError("checks decide on a commit, so they need a batch_id")
     if batch_id is not None:
@@ -74,12 +81,19 @@ def load_features(
         else:
             store.append_once(target, features, batch_id, partition_by=["tx_date"], replace=full_refresh, checks=checks)
 
+    def keep_states() -> None:
+        high = None if states is None else high_date(store.read(target))
+        if high is not None:
+            refresh_states(store, states, staged, preset, halo_start(high, preset.max_lookback), high)
+
     if batch_id is not None and (full_refresh or not store.exists(target)):
         add(build_features(staged, preset, strategy, created_at=created_at))
+        keep_states()
         return
     if full_refresh or not store.exists(target):
         features = build_features(staged, preset, strategy, created_at=created_at)
         store.overwrite(target, features, partition_by=["tx_date"])
+        keep_states()
         return
     if late_rows:
         if history != "full":
@@ -94,6 +108,10 @@ def load_features(
     high = high_date(relation, column)
     if high is None:
         add(build_features(staged, preset, strategy, created_at=created_at))
+        keep_states()
+        return
+    if states is not None:
+        add(features_from_states(store, states, staged, preset, high, created_at))
         return
     with_halo = staged.where(F.col("tx_date") >= F.lit(halo_start(high, preset.max_lookback)))
     new = F.col("tx_date") > F.lit(high)

@@ -456,6 +456,22 @@ def incremental_late(spark, sf_dir):
     return without_stamp(store.read(target))
 
 
+@query
+def incremental_states(spark, sf_dir):
+    """Two increments that read whole days from kept states, on a first load that lacks rows of some dates until late."""
+    store, database = new_store(spark)
+    copy_transactions(store, f"{database}.tx", samples.events_tx(spark, sf_dir))
+    staged = stage(store, f"{database}.staged", store.read(f"{database}.tx"), samples.events_labels(spark, sf_dir))
+    target, preset = f"{database}.features", PRESET_B.summing_in(MONEY)
+    day = F.col("tx_date")
+    in_time = (day <= F.lit(FIRST_LOAD_UNTIL)) & (F.col("tx_id").cast("bigint") % 9 != 0)
+    load_features(store, target, staged.where(in_time), preset, states=f"{database}.states")
+    middle = staged.where(day <= F.lit(FIRST_LOAD_UNTIL + dt.timedelta(days=4)))
+    load_features(store, target, middle, preset, states=f"{database}.states", late_rows=True)
+    load_features(store, target, staged, preset, states=f"{database}.states")
+    return without_stamp(store.read(target))
+
+
 @query
 def incremental_batches(spark, sf_dir):
     """Loads as batches: one is refused by a check, then repeated, and then asked for once more."""

@@ -217,6 +217,10 @@ def _estimate(s, scale):
     return F.coalesce(F.hll_sketch_estimate(F.hll_union(s["sketch"], s["sketch"])), F.lit(0)).cast("double")
 
 
+def _no_states(s, scale):
+    raise ValueError("count_distinct has no mergeable state of bounded size; with_rolling counts it in another way")
+
+
 AGGREGATES = {
     "count": Aggregate(("count",), _count),
     "avg": Aggregate(("count", "sum"), _mean, _wide_sum(mean=True)),
@@ -230,6 +234,7 @@ AGGREGATES = {
     "var_samp": Aggregate(_MOMENTS, _variance(1), _wide_variance(1)),
     "var_pop": Aggregate(_MOMENTS, _variance(0), _wide_variance(0)),
     "approx_count_distinct": Aggregate(("sketch",), _estimate),
+    "count_distinct": Aggregate((), _no_states),
 }
 
 

@@ -136,7 +136,7 @@ def chunked_features(
     for i, grid in enumerate(grids):
         from_stored = stored is not None and i == 0 and grid.long and not any(s % CHUNK_SECONDS for s in grid.long)
         parts.append(_grid_features(seconds, keys, bound, grid, first_kept, stored if from_stored else None))
-    return reduce(lambda left, right: _join_seconds(left, right, keys), parts)
+    return reduce(lambda left, right: join_seconds(left, right, keys), parts)
 
 
 def _grid_features(
@@ -248,7 +248,7 @@ def _whole_chunks(seconds: DataFrame, keys: list[str], bound, grid: Grid, stored
     )
 
 
-def _join_seconds(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def join_seconds(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     columns = [*keys, _SEC]
     renamed = right.select(*[F.col(c).alias(f"__r{c}") for c in columns], *[c for c in right.columns if c not in columns])
     on = [same(F.col(c), F.col(f"__r{c}")) for c in columns]

@@ -7,13 +7,14 @@ included). Two plans give the same answer:
 * *direct*: one Spark window per key. The right plan for keys with few rows per look-back.
 * *chunked*: see :mod:`rollfeat.operators.chunked`. Linear in the data, and no task ever holds a whole key.
 
-With ``strategy="auto"`` a cheap statistics pass decides, key by key, which plan computes which key.
+With ``strategy="auto"`` a cheap statistics pass decides, key by key, which plan computes which key. ``count_distinct`` has a plan of its
+own for keys of any size, see :mod:`rollfeat.operators.distinct`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,11 +25,14 @@ from rollfeat.functions.durations import parse_duration
 from rollfeat.functions.exactsum import measure
 from rollfeat.functions.scalars import epoch_seconds, same
 from rollfeat.operators import chunked
+from rollfeat.operators.distinct import distinct_features
 from rollfeat.operators.hotkeys import Limits, find_hot_keys
 from rollfeat.session import scratch_dir
 
 _SEC = "__sec"
 _DENSE = "__dense"
+# The one aggregate that is not made of mergeable states.
+DISTINCT = "count_distinct"
 
 
 @dataclass(frozen=True)
@@ -199,6 +203,13 @@ def with_rolling(
 
     direct, by_second = [], []
     for block in blocks:
+        distinct = [f for f in block.features() if f.aggregation == DISTINCT]
+        if distinct:
+            by_second.append((block, distinct_features(keyed_rows(df, block, keep), key_columns(block), distinct, block.last_offset)))
+            others = [a for a in block.aggregations if a.lower() != DISTINCT]
+            if not others:
+                continue
+            block = replace(block, aggregations=others)
         bound = BoundBlock(block, df)
         features = None if strategy == "direct" else _features_by_second(df, bound, strategy, keep, limits)
         if features is None:

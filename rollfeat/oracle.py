@@ -62,6 +62,7 @@ def rolling_sql(b: RollingBlock) -> list[str]:
             "sum": f"cast(sum({money}) {over} AS double)",
             "min": f"cast(min({f.column}) {over} AS double)",
             "max": f"cast(max({f.column}) {over} AS double)",
+            "count_distinct": f"count(DISTINCT {f.column}) {over}",
             "var_samp": variance,
             "stddev": f"sqrt({variance})",
             # A sketch of a few values holds them all, so its estimate is the exact number.
@@ -302,6 +303,11 @@ SELECT tx_id, tx_ts, cast(cast(tx_amount AS decimal(18,2)) AS double) AS tx_amou
     "roll_max": rolled(ORDERS, block(["max"], ["3d", "28d", "175d"], partition=["terminal_id"])),
     "roll_sum": rolled(TX, block(["sum"], ["1h", "5d"])),
     "roll_stddev": rolled(TX, block(["stddev", "var_samp"], ["1d", "7d"])),
+    "roll_count_distinct": rolled(TX, block(["count", "count_distinct"], ["1h", "2d", "7d"], column=["terminal_id", "tx_amount"])),
+    "roll_count_distinct_hot": rolled(
+        EVENTS,
+        block(["count_distinct"], ["10m", "36h", "14d"], column="customer_id", partition=["event_type"], exclude_current_row=False),
+    ),
     "roll_approx_distinct": rolled(TX, block(["approx_count_distinct"], ["1h", "2d"], column="terminal_id")),
     "roll_include_current": rolled(
         ORDERS, block(["count", "avg", "max"], ["1d", "28d"], partition=["terminal_id"], exclude_current_row=False)

@@ -18,7 +18,7 @@ from rollfeat.functions.aggregates import state as state_of
 from rollfeat.functions.scalars import weekday_name
 from rollfeat.operators import chunked
 from rollfeat.operators.incremental import dated, halo_start
-from rollfeat.operators.rolling import BoundBlock, RollingBlock, attach, key_columns, keyed_rows
+from rollfeat.operators.rolling import DISTINCT, BoundBlock, RollingBlock, attach, key_columns, keyed_rows
 from rollfeat.plans.presets import Preset
 from rollfeat.sources.tables import TableStore
 
@@ -99,6 +99,8 @@ def raw_dates(block: RollingBlock, new: Sequence[dt.date]) -> list[dt.date]:
 
 
 def _bound(block: RollingBlock, staged: DataFrame) -> BoundBlock:
+    if any(f.aggregation == DISTINCT for f in block.features()):
+        raise ValueError(f"{DISTINCT} has no states to keep; load presets that hold it without kept states")
     for column in block.columns:
         floating = isinstance(staged.schema[column].dataType, (T.FloatType, T.DoubleType))
         if floating and block.exact_type is None and any(f.spec.wide is not None for f in block.features()):

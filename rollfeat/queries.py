@@ -314,6 +314,22 @@ def roll_stddev(spark, sf_dir):
     return rolled(samples.events_tx(spark, sf_dir), block(["stddev", "var_samp"], ["1d", "7d"]))
 
 
+@query
+def roll_count_distinct(spark, sf_dir):
+    both = block(["count", "count_distinct"], ["1h", "2d", "7d"], column=["terminal_id", "tx_amount"])
+    return rolled(samples.events_tx(spark, sf_dir), both)
+
+
+@query
+def roll_count_distinct_hot(spark, sf_dir):
+    """Five keys hold the whole table, and the current second counts."""
+    counted = block(["count_distinct"], ["10m", "36h", "14d"], column="customer_id", partition=["event_type"], exclude_current_row=False)
+    users = samples.table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("tx_id"), F.col("ts").alias("tx_ts"), "event_type", F.col("user_id").alias("customer_id")
+    )
+    return rolled(users, counted)
+
+
 @query
 def roll_approx_distinct(spark, sf_dir):
     return rolled(

@@ -569,10 +569,10 @@ def dq_report(spark, sf_dir):
     return quality.report(
         {
             "events_tx_id_not_null": quality.NotNull(events, "tx_id"),
-            "events_tx_id_unique": quality.unique(events, "tx_id"),
+            "events_tx_id_unique": quality.Unique(events, "tx_id"),
             "lineitem_tx_id_not_null": quality.NotNull(lines, "tx_id"),
-            "lineitem_tx_id_unique": quality.unique(lines, "tx_id"),
-            "orders_tx_id_unique": quality.unique(samples.orders_tx(spark, sf_dir), "tx_id"),
+            "lineitem_tx_id_unique": quality.Unique(lines, "tx_id"),
+            "orders_tx_id_unique": quality.Unique(samples.orders_tx(spark, sf_dir), "tx_id"),
         }
     )
 

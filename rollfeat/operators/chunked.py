@@ -15,7 +15,8 @@ seconds of chunk ``c`` come from two chunks, and between them and the whole chun
 
 The chunk totals travel as a further row at the end of chunk ``c``, so the last two parts are one running aggregate.
 Everything is a merge of states (nothing is subtracted), and a (key, chunk) group holds at most
-``width * (long look-backs + 2)`` rows however many rows the key has.
+``width * (long look-backs + 2)`` rows however many rows the key has. Chunks are shorter where keys are dense, and tasks are as many
+as the rows need, so neither a group nor a task grows with the input.
 
 Look-backs up to :data:`SHORT_SECONDS` are too short for such chunks. Where keys are crowded they divide a chunk into
 parts as long as themselves, with a copy of their own, and need no totals. Otherwise, and where they do not divide a
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from functools import reduce
-from math import gcd
+from math import ceil, gcd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,11 +43,44 @@ SLIDING_SECONDS = 300
 SLIDING_ROWS = 200
 # The preferred chunk; at most this many distinct seconds per key and chunk.
 CHUNK_SECONDS = 86_400
+# Where the densest key has more seconds than this in such a chunk, chunks are cut shorter, to one of these widths.
+ROWS_PER_CHUNK = 5_000
+WIDTHS = (86_400, 43_200, 21_600, 14_400, 10_800, 7_200, 3_600)
+# Rows and copies that a task windows. Every sort of a task holds them, so this, and not the size of the input, is its memory.
+ROWS_PER_TASK = 150_000
 
 _SEC, _CHUNK, _POS, _SIDE, _KEEP = "__sec", "__chunk", "__pos", "__side", "__keep"
 _ROWS, _HALO = -1, -2  # other sides are look-backs in seconds
 
 
+@dataclass(frozen=True)
+class Extent:
+    """What a frame of seconds holds, or at most holds where it was taken from the rows that the seconds are made of."""
+
+    n_seconds: int
+    most_per_day: int  # of one key
+    first_kept: int | None  # the first and last second that features are wanted for
+    last_kept: int | None
+
+    @classmethod
+    def of(cls, seconds: DataFrame, keys: list[str]) -> Extent:
+        """One pass over keys and seconds, counted per key and day before anything is moved."""
+        kept, day = F.when(F.col(_KEEP), F.col(_SEC)), F.floor(F.col(_SEC) / F.lit(CHUNK_SECONDS))
+        per_day = seconds.groupBy(*keys, day.alias(_CHUNK)).agg(F.count(F.lit(1)).alias("n"), F.min(kept).alias("first"), F.max(kept).alias("last"))
+        n, most, first, last = per_day.agg(F.sum("n"), F.max("n"), F.min("first"), F.max("last")).first()
+        return cls(n or 0, most or 0, first, last)
+
+    @property
+    def widest(self) -> int:
+        """The widest chunk that the densest key does not crowd."""
+        return next((w for w in WIDTHS if w * self.most_per_day <= ROWS_PER_CHUNK * CHUNK_SECONDS), WIDTHS[-1])
+
+
+def n_tasks(df: DataFrame, n_rows: int) -> int:
+    """Tasks for so many rows. Given as a number, so that adaptive execution does not merge them again."""
+    return max(ceil(n_rows / ROWS_PER_TASK), df.sparkSession.sparkContext.defaultParallelism)
+
+
 @dataclass
 class Grid:
     """Look-backs that share one chunk width. It divides those among the long ones that have a suitable divisor."""
@@ -57,11 +91,12 @@ class Grid:
     sliding: list[int] = field(default_factory=list)
 
 
-def plan_grids(lookbacks: list[int], rows_per_second: float = 1.0, stored_width: int | None = None) -> list[Grid]:
+def plan_grids(lookbacks: list[int], rows_per_second: float = 1.0, stored_width: int | None = None, widest: int = CHUNK_SECONDS) -> list[Grid]:
     """Put look-backs on as few grids as possible, with chunks no shorter than the short look-backs.
 
     ``rows_per_second`` is the measured density of the densest key; there is never more than one state row a second.
-    Where totals of chunks of ``stored_width`` are kept, the look-backs that they divide share the first grid.
+    Where totals of chunks of ``stored_width`` are kept, the look-backs that they divide share the first grid. No other chunk is
+    wider than ``widest``.
     """
     stored = sorted({s for s in lookbacks if stored_width and s % stored_width == 0}, reverse=True)
     grids: list[Grid] = []
@@ -72,17 +107,17 @@ def plan_grids(lookbacks: list[int], rows_per_second: float = 1.0, stored_width:
                 grid.long.append(seconds)
                 break
         else:
-            width = _chunk_width(seconds)
+            width = _chunk_width(seconds, widest)
             if width is None and grids:
                 grids[0].long.append(seconds)
             else:
-                grids.append(Grid(width or CHUNK_SECONDS, [seconds]))
+                grids.append(Grid(width or widest, [seconds]))
     if stored:
         grids.insert(0, Grid(stored_width, stored))
     short = sorted({s for s in lookbacks if s <= SHORT_SECONDS})
     if short:
         if not grids:
-            grids.append(Grid(CHUNK_SECONDS))
+            grids.append(Grid(widest))
         for seconds in short:
             crowded = seconds > SLIDING_SECONDS and seconds * rows_per_second > SLIDING_ROWS
             divides = crowded and grids[0].width % seconds == 0
@@ -90,9 +125,9 @@ def plan_grids(lookbacks: list[int], rows_per_second: float = 1.0, stored_width:
     return grids
 
 
-def _chunk_width(seconds: int) -> int | None:
+def _chunk_width(seconds: int, widest: int) -> int | None:
     """The largest divisor between the two limits, if there is one."""
-    return next((w for w in range(min(CHUNK_SECONDS, seconds), SHORT_SECONDS - 1, -1) if seconds % w == 0), None)
+    return next((w for w in range(min(widest, seconds), SHORT_SECONDS - 1, -1) if seconds % w == 0), None)
 
 
 def per_second(rows: DataFrame, keys: list[str], bound) -> DataFrame:
@@ -101,8 +136,9 @@ def per_second(rows: DataFrame, keys: list[str], bound) -> DataFrame:
     return rows.groupBy(*keys, _SEC).agg(F.max(_KEEP).alias(_KEEP), *states)
 
 
-def direct_features(seconds: DataFrame, keys: list[str], bound) -> DataFrame:
+def direct_features(seconds: DataFrame, keys: list[str], bound, n_seconds: int) -> DataFrame:
     """Features per (key, second) by one window per key, for keys known to be small."""
+    seconds = seconds.repartition(n_tasks(seconds, n_seconds), *keys)
     window = Window.partitionBy(*keys).orderBy(_SEC)
     end = bound.block.last_offset
     frames = {
@@ -121,26 +157,27 @@ def chunked_features(
     seconds: DataFrame,
     keys: list[str],
     bound,
-    first_kept: Column | None = None,
+    extent: Extent,
     rows_per_second: float = 1.0,
     stored: DataFrame | None = None,
 ) -> DataFrame:
     """Features per (key, second) for keys of any size.
 
-    ``first_kept`` is the earliest second that features are wanted for: copies into chunks before it are not made.
+    ``extent`` tells how many tasks the seconds need and between which seconds features are wanted: copies into chunks before or after
+    these are not made.
     ``stored`` holds the states of chunks of :data:`CHUNK_SECONDS`, one row per key and chunk. For look-backs that such chunks
     divide, ``seconds`` then needs the ends of the frames only.
     """
-    grids = plan_grids([f.seconds for f in bound.features], rows_per_second, None if stored is None else CHUNK_SECONDS)
+    grids = plan_grids([f.seconds for f in bound.features], rows_per_second, None if stored is None else CHUNK_SECONDS, extent.widest)
     parts = []
     for i, grid in enumerate(grids):
         from_stored = stored is not None and i == 0 and grid.long and not any(s % CHUNK_SECONDS for s in grid.long)
-        parts.append(_grid_features(seconds, keys, bound, grid, first_kept, stored if from_stored else None))
+        parts.append(_grid_features(seconds, keys, bound, grid, extent, stored if from_stored else None))
     return reduce(lambda left, right: join_seconds(left, right, keys), parts)
 
 
 def _grid_features(
-    seconds: DataFrame, keys: list[str], bound, grid: Grid, first_kept: Column | None, stored: DataFrame | None = None
+    seconds: DataFrame, keys: list[str], bound, grid: Grid, extent: Extent, stored: DataFrame | None = None
 ) -> DataFrame:
     names = [s.name for s in bound.states]
     sec, width = F.col(_SEC), F.lit(grid.width).cast("bigint")
@@ -157,13 +194,14 @@ def _grid_features(
     placed = seconds.select(
         *keys, _KEEP, *names, F.explode(F.filter(F.array(*places), lambda p: p.isNotNull())).alias("__place")
     ).select(*keys, "__place.*", _KEEP, *names)
-    if first_kept is not None:
-        placed = placed.where(F.col(_CHUNK).isNull() | (F.col(_CHUNK) >= F.floor(first_kept / width)))
-    rows = placed.select(*columns)
-    # No filter here: the totals then read the very shuffle that the copies are made from.
+    wanted = F.lit(False)
+    if extent.first_kept is not None:
+        wanted = F.col(_CHUNK).between(extent.first_kept // grid.width, extent.last_kept // grid.width)
+    rows = placed.where(F.col(_CHUNK).isNull() | wanted).select(*columns)
     totals = _whole_chunks(seconds.withColumn(_CHUNK, chunk), keys, bound, grid, stored)
     if totals is not None:
         rows = rows.unionByName(totals.select(*columns))
+    rows = rows.repartition(n_tasks(rows, extent.n_seconds * len(places)), *keys, _CHUNK)
 
     # Every window expression is named once here; features that share a state share its windows.
     here, side, pos = F.col(_SIDE) == _ROWS, F.col(_SIDE), F.col(_POS)

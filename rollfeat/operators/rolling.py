@@ -251,8 +251,7 @@ def _features_by_second(df, bound, strategy, keep, limits) -> DataFrame | None:
             return None
     seconds = chunked.per_second(rows, key_names, bound)
     if strategy == "chunked":
-        first_kept = None if keep is None else rows.where("__keep").select(F.min(_SEC)).scalar()
-        return chunked.chunked_features(seconds, key_names, bound, first_kept)
+        return chunked.chunked_features(seconds, key_names, bound, chunked.Extent.of(rows, key_names))
     # Both plans read the seconds several times over: they are computed once, with a mark on those of dense keys.
     on = [same(F.col(k), F.col(f"__hot{k}")) for k in key_names]
     hot_keys = hot.keys(key_names, "__hot").withColumn(_DENSE, F.lit(True))
@@ -260,11 +259,11 @@ def _features_by_second(df, bound, strategy, keep, limits) -> DataFrame | None:
     path = scratch_dir(df.sparkSession, "seconds")
     marked.write.partitionBy(_DENSE).parquet(path)
     marked = df.sparkSession.read.schema(marked.schema).parquet(path)
-    first_kept = None if keep is None else marked.where("__keep").select(F.min(_SEC)).scalar()
     dense, sparse = marked.where(_DENSE).drop(_DENSE), marked.where(~F.col(_DENSE)).drop(_DENSE)
+    extent = chunked.Extent.of(dense, key_names)
     density = hot.peak / block.max_lookback
-    return chunked.chunked_features(dense, key_names, bound, first_kept, density).unionByName(
-        chunked.direct_features(sparse, key_names, bound)
+    return chunked.chunked_features(dense, key_names, bound, extent, density).unionByName(
+        chunked.direct_features(sparse, key_names, bound, sparse.count())
     )
 
 

@@ -79,10 +79,13 @@ def features_from_states(store: TableStore, prefix: str, staged: DataFrame, pres
     for i, block in enumerate(preset.blocks):
         bound = _bound(block, staged)
         keys = key_columns(block)
-        rows = keyed_rows(dated(staged, _DATE, raw_dates(block, new)), block, is_new)
+        raw = dated(staged, _DATE, raw_dates(block, new))
+        rows = keyed_rows(raw, block, is_new)
         stored = _stored(store, states_table(prefix, i), block, bound, new) if new else None
-        first_new = F.lit(_day_number(new[0]) * _DAY if new else 0).cast("bigint")
-        out = attach(out, block, chunked.chunked_features(chunked.per_second(rows, keys, bound), keys, bound, first_new, stored=stored))
+        extent = chunked.Extent(0, 0, None, None)
+        if new:
+            extent = chunked.Extent(raw.count(), 0, _day_number(new[0]) * _DAY, (_day_number(new[-1]) + 1) * _DAY - 1)
+        out = attach(out, block, chunked.chunked_features(chunked.per_second(rows, keys, bound), keys, bound, extent, stored=stored))
     out = out.select(*staged.columns, "day_of_the_week", *preset.feature_names)
     if not preset.created_timestamp:
         return out

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from rollfeat.functions.aggregates import AGGREGATES
 from rollfeat.functions.durations import parse_duration
+from rollfeat.operators import chunked
 from rollfeat.operators.chunked import CHUNK_SECONDS, SHORT_SECONDS, plan_grids
 from rollfeat.operators.hotkeys import Limits, find_hot_keys
 from rollfeat.operators.rolling import RollingBlock, rolling_columns, with_rolling
@@ -421,3 +422,27 @@ def test_a_crowded_second_is_split_when_features_return_to_its_rows(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("strategy", ["auto", "chunked"])
+def test_dense_keys_have_shorter_chunks_and_more_tasks(spark, monkeypatch, strategy):
+    rows = random_rows(300, 2, 12, seed=51)
+    df = spark.createDataFrame(rows, SCHEMA)
+    block = RollingBlock(["count", "avg", "max"], ["v"], ["k"], ["1h", "2d", "5d", "100003m"])
+    keep = (F.col("tx_ts") >= F.lit("2024-01-05").cast("timestamp_ntz")) & (F.col("tx_ts") < F.lit("2024-01-09").cast("timestamp_ntz"))
+    want = {r["id"]: r for r in with_rolling(df, [block], "direct", keep).collect()}
+    monkeypatch.setattr(chunked, "ROWS_PER_CHUNK", 5)
+    monkeypatch.setattr(chunked, "ROWS_PER_TASK", 20)
+    got = with_rolling(df, [block], strategy, keep, EAGER)
+    plan = got._jdf.queryExecution().toString()
+    assert max(int(n) for n in re.findall(r"RepartitionByExpression \[[^\]]*\], (\d+)", plan)) > spark.sparkContext.defaultParallelism
+    assert {r["id"]: r for r in got.collect()} == want and want
+
+
+def test_chunks_are_no_wider_than_dense_keys_allow(spark):
+    keyed = spark.range(5_000).select(F.lit(1).alias("k"), F.col("id").alias("__sec"), (F.col("id") < 10).alias("__keep"))
+    extent = chunked.Extent.of(keyed.unionByName(spark.range(1).select(F.lit(2).alias("k"), F.lit(None).cast("bigint").alias("__sec"), F.lit(True).alias("__keep"))), ["k"])
+    assert (extent.n_seconds, extent.most_per_day, extent.first_kept, extent.last_kept, extent.widest) == (5_001, 5_000, 0, 9, 86_400)
+    assert chunked.Extent(0, 80_000, 0, 9).widest == 3_600
+    (grid,) = plan_grids([3_600, 5 * 86_400, 14 * 86_400], widest=21_600)
+    assert (grid.width, grid.nested) == (21_600, [3_600])

@@ -21,13 +21,18 @@ def hash_sample(df: DataFrame, key: str, buckets: int = 100, bucket: int = 1, me
     return df.where(in_sample(key, buckets, bucket, method))
 
 
+def in_range(df: DataFrame, timestamp: str, start: str, end: str) -> Column:
+    """True where ``start <= timestamp < end``."""
+    kind = df.schema[timestamp].dataType.simpleString()
+    return (F.col(timestamp) >= F.lit(start).cast(kind)) & (F.col(timestamp) < F.lit(end).cast(kind))
+
+
 def time_range(df: DataFrame, timestamp: str, start: str, end: str, date: str | None = None) -> DataFrame:
     """Rows with ``start <= timestamp < end``. ``date`` names a partition column holding the event date, if there is
     one, so that only the days in question are read."""
-    kind = df.schema[timestamp].dataType.simpleString()
-    column = F.col(timestamp)
-    out = df.where((column >= F.lit(start).cast(kind)) & (column < F.lit(end).cast(kind)))
+    out = df.where(in_range(df, timestamp, start, end))
     if date is not None:
+        kind = df.schema[timestamp].dataType.simpleString()
         first, last = (F.to_date(F.lit(bound).cast(kind)) for bound in (start, end))
         out = out.where((F.col(date) >= first) & (F.col(date) <= last))
     return out

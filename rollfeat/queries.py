@@ -9,7 +9,8 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from rollfeat.operators.asof import FeatureRows, asof_join
 from rollfeat.operators.hotkeys import Limits
 from rollfeat.operators.incremental import high_date, newer_than
 from rollfeat.operators.rolling import RollingBlock, with_rolling
-from rollfeat.operators.sampling import time_range
+from rollfeat.operators.sampling import in_range, time_range
 from rollfeat.plans import registry, training
 from rollfeat.plans.config import parse_config
 from rollfeat.plans.feature_table import load_features, stage
@@ -784,10 +785,15 @@ def serve_point_in_time(spark, sf_dir):
 
 
 def splits(spark, sf_dir):
-    features = build_features(staged_events(spark, sf_dir), PRESET_B.summing_in(MONEY))
-    train, validation = (
-        training.training_frame(time_range(features, "tx_ts", *bounds)) for bounds in (LABELLED_TRAIN, LABELLED_VALIDATION)
-    )
+    """Both splits from one build over all rows. It is stored, since a fit reads its rows many times over."""
+    ranges = (LABELLED_TRAIN, LABELLED_VALIDATION)
+    staged = staged_table(spark, sf_dir)
+    either = reduce(or_, [in_range(staged, "tx_ts", *bounds) for bounds in ranges])
+    built = build_features(staged, PRESET_B.summing_in(MONEY), keep=either).drop("tx_date")
+    path = scratch_dir(spark, "splits")
+    built.write.parquet(path)
+    features = spark.read.schema(built.schema).parquet(path)
+    train, validation = (training.training_frame(time_range(features, "tx_ts", *bounds)) for bounds in ranges)
     return train, validation, training.FeaturePlan.of(train)
 
 

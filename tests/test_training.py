@@ -4,6 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from rollfeat import queries
 from rollfeat.plans import training
 from rollfeat.plans.training import FeaturePlan
 from rollfeat.session import scratch_dir
@@ -42,3 +43,21 @@ def test_training_set_and_split_counts(spark):
         expected[inputs[int(i)]] = expected.get(inputs[int(i)], 0) + 1
     assert {r.feature: r.score for r in counts.collect()} == expected
     assert [r.feature for r in training.top_features(counts, 1).collect()] == [max(sorted(expected), key=expected.get)]
+
+
+def test_splits_are_built_once_and_read_from_a_table(spark, tmp_path):
+    at = F.make_interval(hours=F.col("id")) + F.lit("2024-01-01 00:00:00").cast("timestamp")
+    events = spark.range(240).select(
+        F.col("id").alias("event_id"), at.cast("timestamp_ntz").alias("ts"), (F.col("id") % 3).alias("user_id"), (F.col("id") * 0.25).alias("value"),
+        F.format_string('{"k": %d}', F.col("id") % 2).alias("props"),
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(0, 240, 2).select(F.col("id").alias("doc_id"), (F.col("id") % 4).cast("int").alias("toxic")).write.parquet(f"{tmp_path}/labels.parquet")
+    train, validation, plan = queries.splits(spark, str(tmp_path))
+    assert (train.count(), validation.count()) == (48, 120)
+    for split in (train, validation):
+        optimized = split._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in optimized and "Window" not in optimized
+    whole = queries.build_features(queries.staged_events(spark, str(tmp_path)), queries.PRESET_B.summing_in(queries.MONEY))
+    first = training.training_frame(queries.time_range(whole, "tx_ts", *queries.LABELLED_TRAIN))
+    assert sorted(map(repr, train.select(*first.columns).collect())) == sorted(map(repr, first.collect()))

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollfeat.operators.incremental import halo_start, high_date, newer_than
+from rollfeat.operators.quality import ChecksFailed
 from rollfeat.plans.daystates import features_from_states, refresh_states
 from rollfeat.plans.late import load_late
 from rollfeat.plans.presets import Preset, build_features, label_transactions
@@ -27,6 +29,20 @@ def stage(store: TableStore, table: str, tx: DataFrame, labels: DataFrame) -> Da
     return store.read(table)
 
 
+def refuse_early(rows: DataFrame, checks: Mapping[str, Column]) -> None:
+    """Checks that need no feature are counted on the staged rows, each of which becomes one row of features: a load that they
+    refuse then computes none. Those that pass are counted once more in the pass that writes."""
+    failures = [F.count_if(~F.coalesce(check, F.lit(False))).alias(f"failed_{i}") for i, check in enumerate(checks.values())]
+    try:
+        counted = rows.agg(*failures)
+        counted.schema  # names are looked up here at the latest
+    except AnalysisException:
+        return
+    failed = [f"{name}: {n} failing rows" for name, n in zip(checks, counted.first()) if n]
+    if failed:
+        raise ChecksFailed("; ".join(failed))
+
+
 def load_features(
     store: TableStore,
     target: str,
@@ -81,12 +97,17 @@ def load_features(
         else:
             store.append_once(target, features, batch_id, partition_by=["tx_date"], replace=full_refresh, checks=checks)
 
+    def check(rows: DataFrame) -> None:
+        if checks:
+            refuse_early(rows, checks)
+
     def keep_states() -> None:
         high = None if states is None else high_date(store.read(target))
         if high is not None:
             refresh_states(store, states, staged, preset, halo_start(high, preset.max_lookback), high)
 
     if batch_id is not None and (full_refresh or not store.exists(target)):
+        check(staged)
         add(build_features(staged, preset, strategy, created_at=created_at))
         keep_states()
         return
@@ -103,17 +124,20 @@ def load_features(
     column = "tx_date" if "tx_date" in relation.columns else "tx_ts"
     if history == "delta":
         delta = newer_than(staged, "tx_date", relation, column)
+        check(delta)
         add(build_features(delta, preset, strategy, created_at=created_at))
         return
     high = high_date(relation, column)
     if high is None:
+        check(staged)
         add(build_features(staged, preset, strategy, created_at=created_at))
         keep_states()
         return
+    new = F.col("tx_date") > F.lit(high)
+    check(staged.where(new))
     if states is not None:
         add(features_from_states(store, states, staged, preset, high, created_at))
         return
     with_halo = staged.where(F.col("tx_date") >= F.lit(halo_start(high, preset.max_lookback)))
-    new = F.col("tx_date") > F.lit(high)
     features = build_features(with_halo, preset, strategy, keep=new, created_at=created_at)
     add(features)

@@ -11,6 +11,7 @@ from rollfeat.operators.hotkeys import Limits
 from rollfeat.operators.quality import ChecksFailed
 from rollfeat.operators.rolling import RollingBlock
 from rollfeat.plans.config import parse_config
+from rollfeat.plans import feature_table
 from rollfeat.plans.feature_table import load_features
 from rollfeat.plans.late import load_late
 from rollfeat.plans.presets import Preset, build_features
@@ -210,3 +211,25 @@ def test_a_run_is_repeated_without_repeating_rows(spark, store):
     assert features.values("customer").count() == features.values("terminal").count() == 60
     features.run(parse_config(raw), batch_id="tuesday")
     assert features.values("customer").count() == 120
+
+
+@pytest.mark.parametrize("history", ["full", "delta"])
+def test_a_load_that_staged_columns_refuse_computes_no_features(spark, store, history, monkeypatch):
+    target, staged = f"{store.database}.f", staged_rows(spark, 200)
+    load_features(store, target, staged.where(F.col("tx_date") <= F.lit(HIGH)), SMALL, batch_id="first")
+    before = content(store.read(target))
+
+    def build(*args, **options):
+        raise AssertionError("features were computed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(feature_table, "build_features", build)
+        checks = {"labelled": F.col("tx_fraud").isNotNull(), "id": F.col("tx_id").isNotNull()}
+        n = staged.where(F.col("tx_date") > F.lit(HIGH)).count()
+        with pytest.raises(ChecksFailed, match=f"^labelled: {n} failing rows$"):
+            load_features(store, target, staged, SMALL, history=history, batch_id="second", checks=checks)
+    assert content(store.read(target)) == before
+    with pytest.raises(ChecksFailed, match="many"):
+        load_features(store, target, staged, SMALL, history=history, batch_id="second", checks={"many": F.col("count_tx_amount_by_customer_id_1h_1s") < 0})
+    load_features(store, target, staged, SMALL, history=history, batch_id="second", checks={"id": F.col("tx_id").isNotNull()})
+    assert store.read(target).count() == 200

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollfeat.functions import exactsum
-from rollfeat.functions.exactsum import BITS, HALF_BITS, Magnitudes
+from rollfeat.functions.exactsum import HALF_BITS, Magnitudes
 
 
 @dataclass(frozen=True)
@@ -73,7 +73,7 @@ def _limb_state(kind: str, place: int) -> str:
 
 
 def is_wide(name: str) -> bool:
-    return name == "marks" or name.split("_")[0] in ("limb", "half", "square")
+    return name == "marks" or name.split("_")[0] in ("half", "square")
 
 
 def wide_input(name: str, column: str, seen: Magnitudes) -> Column:
@@ -84,7 +84,7 @@ def wide_input(name: str, column: str, seen: Magnitudes) -> Column:
     place = int(place.replace("m", "-"))
     if kind == "square":
         return exactsum.limb_of_squares(column, place, seen.places(HALF_BITS))
-    return exactsum.limb_of_sum(column, place, BITS if kind == "limb" else HALF_BITS, seen)
+    return exactsum.limb_of_sum(column, place, seen)
 
 
 @dataclass(frozen=True)
@@ -97,11 +97,11 @@ class Wide:
 
 def _wide_sum(mean: bool) -> Wide:
     def states(seen):
-        return ["count", "marks", *[_limb_state("limb", p) for p in seen.places(BITS)]]
+        return ["count", "marks", *[_limb_state("half", p) for p in seen.places(HALF_BITS)]]
 
     def finish(s, seen):
-        limbs = [s[_limb_state("limb", p)] for p in seen.places(BITS)]
-        return exactsum.finish_sum(limbs, seen.places(BITS), s["marks"], s["count"] if mean else None)
+        limbs = [s[_limb_state("half", p)] for p in seen.places(HALF_BITS)]
+        return exactsum.finish_sum(limbs, seen.places(HALF_BITS), s["marks"], s["count"] if mean else None)
 
     return Wide(states, finish)
 

@@ -1,8 +1,8 @@
 """Sums of doubles that do not depend on the order of their terms.
 
-Every double is a whole number of units of 2**-1074. Cut into limbs at fixed places, multiples of 2**BITS, it has at most three that
-are not zero, and limbs of one place add up exactly as whole numbers, in any order and over any number of stages. The sum
-of a frame is then rounded to a double once, to nearest and ties to even, as if taken with unlimited precision.
+Every double is a whole number of units of 2**-1074. Cut into limbs at fixed places, multiples of 2**HALF_BITS, it has at most three that
+are not zero, and limbs of one place add up exactly as whole numbers of 64 bits, in any order and over any number of stages, for up to
+2**32 rows a frame. The sum of a frame is then rounded to a double once, to nearest and ties to even, as if taken with unlimited precision.
 
 Only places that a column has bits in become states. They follow from its smallest and largest magnitude, which one narrow pass
 measures; a value beyond them is an error, never a silent loss. NaN and infinities are kept apart as three marks.
@@ -13,10 +13,12 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Limbs of plain sums, and half of it where squares are taken, so that a product of two limbs is a whole number of 64 bits.
+# Limbs that are summed: their sums, and a product of two of them, are whole numbers of 64 bits. Variances are rounded from twice that.
 BITS = 60
 HALF_BITS = 30
 _MANTISSA = 53
@@ -67,26 +69,27 @@ def _limb(column: str, place: int, bits: int) -> str:
     power = -bits * place
     half = power // 2
     whole = f"CAST({_double(column)} * {_power_of_two(half)} * {_power_of_two(power - half)} % {_power_of_two(bits)} AS BIGINT)"
-    beyond = bits * (place + 1) + _MANTISSA  # larger values end above this place
-    return f"IF(abs({_double(column)}) < {_power_of_two(beyond)}, {whole}, 0L)" if beyond < 1024 else whole
+    beyond = bits * (place + 1) + _MANTISSA  # larger values end above this place, smaller ones than its unit below it
+    size = f"abs({_double(column)})"
+    return f"IF({size} >= {_power_of_two(bits * place)} AND {size} < {_power_of_two(beyond)}, {whole}, 0L)"
 
 
-def _of_finite(column: str, whole: str) -> Column:
+def _of_finite(column: str, whole: str, kind: str = "DECIMAL(19,0)") -> Column:
     """Null for null, nothing for NaN and infinities."""
     value = _double(column)
     finite = f"NOT isnan({value}) AND abs({value}) < double('Infinity')"
-    return F.expr(f"CAST(CASE WHEN {value} IS NULL THEN NULL WHEN {finite} THEN {whole} ELSE 0L END AS DECIMAL(19,0))")
+    return F.expr(f"CAST(CASE WHEN {value} IS NULL THEN NULL WHEN {finite} THEN {whole} ELSE 0L END AS {kind})")
 
 
-def limb_of_sum(column: str, place: int, bits: int, seen: Magnitudes) -> Column:
+def limb_of_sum(column: str, place: int, seen: Magnitudes) -> Column:
     """What a value adds to the sum of a place. The lowest one also checks that the value is among those measured."""
-    taken = _limb(column, place, bits)
-    if place == seen.places(bits).start:
+    taken = _limb(column, place, HALF_BITS)
+    if place == seen.places(HALF_BITS).start:
         size = f"abs({_double(column)})"
         unseen = f"{size} > {_number(seen.most)} OR ({size} < {_number(seen.least)} AND {size} > 0)"
         lost = "CAST(raise_error('a value lies outside the range that was measured; the input changed in between') AS BIGINT)"
         taken = f"IF({unseen}, {lost}, {taken})"
-    return _of_finite(column, taken)
+    return _of_finite(column, taken, "BIGINT")
 
 
 def limb_of_squares(column: str, place: int, places: range) -> Column:
@@ -151,15 +154,57 @@ def _rounded(limbs: str, n_limbs: int, first_place: int, divisor: str) -> str:
     return f"coalesce({_let('n', _signed(limbs, BITS), _let('top', top, _let('at', at, value)))}, 0D)"
 
 
+def _rounding(first_place: int, mean: bool):
+    """A function of limbs, behind the count where it is a mean, that gives the double next to their sum (divided once more). Nested, so
+    that workers need nothing of this package."""
+    bits = HALF_BITS
+
+    def digits(limbs):
+        """Digits between 0 and 2**bits, lowest first, and the last carry: 0, or -1 for a negative number."""
+        out, carry = np.empty((len(limbs) + 2, limbs.shape[1]), np.int64), np.zeros(limbs.shape[1], np.int64)
+        for i in range(len(out)):
+            here = limbs[i] + carry if i < len(limbs) else carry
+            out[i], carry = here & ((1 << bits) - 1), here >> bits
+        return out, carry
+
+    def rounded(*columns: pd.Series) -> pd.Series:
+        limbs = np.stack([c.to_numpy(np.int64) for c in columns[1 if mean else 0 :]])
+        found, carry = digits(limbs)
+        negative = carry < 0
+        if negative.any():
+            found[:, negative], _ = digits(-limbs[:, negative])
+        # Three digits of zero below the lowest, so that there always are two below the leading one, and what lies below those.
+        found = np.concatenate([np.zeros((3, found.shape[1]), np.int64), found])
+        some, rows = found != 0, np.arange(found.shape[1])
+        top = np.where(some.any(axis=0), len(found) - 1 - some[::-1].argmax(axis=0), 3)
+        more = np.logical_or.accumulate(some, axis=0)[top - 3, rows]
+        high, low = found[top, rows], (found[top - 1, rows] << bits) + found[top - 2, rows]
+        # 61 or 62 leading bits, the last of which also stands for all that follow, so that the cast is the only rounding.
+        shift = np.maximum(np.frexp(high.astype(np.float64))[1].astype(np.int64) - 2, 0)
+        more |= low & ((np.int64(1) << shift) - 1) != 0
+        value = ((high << (2 * bits - shift)) + (low >> shift) | more).astype(np.float64)
+        if mean:
+            value /= np.maximum(columns[0].to_numpy(np.float64), 1.0)
+        with np.errstate(over="ignore", under="ignore"):
+            value = np.ldexp(value, shift + bits * (first_place + top - 5))
+        return pd.Series(np.where(negative, -value, value))
+
+    return F.pandas_udf(rounded, "double")
+
+
 def finish_sum(limbs: list[str], places: range, mark: str, count: str | None = None) -> Column:
-    """The sum, or the average over ``count`` rows; all arguments are column names. Zero is never negative."""
-    size = len(limbs) + 2  # two more for what a sum carries beyond the highest place
-    divisor = "1D" if count is None else f"CAST(nullif({count}, 0) AS DOUBLE)"
-    value = _rounded(_array(limbs, size), size, places.start, divisor)
-    both = _POSITIVE | _NEGATIVE
-    return F.expr(
-        f"CASE WHEN {limbs[0]} IS NULL THEN NULL WHEN {mark} & {_NAN} <> 0 OR {mark} & {both} = {both} THEN double('NaN') "
-        f"WHEN {mark} & {_POSITIVE} <> 0 THEN double('Infinity') WHEN {mark} & {_NEGATIVE} <> 0 THEN double('-Infinity') ELSE {value} END"
+    """The sum, or the average over ``count`` rows; all arguments are column names. Zero is never negative.
+
+    Whole columns of limbs are rounded at a time: limb by limb, expressions took longer than the windows did."""
+    given = [F.expr(f"coalesce({c}, 0L)") for c in ([] if count is None else [count]) + limbs]
+    value = _rounding(places.start, count is not None)(*given)
+    both, marks = _POSITIVE | _NEGATIVE, F.expr(mark)
+    return (
+        F.when(F.expr(f"{limbs[0]} IS NULL"), F.lit(None).cast("double"))
+        .when((marks.bitwiseAND(_NAN) != 0) | (marks.bitwiseAND(both) == both), F.lit(math.nan))
+        .when(marks.bitwiseAND(_POSITIVE) != 0, F.lit(math.inf))
+        .when(marks.bitwiseAND(_NEGATIVE) != 0, F.lit(-math.inf))
+        .otherwise(value)
     )
 
 

@@ -48,6 +48,8 @@ ROWS_PER_CHUNK = 5_000
 WIDTHS = (86_400, 43_200, 21_600, 14_400, 10_800, 7_200, 3_600)
 # Rows and copies that a task windows. Every sort of a task holds them, so this, and not the size of the input, is its memory.
 ROWS_PER_TASK = 150_000
+# They are fewer where rows have more states than this.
+STATES_PER_ROW = 16
 
 _SEC, _CHUNK, _POS, _SIDE, _KEEP = "__sec", "__chunk", "__pos", "__side", "__keep"
 _ROWS, _HALO = -1, -2  # other sides are look-backs in seconds
@@ -76,8 +78,9 @@ class Extent:
         return next((w for w in WIDTHS if w * self.most_per_day <= ROWS_PER_CHUNK * CHUNK_SECONDS), WIDTHS[-1])
 
 
-def n_tasks(df: DataFrame, n_rows: int) -> int:
+def n_tasks(df: DataFrame, n_rows: int, n_states: int) -> int:
     """Tasks for so many rows. Given as a number, so that adaptive execution does not merge them again."""
+    n_rows = n_rows * max(n_states, STATES_PER_ROW) / STATES_PER_ROW
     return max(ceil(n_rows / ROWS_PER_TASK), df.sparkSession.sparkContext.defaultParallelism)
 
 
@@ -138,7 +141,7 @@ def per_second(rows: DataFrame, keys: list[str], bound) -> DataFrame:
 
 def direct_features(seconds: DataFrame, keys: list[str], bound, n_seconds: int) -> DataFrame:
     """Features per (key, second) by one window per key, for keys known to be small."""
-    seconds = seconds.repartition(n_tasks(seconds, n_seconds), *keys)
+    seconds = seconds.repartition(n_tasks(seconds, n_seconds, len(bound.states)), *keys)
     window = Window.partitionBy(*keys).orderBy(_SEC)
     end = bound.block.last_offset
     frames = {
@@ -201,7 +204,7 @@ def _grid_features(
     totals = _whole_chunks(seconds.withColumn(_CHUNK, chunk), keys, bound, grid, stored)
     if totals is not None:
         rows = rows.unionByName(totals.select(*columns))
-    rows = rows.repartition(n_tasks(rows, extent.n_seconds * len(places)), *keys, _CHUNK)
+    rows = rows.repartition(n_tasks(rows, extent.n_seconds * len(places), len(bound.states)), *keys, _CHUNK)
 
     # Every window expression is named once here; features that share a state share its windows.
     here, side, pos = F.col(_SIDE) == _ROWS, F.col(_SIDE), F.col(_POS)

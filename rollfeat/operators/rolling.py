@@ -176,7 +176,7 @@ def _direct(df: DataFrame, bounds: Sequence[BoundBlock]) -> DataFrame:
     for i, bound in enumerate(bounds):
         for f in bound.features:
             names = {s.state: f"__{i}{s.name}_{f.seconds}" for s in bound.states_of(f)}
-            windows.update({names[s.state]: _raw_window(bound, s, f) for s in bound.states_of(f)})
+            windows.update({names[s.state]: _raw_window(bound, s, f) for s in bound.states_of(f) if names[s.state] not in windows})
             outputs.append(bound.finish(f, names))
     windowed = df.select("*", *[c.alias(n) for n, c in windows.items()])
     return windowed.select(*df.columns, *outputs)

@@ -18,7 +18,7 @@ from rollfeat.functions.durations import parse_duration
 from rollfeat.operators import chunked
 from rollfeat.operators.chunked import CHUNK_SECONDS, SHORT_SECONDS, plan_grids
 from rollfeat.operators.hotkeys import Limits, find_hot_keys
-from rollfeat.operators.rolling import RollingBlock, rolling_columns, with_rolling
+from rollfeat.operators.rolling import BoundBlock, RollingBlock, key_columns, keyed_rows, rolling_columns, with_rolling
 
 # Small enough for the test data to be routed key by key.
 EAGER = Limits(rows_per_span=60, small_steps=0)
@@ -342,6 +342,22 @@ def test_sums_of_special_doubles(spark, values, want):
             assert math.isnan(row["stddev_w_by_k_1h_0s"])
 
 
+def test_sums_of_doubles_are_cheap_states(spark):
+    """Limbs are whole numbers of 64 bits, rounding them takes no expression for each limb, and rows with many of them go to more tasks."""
+    rows = [(i, 1, "x", EPOCH + timedelta(seconds=i), None, w) for i, w in enumerate((1e-300, 1e300, -1e300, 3.0))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    block = RollingBlock(["avg", "sum"], ["w"], ["k"], ["1h"], exclude_current_row=False)
+    bound = BoundBlock(block, df)
+    seconds = chunked.per_second(keyed_rows(df, block, None), key_columns(block), bound)
+    limbs = [s.name for s in bound.states if s.state.startswith("half")]
+    assert len(limbs) > 60 and {seconds.schema[n].dataType.simpleString() for n in limbs} == {"bigint"}
+    plan = with_rolling(df, [block], "direct")._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" in plan and "lambda" not in plan
+    assert chunked.n_tasks(df, 10**8, 8) == chunked.n_tasks(df, 10**8, 1) < chunked.n_tasks(df, 10**8, len(limbs))
+    got = {r["id"]: (r["sum_w_by_k_1h_0s"], r["avg_w_by_k_1h_0s"]) for r in with_rolling(df, [block], "direct").collect()}
+    assert got == {0: (1e-300, 1e-300), 1: (1e300, 5e299), 2: (1e-300, 1e-300 / 3), 3: (3.0, 0.75)}
+
+
 def test_averages_do_not_overflow(spark):
     rows = [(i, 1, "x", EPOCH, None, 1.5e308) for i in range(3)]
     block = RollingBlock(["avg"], ["w"], ["k"], ["1h"], exclude_current_row=False)

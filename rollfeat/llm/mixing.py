@@ -16,6 +16,8 @@ kept or dropped together.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,36 +78,38 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], store: Store, keep: fl
     less. A step renews the factors of one dimension from the sums of the cells under the others' factors, and keeps them;
     sums begin before the shuffle, so a category that most cells share is no burden. A sum grows with its factor, ever slower
     as cells reach their bound, so the line through the present sum never leads too far, nor does that through no bound at all.
+
+    Cells carry their targets and factors, so that a step is one aggregation and one join, and what it missed is asked for once a
+    sweep: every job costs the driver memory, however small its tables are.
     """
     total = cells.agg(F.sum("tokens").alias("tokens")).first()["tokens"] or 1
     share = F.col("tokens") / F.lit(float(total))
     most = share / F.lit(keep)
-    factors = {d: store.keep(cells.select(d).distinct().withColumn(f"{d}_factor", F.lit(1.0))) for d in targets}
+    state = cells
+    for d, target in targets.items():
+        state = state.join(target.select(d, F.col("target").alias(f"{d}_target")), d, "left")
+    factors = [f"{d}_factor" for d in targets]
+    state = store.keep(state.select(*cells.columns, *[F.coalesce(f"{d}_target", F.lit(0.0)).alias(f"{d}_target") for d in targets], *[F.lit(1.0).alias(f) for f in factors], F.lit(0.0).alias("missed")))
 
-    def weighed(dimensions) -> DataFrame:
-        out, weight = cells, share
-        for dimension in dimensions:
-            out, weight = out.join(factors[dimension], dimension), weight * F.col(f"{dimension}_factor")
-        return out.withColumn("weight", weight)
+    def weight(dimensions) -> Column:
+        return reduce(lambda product, d: product * F.col(f"{d}_factor"), dimensions, share)
 
     for _ in range(sweeps):
-        miss = 0.0
-        for dimension in targets:
+        for number, dimension in enumerate(targets):
             own = F.col(f"{dimension}_factor")
-            base = weighed([d for d in targets if d != dimension]).join(factors[dimension], dimension)
+            base = state.withColumn("weight", weight([d for d in targets if d != dimension]))
             whole = F.col("weight") * own >= most
-            sums = base.groupBy(dimension).agg(F.sum("weight").alias("sum"), F.coalesce(F.sum(F.when(whole, most)), F.lit(0.0)).alias("whole"), F.coalesce(F.sum(F.when(~whole, F.col("weight"))), F.lit(0.0)).alias("open"), F.first(own).alias("own"))
-            sums = sums.join(targets[dimension], dimension, "left").withColumn("target", F.coalesce("target", F.lit(0.0)))
+            sums = base.groupBy(dimension).agg(F.sum("weight").alias("sum"), F.coalesce(F.sum(F.when(whole, most)), F.lit(0.0)).alias("whole"), F.coalesce(F.sum(F.when(~whole, F.col("weight"))), F.lit(0.0)).alias("open"), F.first(own).alias("own"), F.first(f"{dimension}_target").alias("target"))
             free = F.when(F.col("sum") > 0, F.col("target") / F.col("sum")).otherwise(0.0)
             full = (F.col("open") <= 0) & (F.col("whole") <= F.col("target") * (1 + 1e-9))
             factor = F.when(full, F.greatest("own", free)).when(F.col("open") > 0, F.greatest(free, (F.col("target") - F.col("whole")) / F.col("open"))).otherwise(free)
             missed = F.abs(F.col("whole") + F.col("open") * F.col("own") - F.col("target"))
-            step = store.keep(sums.select(dimension, factor.alias(f"{dimension}_factor"), missed.alias("missed")))
-            factors[dimension] = step.drop("missed")
-            miss = max(miss, step.agg(F.max("missed").alias("missed")).first()["missed"] or 0.0)
-        if miss <= MISS:
+            step = sums.select(dimension, factor.alias("__factor"), missed.alias("__missed"))
+            renewed = {f"{dimension}_factor": F.col("__factor"), "missed": F.greatest("missed", "__missed") if number else F.col("__missed")}
+            state = store.keep(state.join(step, dimension).select(*[renewed.get(c, F.col(c)).alias(c) for c in state.columns]))
+        if (state.agg(F.max("missed").alias("missed")).first()["missed"] or 0.0) <= MISS:
             break
-    return weighed(targets).withColumn("weight", F.least("weight", most)).select(*cells.columns, "weight")
+    return state.select(*cells.columns, F.least(weight(targets), most).alias("weight"))
 
 
 def probabilities(weighted: DataFrame, keep: float, store: Store) -> DataFrame:

@@ -565,6 +565,25 @@ def test_mixing_meets_targets_where_cells_are_full(spark):
         assert abs(got[got.lang == "de"].iloc[0].target_shares["lang"] - lang["de"]) < 1e-9
 
 
+def test_mixing_raking_steps_are_small_plans(spark):
+    """A step joins once and asks the driver nothing but once a sweep, so that many steps are no burden for its memory."""
+    cells = spark.createDataFrame([("a", "x", "t", 60), ("a", "y", "t", 20), ("b", "x", "u", 15), ("b", "y", "t", 5)], "source string, lang string, topic string, tokens long")
+    share = lambda d, **parts: spark.createDataFrame(list(parts.items()), f"{d} string, target double")
+    targets = {"source": share("source", a=0.7, b=0.3), "lang": share("lang", x=0.7, y=0.3), "topic": share("topic", t=0.8, u=0.2)}
+    joins = []
+
+    class Watched(mixing.Store):
+        def keep(self, df, most_rows=None):
+            joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+            return super().keep(df, most_rows)
+
+    got = mixing.rake(cells, targets, Watched(spark, "watched"), keep=0.2).toPandas()
+    assert max(joins[1:]) == 1 and len(joins) % len(targets) == 1
+    for d, target in targets.items():
+        for category, wanted in target.collect():
+            assert abs(got.weight[got[d] == category].sum() - wanted) < 5e-3
+
+
 def test_mixing_hard(spark):
     docs = hard_documents(spark, extra=True)
     got = mixing.mix(docs).collect()

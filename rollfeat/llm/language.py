@@ -95,14 +95,14 @@ def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
 def parser(moves: list[dict[int, int]], width: int) -> np.ndarray:
     """The automaton as a table that restarts by itself where no move is left. A letter that no match begins with leads to
     a last state, from which every letter restarts."""
-    start = np.full(width, len(moves), np.int64)
+    start = np.full(width, len(moves), np.int32)
     for letter, state in moves[0].items():
         start[letter] = state
-    table = np.tile(start * width * 2 + 1, (len(moves) + 1, 1))
+    table = np.tile(start * np.int32(2 * width) + np.int32(1), (len(moves) + 1, 1))
     for state, own in enumerate(moves):
         if own:
-            table[state, list(own)] = np.fromiter(own.values(), np.int64, len(own)) * width * 2
-    return table.astype(np.int32).ravel()
+            table[state, list(own)] = np.fromiter(own.values(), np.int32, len(own)) * np.int32(2 * width)
+    return table.ravel()
 
 
 def fit(labelled: DataFrame, sample_chars: int = SAMPLE_CHARS) -> LanguageModel:

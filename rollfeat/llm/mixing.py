@@ -56,9 +56,12 @@ def flattened(cells: DataFrame, dimension: str, power: float = 1.0) -> DataFrame
     return shares.select(dimension, F.pow(F.col("tokens").cast("double"), F.lit(power)).alias("target"))
 
 
-def wanted_shares(cells: DataFrame, dimension: str, target: DataFrame, keep: float) -> DataFrame:
-    """``(dimension, wanted, target)``: targets as shares of those with documents, and what of them ``keep`` leaves possible."""
-    there = cells.groupBy(dimension).agg(F.sum("tokens").alias("tokens")).where("tokens > 0").join(target, dimension)
+def wanted_shares(cells: DataFrame, dimension: str, target: DataFrame, keep: float, store: Store, n: int) -> DataFrame:
+    """``(dimension, wanted, target)``: targets as shares of those with documents, and what of them ``keep`` leaves possible.
+
+    ``n`` is the number of cells.
+    """
+    there = store.few(cells.groupBy(dimension).agg(F.sum("tokens").alias("tokens")).where("tokens > 0").join(target, dimension), n)
     sums = there.agg(F.sum("target").alias("target")).first()
     total = cells.agg(F.sum("tokens").alias("tokens")).first()["tokens"] or 1
     share, most, scale = F.col("target") / F.lit(sums["target"] or 1.0), F.col("tokens") / F.lit(keep * total), 1.0
@@ -67,7 +70,9 @@ def wanted_shares(cells: DataFrame, dimension: str, target: DataFrame, keep: flo
         sums = there.agg(F.sum(F.when(whole, most)).alias("whole"), F.sum(F.when(~whole, share)).alias("open")).first()
         if not sums["open"] or sums["whole"] is None:
             break
-        scale = max(scale, (1.0 - sums["whole"]) / sums["open"])
+        before, scale = scale, max(scale, (1.0 - sums["whole"]) / sums["open"])
+        if scale == before:
+            break
     return there.select(dimension, share.alias("wanted"), F.least(share * F.lit(scale), most).alias("target"))
 
 
@@ -80,8 +85,10 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], store: Store, keep: fl
     as cells reach their bound, so the line through the present sum never leads too far, nor does that through no bound at all.
 
     Cells carry their targets and factors, so that a step is one aggregation and one join, and what it missed is asked for once a
-    sweep: every job costs the driver memory, however small its tables are.
+    sweep: every job and task costs the driver memory, however small its tables are. So no more tasks than the number of cells asks
+    for rake them.
     """
+    n = cells.count()
     total = cells.agg(F.sum("tokens").alias("tokens")).first()["tokens"] or 1
     share = F.col("tokens") / F.lit(float(total))
     most = share / F.lit(keep)
@@ -89,7 +96,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], store: Store, keep: fl
     for d, target in targets.items():
         state = state.join(target.select(d, F.col("target").alias(f"{d}_target")), d, "left")
     factors = [f"{d}_factor" for d in targets]
-    state = store.keep(state.select(*cells.columns, *[F.coalesce(f"{d}_target", F.lit(0.0)).alias(f"{d}_target") for d in targets], *[F.lit(1.0).alias(f) for f in factors], F.lit(0.0).alias("missed")))
+    state = store.few(state.select(*cells.columns, *[F.coalesce(f"{d}_target", F.lit(0.0)).alias(f"{d}_target") for d in targets], *[F.lit(1.0).alias(f) for f in factors], F.lit(0.0).alias("missed")), n)
 
     def weight(dimensions) -> Column:
         return reduce(lambda product, d: product * F.col(f"{d}_factor"), dimensions, share)
@@ -106,19 +113,19 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], store: Store, keep: fl
             missed = F.abs(F.col("whole") + F.col("open") * F.col("own") - F.col("target"))
             step = sums.select(dimension, factor.alias("__factor"), missed.alias("__missed"))
             renewed = {f"{dimension}_factor": F.col("__factor"), "missed": F.greatest("missed", "__missed") if number else F.col("__missed")}
-            state = store.keep(state.join(step, dimension).select(*[renewed.get(c, F.col(c)).alias(c) for c in state.columns]))
+            state = store.few(state.join(step, dimension).select(*[renewed.get(c, F.col(c)).alias(c) for c in state.columns]), n)
         if (state.agg(F.max("missed").alias("missed")).first()["missed"] or 0.0) <= MISS:
             break
     return state.select(*cells.columns, F.least(weight(targets), most).alias("weight"))
 
 
-def probabilities(weighted: DataFrame, keep: float, store: Store) -> DataFrame:
-    """The cells with ``probability``: ``min(1, scale * weight / tokens)``, scaled to keep that share of the tokens.
+def probabilities(weighted: DataFrame, keep: float, store: Store, n: int) -> DataFrame:
+    """The ``n`` cells with ``probability``: ``min(1, scale * weight / tokens)``, scaled to keep that share of the tokens.
 
     The scale rises in ``FILLS`` steps, each for what the cells that are kept whole leave to the others.
     """
     factor = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
-    cells = store.keep(weighted.withColumn("factor", factor))
+    cells = store.few(weighted.withColumn("factor", factor), n)
     total = cells.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()["tokens"]
     scale = 0.0
     for _ in range(FILLS):
@@ -126,7 +133,9 @@ def probabilities(weighted: DataFrame, keep: float, store: Store) -> DataFrame:
         sums = cells.agg(F.sum(F.when(whole, F.col("tokens"))).alias("whole"), F.sum(F.when(~whole, F.col("weight"))).alias("open")).first()
         if not sums["open"]:
             break
-        scale = max(scale, (keep * total - (sums["whole"] or 0)) / sums["open"])
+        before, scale = scale, max(scale, (keep * total - (sums["whole"] or 0)) / sums["open"])
+        if scale == before:
+            break
     # A cell without tokens, such as that of empty texts, has no weight to rake: it is kept.
     return cells.withColumn("probability", F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("factor") * F.lit(scale))).otherwise(1.0))
 
@@ -145,9 +154,11 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: floa
     known = docs.withColumns({"__source": name(F.col("source")), "__lang": name(F.col("lang")), "__topic": name(form(text) if topic is None else topic), "__tokens": n_words(text)})
     counted = known.select(F.col("__source").alias("source"), F.col("__lang").alias("lang"), F.col("__topic").alias("topic"), F.col("__tokens").alias("tokens"))
     cells = store.keep(counted.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")))
+    n = cells.count()
+    cells = store.few(cells, n)
     wanted = {d: (targets or {}).get(d) if (targets or {}).get(d) is not None else flattened(cells, d, FLATTEN[d]) for d in DIMENSIONS}
-    wanted = {d: store.keep(wanted_shares(cells, d, target, keep)) for d, target in wanted.items()}
-    chosen = store.keep(probabilities(rake(cells, {d: t.drop("wanted") for d, t in wanted.items()}, store, keep), keep, store))
+    wanted = {d: store.few(wanted_shares(cells, d, target, keep, store, n), n) for d, target in wanted.items()}
+    chosen = store.few(probabilities(rake(cells, {d: t.drop("wanted") for d, t in wanted.items()}, store, keep), keep, store, n), n)
     expected = F.col("tokens") * F.col("probability")
     total = chosen.agg(F.sum(expected).alias("tokens")).first()["tokens"] or 1.0
     stated = chosen
@@ -155,7 +166,7 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: floa
         reached = chosen.groupBy(d).agg((F.sum(expected) / F.lit(total)).alias(f"{d}_reached"))
         stated = stated.join(reached.join(wanted[d].select(d, F.col("wanted").alias(f"{d}_wanted")), d, "left"), d)
     shares = [F.struct(*[F.coalesce(f"{d}_{kind}", F.lit(0.0)).alias(d) for d in DIMENSIONS]).alias(name) for kind, name in (("wanted", "__target"), ("reached", "__reached"))]
-    chosen = store.keep(stated.select(*[F.col(d).alias(f"__{d}") for d in DIMENSIONS], F.col("probability").alias("__probability"), *shares))
+    chosen = store.keep(stated.select(*[F.col(d).alias(f"__{d}") for d in DIMENSIONS], F.col("probability").alias("__probability"), *shares), n)
     draw = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit("mix"), F.col("doc_id").cast("string"), F.md5(F.coalesce(text, F.lit(""))))), 1, 13), 16, 10).cast("double") / F.lit(2.0**52)
     joined = known.join(chosen, ["__source", "__lang", "__topic"])
     return joined.select(*[F.col(f"`{c}`") for c in own], F.col("__topic").alias("topic"), F.col("__tokens").alias("n_tokens"), F.col("__probability").alias("probability"), (draw < F.col("__probability")).alias("sampled"), F.col("__target").alias("target_shares"), F.col("__reached").alias("reached_shares"))

@@ -271,11 +271,11 @@ def candidate_pairs(classes: DataFrame, store: Store, best: bool) -> DataFrame:
     forest = classes.mapInArrow(_forest_rows, "row binary").repartitionByRange(ranges, "row").sortWithinPartitions("row")
     searched = store.keep(forest.mapInArrow(partial(_search_range, best=best), f"{_PAIR}, range int, head boolean, tail boolean, row binary"))
     ends = searched.where("row IS NOT NULL")
-    order = ends.groupBy("range").agg(F.min(F.col("head") & F.col("tail")).alias("short")).orderBy("range").collect()
+    order = ends.groupBy("range").agg(F.min(F.col("head") & F.col("tail")).alias("short")).collect()
     pairs = searched.where("row IS NULL").select(*PAIR)
     if order:
         # One entry for each range: a number of the plan's, not of the data's.
-        seams = spark.createDataFrame(_seams([(r["range"], r["short"]) for r in order]), "range int, before int, after int")
+        seams = spark.createDataFrame(_seams(sorted((r["range"], r["short"]) for r in order)), "range int, before int, after int")
         tagged = ends.join(F.broadcast(seams), "range")
         at_seams = tagged.where("head").select(F.col("before").alias("seam"), "row").unionByName(tagged.where("tail AND (NOT head OR before <> after)").select(F.col("after").alias("seam"), "row"))
         pairs = pairs.unionByName(at_seams.groupBy("seam").applyInArrow(lambda table: _search_seam(table, best), _PAIR))
@@ -489,17 +489,18 @@ def between_components(near: DataFrame, labels: DataFrame, texts: DataFrame, sto
     about ``ASKING``, and each block of one meets each of the other. Two single documents are left out, as they have been confirmed
     as a pair, unless ``singles`` asks for them.
     """
-    sizes = store.keep(labels.groupBy("component").agg(F.count("*").alias("n")))
+    sizes = store.keep(labels.groupBy("component").agg(F.count("*").alias("n")), labels.count())
     size = lambda c: sizes.select(F.col("component").alias(c), F.col("n").alias(f"n_{c}"))
     sized = near.join(size("low"), "low").join(size("high"), "high")
     sized = sized if singles else sized.where("n_low > 1 OR n_high > 1")
     larger = F.col("n_low") >= F.col("n_high")
     sides = sized.select(F.when(larger, F.col("low")).otherwise(F.col("high")).alias("asked"), F.when(larger, F.col("high")).otherwise(F.col("low")).alias("component"), F.greatest("n_low", "n_high").alias("n_asked"))
     sides = store.keep(sides)
+    n = sides.count()
     asking = store.keep(sides.join(labels, "component").select("asked", "n_asked", "id"))
     grid = asking.groupBy("asked").agg(F.count("*").alias("n_asking"), F.max("n_asked").alias("n_asked"))
     parts = lambda n, each: F.ceil(F.col(n) / each).cast("int")
-    grid = store.keep(grid.select("asked", parts("n_asked", BLOCK).alias("blocks"), parts("n_asking", ASKING).alias("turns")))
+    grid = store.keep(grid.select("asked", parts("n_asked", BLOCK).alias("blocks"), parts("n_asking", ASKING).alias("turns")), n)
     deal = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     text = texts.select(F.col("doc_id").alias("id"), "text")

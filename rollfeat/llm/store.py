@@ -38,3 +38,7 @@ class Store:
             df = df.coalesce(max(1, -(-most_rows // ROWS_PER_TASK)))
         df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
+
+    def few(self, df: DataFrame, most_rows: int) -> DataFrame:
+        """As :meth:`keep`, and no more tasks than they need read the rows: what one task reads is grouped and joined without a shuffle."""
+        return self.keep(df, most_rows).coalesce(max(1, -(-most_rows // ROWS_PER_TASK)))

@@ -584,6 +584,26 @@ def test_mixing_raking_steps_are_small_plans(spark):
             assert abs(got.weight[got[d] == category].sum() - wanted) < 5e-3
 
 
+def test_mixing_few_cells_are_few_tasks(spark):
+    """Raking few cells begins no shuffle, whatever the number of partitions, and filling up ends when nothing more is added."""
+    docs = spark.createDataFrame([(i, words(i, 30), "en" if i % 4 else "de", "abc"[i % 3], 30) for i in range(200)], SCHEMA)
+    before, tracker = spark.conf.get("spark.sql.shuffle.partitions"), spark.sparkContext.statusTracker()
+    spark.conf.set("spark.sql.shuffle.partitions", "31")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.sparkContext.setJobGroup("few cells", "")
+    try:
+        got = mixing.mix(docs)
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("few cells")]
+        stages = {s for j in jobs if j for s in j.stageIds}
+        tasks = sum(info.numTasks for s in stages if (info := tracker.getStageInfo(s)))
+        assert 0 < tasks < 500, tasks
+        assert got.count() == 200
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_mixing_hard(spark):
     docs = hard_documents(spark, extra=True)
     got = mixing.mix(docs).collect()

@@ -155,9 +155,10 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: floa
     counted = known.select(F.col("__source").alias("source"), F.col("__lang").alias("lang"), F.col("__topic").alias("topic"), F.col("__tokens").alias("tokens"))
     cells = store.keep(counted.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")))
     n = cells.count()
-    cells = store.few(cells, n)
     wanted = {d: (targets or {}).get(d) if (targets or {}).get(d) is not None else flattened(cells, d, FLATTEN[d]) for d in DIMENSIONS}
     wanted = {d: store.few(wanted_shares(cells, d, target, keep, store, n), n) for d, target in wanted.items()}
+    # Targets are summed in the order that a shuffle gives them; from here on the cells are read by few tasks.
+    cells = store.few(cells, n)
     chosen = store.few(probabilities(rake(cells, {d: t.drop("wanted") for d, t in wanted.items()}, store, keep), keep, store, n), n)
     expected = F.col("tokens") * F.col("probability")
     total = chosen.agg(F.sum(expected).alias("tokens")).first()["tokens"] or 1.0

@@ -194,9 +194,9 @@ def _grid_features(
     if grid.sliding:
         in_tail = sec >= (chunk + 1) * width - max(grid.sliding)
         places.append(_place(in_tail, chunk + 1, sec, _HALO))
-    placed = seconds.select(
-        *keys, _KEEP, *names, F.explode(F.filter(F.array(*places), lambda p: p.isNotNull())).alias("__place")
-    ).select(*keys, "__place.*", _KEEP, *names)
+    # Places that are not wanted are dropped after they are exploded: a filter of the array would run outside of generated code.
+    placed = seconds.select(*keys, _KEEP, *names, F.explode(F.array(*places)).alias("__place")).where(F.col("__place").isNotNull())
+    placed = placed.select(*keys, "__place.*", _KEEP, *names)
     wanted = F.lit(False)
     if extent.first_kept is not None:
         wanted = F.col(_CHUNK).between(extent.first_kept // grid.width, extent.last_kept // grid.width)

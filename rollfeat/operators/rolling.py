@@ -17,8 +17,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollfeat.functions.aggregates import SCALED, SUMMED, Aggregate, aggregate, exact_decimal, is_wide, state as state_of, wide_input
 from rollfeat.functions.durations import parse_duration
@@ -118,6 +119,10 @@ class BoundBlock:
     def _is_wide(self, feature: Feature) -> bool:
         return bool(SUMMED & set(feature.spec.states)) and self._exact[feature.column] is None
 
+    def decimal_of(self, state: StateColumn) -> T.DecimalType | None:
+        """The decimal type in which the column of a state is summed."""
+        return self._exact[state.column]
+
     def input(self, state: StateColumn) -> Column:
         """What a state is built from: limbs of doubles, the decimal form where it is summed, the plain column otherwise."""
         if is_wide(state.state):
@@ -167,9 +172,27 @@ def _raw_window(bound: BoundBlock, state: StateColumn, feature: Feature) -> Colu
     order = epoch_seconds(bound.block.timestamp)
     window = Window.partitionBy(*bound.block.partition).orderBy(order)
     frame = window.rangeBetween(-feature.seconds, bound.block.last_offset)
+    exact = bound.decimal_of(state)
+    if state.state == "sum" and exact is not None and exact.precision <= _LONG_DIGITS:
+        return _sum_of_longs(bound.input(state), exact, frame)
     return state_of(state.state).build(bound.input(state)).over(frame)
 
 
+# Decimals of so many digits are 64-bit integers. Their sums are longer, and a sliding window adds every frame up anew.
+_LONG_DIGITS = 18
+_HALF = 2**32
+
+
+def _sum_of_longs(value: Column, exact: T.DecimalType, frame: WindowSpec) -> Column:
+    """The sum of decimals over a frame. Their upper and lower 32 bits are summed as 64-bit integers, which is much cheaper, and put
+    together once a row."""
+    whole = (value * F.lit(Decimal(10**exact.scale))).cast("bigint")
+    high, low = F.shiftright(whole, 32), whole.bitwiseAND(F.lit(_HALF - 1))
+    total = F.sum(high).over(frame).cast("decimal(18,0)") * F.lit(Decimal(_HALF)) + F.sum(low).over(frame).cast("decimal(19,0)")
+    scaled = total.cast(f"decimal({exact.precision + 10},0)") * F.lit(Decimal(1).scaleb(-exact.scale))
+    return scaled.cast(f"decimal({exact.precision + 10},{exact.scale})")
+
+
 def _direct(df: DataFrame, bounds: Sequence[BoundBlock]) -> DataFrame:
     """All blocks by plain windows; features that share a state (avg and count, say) share its window."""
     windows, outputs = {}, []

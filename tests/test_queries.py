@@ -10,7 +10,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import __spark_entry__ as spark_entry  # noqa: E402
 from oracle_check import compare, connect  # noqa: E402
 
+import rollfeat.queries  # noqa: E402
 from rollfeat.oracle import ORACLE as rollfeat_oracle  # noqa: E402
+from rollfeat.plans.presets import build_features  # noqa: E402
 from rollfeat.queries import QUERIES as rollfeat_queries  # noqa: E402
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -40,5 +42,20 @@ def test_query(spark, duck, name):
         assert result.count() > 0
 
 
+@pytest.mark.parametrize("name", ["ingest_two_tables", "features_preset_a_orders", "features_preset_b_orders"])
+def test_builds_over_orders_read_a_stored_join(spark, monkeypatch, name):
+    """A build reads its rows several times over; each time would join them again."""
+    built = []
+
+    def build(staged, *args):
+        built.append(staged)
+        return build_features(staged, *args)
+
+    monkeypatch.setattr(rollfeat.queries, "build_features", build)
+    QUERIES[name](spark, SF_DIR)
+    (staged,) = built
+    assert "Join" not in staged._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_entry(spark):
     assert len(spark_entry.entry(spark).columns) == 27

@@ -399,6 +399,35 @@ def test_preset_blocks_share_two_windows(spark):
     assert plan.count("Window [") == 2
 
 
+def test_sliding_sums_add_whole_numbers_of_64_bits(spark):
+    """Decimals of up to 18 digits, of either sign and with NULLs, beyond what one 64-bit sum holds; longer ones as before."""
+    most = Decimal("9999999999999999.99")
+    values = [most] * 12 + [-most] * 25 + [None, Decimal("-0.01"), Decimal("0.01"), Decimal("42949672.96"), Decimal("-42949672.97")]
+    rows = [(i, 1, EPOCH + timedelta(seconds=i), v, v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "id long, k long, tx_ts timestamp_ntz, v decimal(18,2), longer decimal(19,2)")
+    block = RollingBlock(["sum", "avg", "count"], ["v", "longer"], ["k"], ["3s", "1h"], exclude_current_row=False)
+    for column in rolling_columns(df, block), None:
+        got = df.select("*", *column) if column else with_rolling(df, [block], "direct")
+        for row in got.collect():
+            for seconds, name in ((3, "3s"), (3600, "1h")):
+                frame = [v for v in values[max(0, row["id"] - seconds) : row["id"] + 1] if v is not None]
+                for c in ("v", "longer"):
+                    total = float(sum(frame))
+                    assert row[f"sum_{c}_by_k_{name}_0s"] == total and row[f"avg_{c}_by_k_{name}_0s"] == total / len(frame)
+    empty = with_rolling(df.where("id = 0"), [RollingBlock(["sum"], ["v"], ["k"], ["1h"])], "direct").first()
+    assert empty["sum_v_by_k_1h_1s"] is None
+    narrow = with_rolling(df.drop("longer"), [RollingBlock(["avg"], ["v"], ["k"], ["1h"])], "direct")
+    window = next(line for line in narrow._jdf.queryExecution().executedPlan().toString().splitlines() if "Window [" in line)
+    assert "sum(_w" in window and "sum(v" not in window
+
+
+def test_places_are_chosen_in_generated_code(spark):
+    """A filter of an array takes a function, which runs outside of generated code."""
+    df = spark.createDataFrame(random_rows(50, 2, 40, seed=29), SCHEMA)
+    out = with_rolling(df, [RollingBlock(["max"], ["v"], ["k"], ["1m", "3d", "28d"])], "chunked")
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_plan_of_the_chunked_strategy(spark):
     """States are combined before they are shuffled, that shuffle is read twice, and no window sorts a whole key."""
     df = spark.createDataFrame(random_rows(200, 2, 40, seed=23), SCHEMA)
